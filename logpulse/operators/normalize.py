@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
 from logpulse.functions.ids import record_id
-from logpulse.schema import EVENT_LOG_COLUMNS
+from logpulse.schema import EVENT_FIELDS, EVENT_LOG_COLUMNS
 
 # Epoch milliseconds outside this range do not fit a timestamp; they saturate instead of
 # failing the batch they arrived in.
@@ -58,6 +59,12 @@ RULES: dict[str, str] = {
 assert tuple(RULES) == EVENT_LOG_COLUMNS
 
 
+def payload_fields(columns: Iterable[str], rules: dict[str, str] = RULES) -> list[str]:
+    """Payload fields the given columns are made of: all a narrow query has to parse."""
+    used = {f for c in columns if c in rules for f in re.findall(r"json\.(\w+)", rules[c])}
+    return [f for f in EVENT_FIELDS if f in used] or [EVENT_FIELDS[0]]
+
+
 def normalize_events(
     good: DataFrame,
     *,

@@ -81,14 +81,16 @@ def created_stored_backfill(events: DataFrame) -> DataFrame:
     A full outer join by union: each event contributes one row to each side. Written as a
     two-element explode so that the events are read once.
     """
-    sides = F.array(
-        F.struct(
-            bucket_of(EVENT, 60).alias("bucket"), F.lit(1).alias("created"), F.lit(0).alias("stored")
-        ),
-        F.struct(bucket_of("stored_at", 60), F.lit(0), F.lit(1)),
-    )
+
+    def side(at: str, created: int, stored: int):
+        return F.struct(
+            bucket_of(at, 60).alias("bucket"),
+            F.lit(created).alias("created"),
+            F.lit(stored).alias("stored"),
+        )
+
     return (
-        events.select(F.inline(sides))
+        events.select(F.inline(F.array(side(EVENT, 1, 0), side("stored_at", 0, 1))))
         .where("bucket IS NOT NULL")
         .groupBy("bucket")
         .agg(F.sum("created").alias("created"), F.sum("stored").alias("stored"))

@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logpulse.functions.latency import STAGES
+from logpulse.functions.latency import STAGES, complete_timeline, stage_ms
+from logpulse.functions.quantiles import exact_quantiles
+from logpulse.functions.timebuckets import bucket_of
 from logpulse.plans.catalog import (
     CREATED_STORED_1M,
     DLQ_1M,
@@ -24,8 +26,8 @@ from logpulse.plans.catalog import (
 )
 from logpulse.plans.rollups import Rollup
 
-STAGE_COLUMNS = [f"{stage}_ms" for stage in STAGES]
-EPOCH = F.timestamp_seconds(F.lit(0))
+P95_COLUMNS = [f"{stage}_p95_ms" for stage in STAGES]
+EPOCH = "timestamp_seconds(0)"
 
 
 # --- time filters ---------------------------------------------------------------------------
@@ -68,7 +70,19 @@ def eps_1m(states: DataFrame) -> DataFrame:
 def stage_p95(states: DataFrame, rollup: Rollup, by: Sequence[str] = ("bucket",)) -> DataFrame:
     """p95 per stage from sketches, merged over the dimensions ``by`` leaves out."""
     merged = rollup.answers(rollup.merge(states, by=by))
-    return merged.select(*by, *STAGE_COLUMNS)
+    return merged.select(*by, *[F.col(f"{s}_ms").alias(f"{s}_p95_ms") for s in STAGES])
+
+
+def exact_stage_p95(
+    events: DataFrame, seconds: int = 60, by: Sequence[str] = ("bucket",)
+) -> DataFrame:
+    """``stage_p95`` without sketches, from the events themselves."""
+    timed = events.where(complete_timeline()).select(
+        bucket_of("kafka_received_at", seconds).alias("bucket"),
+        "service",
+        *[F.expr(stage_ms(s)).alias(f"{s}_p95_ms") for s in STAGES],
+    )
+    return exact_quantiles(timed, by, {c: c for c in P95_COLUMNS})
 
 
 def stage_p95_10s(states: DataFrame) -> DataFrame:
@@ -80,27 +94,25 @@ def stage_p95_1m(states: DataFrame) -> DataFrame:
 
 
 def e2e_p95(p95: DataFrame) -> DataFrame:
-    return p95.select("bucket", F.col("e2e_ms").alias("p95_ms"))
+    return p95.select("bucket", F.col("e2e_p95_ms").alias("p95_ms"))
 
 
 def sink_p95(p95: DataFrame) -> DataFrame:
     return p95.select(
         "bucket",
-        F.col("spark_to_stored_ms").alias("sink_p95_ms"),
-        F.col("e2e_ms").alias("e2e_p95_ms"),
+        F.col("spark_to_stored_p95_ms").alias("sink_p95_ms"),
+        "e2e_p95_ms",
     )
 
 
 def ingest_p95(p95: DataFrame) -> DataFrame:
-    return p95.select(
-        "bucket", F.col("kafka_to_spark_ingest_ms").alias("kafka_to_spark_ingest_p95_ms")
-    )
+    return p95.select("bucket", "kafka_to_spark_ingest_p95_ms")
 
 
 def top_services(p95_by_service: DataFrame, k: int = 5) -> DataFrame:
     """Slowest services to publish; a service's name breaks ties."""
     return (
-        p95_by_service.select("service", F.col("producer_to_kafka_ms").alias("publish_p95_ms"))
+        p95_by_service.select("service", F.col("producer_to_kafka_p95_ms").alias("publish_p95_ms"))
         .orderBy(F.desc("publish_p95_ms"), "service")
         .limit(k)
     )
@@ -137,7 +149,7 @@ def latest_traffic(states: DataFrame) -> DataFrame:
 
 def freshness(received: DataFrame, as_of: Column, at: str = "kafka_received_at") -> DataFrame:
     """Milliseconds since the newest row; with no rows the newest one counts as the epoch."""
-    newest = F.coalesce(F.max(at), EPOCH)
+    newest = F.coalesce(F.max(at), F.expr(EPOCH))
     return received.agg(newest.alias("_newest")).select(
         (F.unix_millis(as_of) - F.unix_millis("_newest")).alias("freshness_ms")
     )
@@ -180,6 +192,6 @@ def health(
     for field in row.schema:
         if field.name == "_k":
             continue
-        empty = EPOCH if field.name.endswith("bucket") else F.lit(0).cast(field.dataType)
+        empty = F.expr(EPOCH) if field.name.endswith("bucket") else F.lit(0).cast(field.dataType)
         filled.append(F.coalesce(field.name, empty).alias(field.name))
     return row.select(*filled)

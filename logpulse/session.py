@@ -15,9 +15,6 @@ ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Sketch states live in object hash maps; the default of 128 groups per task sends a
-    # rollup over a few minutes of data to sort-based aggregation.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 # State of streaming deduplication and of the alert operators goes to RocksDB, off heap.

@@ -8,12 +8,15 @@ integer arithmetic only so that another engine can compute the expected results.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logpulse.operators.normalize import normalize_events
+from logpulse.operators.normalize import normalize_events, payload_fields
 from logpulse.operators.parse import good_events, parse_events, split_events
 from logpulse.operators.quarantine import envelope_bad_rows, parse_dlq, to_messages
+from logpulse.schema import EVENT_LOG_COLUMNS
 
 EVENTS_DDL = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
@@ -149,10 +152,23 @@ def replay_parse(raw: DataFrame, fields=None) -> DataFrame:
     )
 
 
-def event_log(raw: DataFrame, *, mode: str = "strict", store_raw_json: bool = False) -> DataFrame:
-    """The event table, with the stamps of the replay instead of the wall clock's."""
-    good = good_events(replay_parse(raw), mode)
-    return normalize_events(good, overrides=REPLAYED, store_raw_json=store_raw_json)
+def event_log(
+    raw: DataFrame,
+    columns: Sequence[str] | None = None,
+    *,
+    mode: str = "strict",
+    store_raw_json: bool = False,
+) -> DataFrame:
+    """The event table, with the stamps of the replay instead of the wall clock's.
+
+    ``columns`` names the columns wanted; only the payload fields behind them are parsed.
+    """
+    columns = EVENT_LOG_COLUMNS if columns is None else columns
+    good = good_events(replay_parse(raw, payload_fields(columns)), mode)
+    log = normalize_events(
+        good, columns=columns, overrides=REPLAYED, store_raw_json=store_raw_json
+    )
+    return log
 
 
 def dead_letters(raw: DataFrame, *, mode: str = "strict") -> DataFrame:
