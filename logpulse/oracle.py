@@ -327,3 +327,174 @@ _add("q16_created_stored_ratio", f"""
 SELECT bucket_ms, created, stored, CASE WHEN created = 0 THEN 0 ELSE stored / created END AS ratio
 FROM ({_A2})""")
 _add("q17_dlq_counts", _A6)
+
+# --- observability and alerts -----------------------------------------------------------------
+_add("f9_alerting_log_lines", r"""
+, lines AS (
+  SELECT id AS event_id,
+    CASE event_type WHEN 'signup' THEN 'kafka' WHEN 'purchase' THEN 'spark-driver'
+      WHEN 'error' THEN 'clickhouse' WHEN 'click' THEN 'grafana' ELSE 'other' END AS component,
+    CASE k % 10 WHEN 0 THEN 'java.lang.OutOfMemoryError: heap' WHEN 1 THEN 'FATAL ERROR: log dir'
+      WHEN 2 THEN 'Job aborted due to stage failure' WHEN 3 THEN 'Code:  241 at ' || id
+      WHEN 4 THEN 'memory_limit_exceeded' WHEN 5 THEN 'DB::Exception: Memory limit exceeded'
+      WHEN 6 THEN 'level=ERROR msg=x' WHEN 7 THEN 'panic: nil' WHEN 8 THEN 'outofmemoryerror'
+      ELSE 'took ' || k || ' ms' END AS line
+  FROM base
+), patterns(component, rank, pattern) AS (VALUES
+  ('kafka', 1, '(?i)OutOfMemoryError'), ('kafka', 2, '(?i)Fatal error'),
+  ('spark-driver', 1, 'OutOfMemoryError'), ('spark-driver', 2, 'StreamingQueryException'),
+  ('spark-driver', 3, 'Job aborted'), ('spark-driver', 4, 'Code:\s*241'),
+  ('spark-driver', 5, '(?i)MEMORY_LIMIT_EXCEEDED'), ('clickhouse', 1, 'Code:\s*241'),
+  ('clickhouse', 2, '(?i)Memory limit exceeded'), ('clickhouse', 3, 'DB::Exception'),
+  ('grafana', 1, '(?i)level=error'), ('grafana', 2, '(?i)panic:'))
+SELECT event_id, component, line, arg_min(pattern, rank) AS pattern
+FROM lines JOIN patterns USING (component) WHERE regexp_matches(line, pattern) GROUP BY ALL""")
+
+_add("j3_batches_to_recover", """
+SELECT topic AS stream_name, 'event_log' AS target_table, 'q' AS query_id,
+  broker_ms // 1000 // 60 AS batch_id
+FROM raw GROUP BY ALL HAVING max(stored_ms) > (SELECT now_ms FROM now) - 300000""")
+
+_LAG = """
+, latest AS (SELECT topic, part, max(off) + 1 AS latest FROM raw GROUP BY ALL
+), done AS (
+  SELECT topic, part, max(off) + 1 AS committed FROM raw
+  WHERE broker_ms <= (SELECT now_ms FROM now) - 600000 AND NOT (topic = 'logs.payment' AND part = 2)
+  GROUP BY ALL
+), lag AS (
+  SELECT topic, part AS partition, latest, {committed} AS committed,
+    CASE WHEN {committed} IS NOT NULL THEN greatest(latest - {committed}, 0) END AS lag
+  FROM latest LEFT JOIN done USING (topic, part))"""
+_add("j4_o4_offset_lag", _LAG.format(committed="committed") + "SELECT * FROM lag")
+_add("j4_offset_lag_from_zero",
+     _LAG.format(committed="coalesce(committed, 0)") + "SELECT * FROM lag")
+_add("a19_offset_lag_totals", _LAG.format(committed="committed") + """
+SELECT topic, CAST(coalesce(sum(lag), 0) AS BIGINT) AS lag_sum, coalesce(max(lag), 0) AS lag_max,
+  count(*) FILTER (WHERE lag IS NULL) AS missing_partitions FROM lag GROUP BY ROLLUP (topic)""")
+
+_LIMITS = [
+    ("eps_low", "ingest", "eps", 1.0, "<"),
+    ("error_rate", "ingest", "error_rate_pct", 1.0, ">"),
+    *[(f"{s}_p95", s, f"{s}_p95_ms", 60000.0, ">") for s in _STAGES],
+]
+_add("j5_threshold_breaches", f"""
+, minutes AS (
+  SELECT minute_ms AS bucket_ms, count(*) / 60 AS eps,
+    count(*) FILTER (WHERE status_code >= 500) / count(*) * 100 AS error_rate_pct, {_p95()}
+  FROM timed GROUP BY ALL)
+""" + " UNION ALL ".join(
+    f"SELECT bucket_ms, '{metric}' AS metric, '{stage}' AS stage, CAST({column} AS DOUBLE) AS value, "
+    f"CAST({limit} AS DOUBLE) AS \"limit\", {column} {sign} {limit} AS breached FROM minutes"
+    for metric, stage, column, limit, sign in _LIMITS))
+
+_add("a20_batch_timing_summary", f"""
+, batches AS (SELECT service, total / 1000 AS t, (errors * 10 + 5) / 1000 AS w FROM ({_A1}))
+SELECT service AS stream, count(*) AS batches, round(avg(t), 6) AS mean_transform,
+  round(avg(w), 6) AS mean_write, round(avg(t + w), 6) AS mean_total,
+  round(max(t + w), 6) AS max_total,
+  round(count(*) FILTER (WHERE t + w > 0.1) / count(*) * 100, 6) AS over_trigger_pct
+FROM batches GROUP BY service""")
+
+_add("a21_publish_rates", """
+, counted AS (SELECT broker_ms // 10000 * 10000 AS bucket_ms, service, count(*) AS n FROM raw
+  GROUP BY ALL)
+SELECT bucket_ms, service, n, n / 10 AS rate,
+  (SELECT sum(c.n) FROM counted c WHERE c.bucket_ms = counted.bucket_ms)::BIGINT / 10 AS total_rate
+FROM counted WHERE service IN ('auth', 'order')""")
+
+_add("k11_live_rows", """
+, newest AS (SELECT max(ts) AS as_of FROM events)
+SELECT 'event_log' AS table_name, CAST(ts::DATE AS VARCHAR) AS day, count(*) AS n
+FROM events, newest WHERE as_of::DATE < ts::DATE + 3 GROUP BY ALL
+UNION ALL
+SELECT 'event_log_dlq', CAST(ts::DATE AS VARCHAR), count(*)
+FROM events, newest WHERE as_of < ts + INTERVAL 7 DAY GROUP BY ALL""")
+
+_READINGS = """
+, per_bucket AS (SELECT service AS key, ten_ms AS at_ms, count(*) AS total FROM timed GROUP BY ALL
+), readings AS (
+  SELECT key, at_ms, total * count(*) OVER (PARTITION BY key) < sum(total) OVER (PARTITION BY key)
+    AS breached, row_number() OVER (PARTITION BY key ORDER BY at_ms) AS rn FROM per_bucket)"""
+_add("st13_sustained_breaches", _READINGS + """
+, islands AS (
+  SELECT *, count(*) FILTER (WHERE NOT breached) OVER (PARTITION BY key ORDER BY at_ms) AS island
+  FROM readings
+), aged AS (
+  SELECT *, at_ms - min(at_ms) FILTER (WHERE breached) OVER (PARTITION BY key, island) AS age
+  FROM islands)
+SELECT key, at_ms, breached, breached AND age > 0 AND age >= 20000 AS ready FROM aged""")
+
+# One step per reading: since = start of the current breach, fired = last alert.
+_ALERTS = FIXTURE.replace("WITH base", "WITH RECURSIVE base", 1) + _READINGS + """
+, walk AS (
+  SELECT key, at_ms, breached, rn, CASE WHEN breached THEN at_ms END AS since,
+    CAST(NULL AS BIGINT) AS fired_at, false AS ready, false AS fired
+  FROM readings WHERE rn = 1
+  UNION ALL
+  SELECT r.key, r.at_ms, r.breached, r.rn,
+    CASE WHEN r.breached THEN coalesce(w.since, r.at_ms) END,
+    CASE WHEN r.breached AND w.since IS NOT NULL AND r.at_ms - w.since >= 20000
+      AND (w.fired_at IS NULL OR r.at_ms - w.fired_at >= 60000) THEN r.at_ms ELSE w.fired_at END,
+    r.breached AND w.since IS NOT NULL AND r.at_ms - w.since >= 20000,
+    r.breached AND w.since IS NOT NULL AND r.at_ms - w.since >= 20000
+      AND (w.fired_at IS NULL OR r.at_ms - w.fired_at >= 60000)
+  FROM walk w JOIN readings r ON r.key = w.key AND r.rn = w.rn + 1)
+SELECT key, at_ms, breached, ready, fired FROM walk"""
+ORACLE["st13_st14_alerts"] = _ALERTS
+ORACLE["st13_st14_streamed_alerts"] = _ALERTS
+
+# Levels 0 low, 1 mid, 2 high. ``asked`` is the direction the reading asks for.
+ORACLE["st15_capacity_levels"] = FIXTURE.replace("WITH base", "WITH RECURSIVE base", 1) + """
+, readings AS (
+  SELECT service AS key, minute_ms AS at_ms,
+    CAST(sum(greatest(broker_ms // 1000 - event_ms // 1000, 0)) AS BIGINT) / count(*) * 1000 AS lag_ms,
+    row_number() OVER (PARTITION BY service ORDER BY minute_ms) AS rn
+  FROM timed GROUP BY service, minute_ms
+), walk AS (
+  SELECT key, CAST(NULL AS BIGINT) AS at_ms, CAST(NULL AS DOUBLE) AS lag_ms, CAST(0 AS BIGINT) AS rn,
+    1 AS level, 0 AS ups, 0 AS downs, CAST(NULL AS BIGINT) AS changed, 0 AS asked, 'none' AS action,
+    1 AS was
+  FROM (SELECT DISTINCT key FROM readings)
+  UNION ALL
+  SELECT key, at_ms, lag_ms, rn,
+    CASE WHEN action = 'switch' THEN was + asked ELSE was END, ups, downs,
+    CASE WHEN action = 'switch' THEN at_ms ELSE changed END, asked, action, was
+  FROM (
+    SELECT *, CASE WHEN asked = 0 THEN 'keep'
+        WHEN (asked > 0 AND ups < 2) OR (asked < 0 AND downs < 3) THEN 'pending'
+        WHEN at_ms - changed < 180000 THEN 'cooldown' ELSE 'switch' END AS action
+    FROM (
+      SELECT key, at_ms, lag_ms, rn, was, changed, asked,
+        CASE WHEN asked > 0 THEN ups + 1 ELSE 0 END AS ups,
+        CASE WHEN asked < 0 THEN downs + 1 ELSE 0 END AS downs
+      FROM (
+        SELECT r.key, r.at_ms, r.lag_ms, r.rn, w.level AS was, w.ups, w.downs, w.changed,
+          CASE WHEN w.level = 0 AND round_even(r.lag_ms, 0) > 640 THEN 1
+               WHEN w.level = 1 AND round_even(r.lag_ms, 0) > 680 THEN 1
+               WHEN w.level = 1 AND round_even(r.lag_ms, 0) < 620 THEN -1
+               WHEN w.level = 2 AND round_even(r.lag_ms, 0) < 650 THEN -1 ELSE 0 END AS asked
+        FROM walk w JOIN readings r ON r.key = w.key AND r.rn = w.rn + 1))))
+SELECT key, at_ms, lag_ms, ['low', 'mid', 'high'][level + 1] AS level,
+  ['low', 'mid', 'high'][was + asked + 1] AS wanted, action FROM walk WHERE rn > 0"""
+
+# --- sinks and streams ------------------------------------------------------------------------
+_add("k1_k10_stored_days", """
+SELECT strftime(make_timestamp(broker_ms * 1000), '%Y-%m-%d') AS ingest_date, service, count(*) AS n,
+  count(DISTINCT event_id) AS events FROM log GROUP BY ALL""")
+_add("st8_k6_guarded_replay", "SELECT service, count(*) AS n FROM log GROUP BY service")
+_add("k5_st10_refused_batch", """
+SELECT 'sink_write_failed' AS error_type, 'table is read-only' AS error_message, service,
+  count(*) AS n FROM log GROUP BY service""")
+_add("st1_streamed_events", """
+SELECT event_ms AS event_timestamp_ms, broker_ms AS kafka_received_at_ms, request_id, event_id,
+  service, api_group, event_name, result, method, route_template, path, status_code, duration_ms,
+  level, user_id, order_id, payment_id, reason_code, product_id, amount, topic,
+  part AS kafka_partition, off AS kafka_offset, '' AS raw_json FROM log""")
+_add("st12_streamed_traffic_1m", _A1)
+_add("st12_streamed_created_stored_1m", _A2)
+_add("st12_native_traffic_10s", _A7)
+_add("st2_st3_streamed_distinct_events", "SELECT DISTINCT service, event_id FROM log")
+_add("k3_k4_s4_streamed_dead_letters", """
+SELECT topic || '-' || part || '-' || off AS event_id, topic AS source_topic,
+  part AS source_partition, off AS source_offset, user_id::VARCHAR AS source_key,
+  broker_ms AS event_timestamp_ms, 'json_parse_failed' AS error_type, value AS raw_json FROM bad""")

@@ -163,7 +163,7 @@ class SharedStates:
 
     def rollup(self, states: DataFrame, name: str) -> DataFrame:
         """One rollup's merged states out of the shared ones."""
-        r = next(r for r in self.rollups if r.name == name)
+        r = {r.name: r for r in self.rollups}[name]
         present = states.where(F.col(self._presence[r.where]) > 0)
         keys = [
             bucket_of(self._bucket(r.at), r.seconds).alias("bucket"),

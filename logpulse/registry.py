@@ -15,14 +15,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logpulse import testbed as tb
+from logpulse.config import SinkSettings, StreamSettings
 from logpulse.functions.ids import stable_event_id
 from logpulse.functions.latency import STAGES, complete_timeline, stage_ms
 from logpulse.functions.timebuckets import bucket_of
-from logpulse.operators import dedup, quarantine, routing
+from logpulse.operators import dedup, observe, quarantine, routing
 from logpulse.operators.parse import MODES, good_events, is_event, split_events
-from logpulse.plans import catalog, serve
+from logpulse.plans import catalog, retention, serve, thresholds
 from logpulse.plans.rollups import union_states
-from logpulse.session import tune
+from logpulse.schema import EVENT_LOG_COLUMNS
+from logpulse.session import scratch_dir, tune
+from logpulse.sources import telemetry
+from logpulse.sources.broker import topic_stream, topic_table
+from logpulse.sources.tables import read_table
+from logpulse.streaming import alerts
+from logpulse.streaming.batch import Batch
+from logpulse.streaming.delivery import Delivery
+from logpulse.streaming.guard import FileCommitLog, not_committed
+from logpulse.streaming.ingest import DeadLetterTopic
+from logpulse.streaming.microbatch import MicroBatch, start
+from logpulse.streaming.rollup_store import RollupStore
+from logpulse.streaming.targets import FileTopic, ParquetTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -483,3 +496,360 @@ def _(spark, d):
 @register("q17_dlq_counts")
 def _(spark, d):
     return serve.dlq_counts(catalog.DLQ_1M.states(tb.dead_letters(raw_rows(spark, d))))
+
+
+# --- observability and alerts -----------------------------------------------------------------
+# Component and log line of each event.
+_COMPONENT = (
+    "CASE event_type WHEN 'signup' THEN 'kafka' WHEN 'purchase' THEN 'spark-driver' "
+    "WHEN 'error' THEN 'clickhouse' WHEN 'click' THEN 'grafana' ELSE 'other' END"
+)
+_LINE = (
+    "CASE k % 10 WHEN 0 THEN 'java.lang.OutOfMemoryError: heap' WHEN 1 THEN 'FATAL ERROR: log dir' "
+    "WHEN 2 THEN 'Job aborted due to stage failure' WHEN 3 THEN concat('Code:  241 at ', event_id) "
+    "WHEN 4 THEN 'memory_limit_exceeded' WHEN 5 THEN 'DB::Exception: Memory limit exceeded' "
+    "WHEN 6 THEN 'level=ERROR msg=x' WHEN 7 THEN 'panic: nil' WHEN 8 THEN 'outofmemoryerror' "
+    "ELSE concat('took ', k, ' ms') END"
+)
+
+
+@register("f9_alerting_log_lines")
+def _(spark, d):
+    lines = (
+        tb.events(spark, d)
+        .withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+        .selectExpr("event_id", f"{_COMPONENT} AS component", f"{_LINE} AS line")
+    )
+    return observe.alerting_lines(lines)
+
+
+@register("j3_batches_to_recover")
+def _(spark, d):
+    # A minute of a topic is a batch; one stored five minutes ago or earlier is committed.
+    cutoff = clock(spark, d) - F.make_dt_interval(mins=F.lit(5))
+    batches = raw_rows(spark, d).groupBy(
+        F.col("topic").alias("stream_name"),
+        F.lit("event_log").alias("target_table"),
+        F.lit("q").alias("query_id"),
+        F.expr("unix_seconds(timestamp) div 60").alias("batch_id"),
+    ).agg(F.max("stored_ms").alias("last_ms"))
+    committed = batches.where(F.timestamp_millis("last_ms") <= cutoff)
+    return not_committed(batches.drop("last_ms"), committed)
+
+
+def _offset_lag(spark, d, absent):
+    rows = raw_rows(spark, d)
+    ends = F.max("offset") + 1
+    latest = rows.groupBy("topic", "partition").agg(ends.alias("end"))
+    cutoff = clock(spark, d) - F.make_dt_interval(mins=F.lit(10))
+    # One partition has never been read.
+    read = (
+        rows.where(F.col("timestamp") <= cutoff)
+        .groupBy("topic", "partition")
+        .agg(ends.alias("end"))
+        .where("NOT (topic = 'logs.payment' AND partition = 2)")
+    )
+    # Both sides as the texts they arrive in.
+    printed = latest.select(F.concat_ws(":", "topic", "partition", "end").alias("value"))
+    checkpointed = read.select(
+        F.to_json(
+            F.create_map("topic", F.create_map(F.col("partition").cast("string"), "end"))
+        ).alias("value")
+    )
+    return observe.offset_lag(
+        telemetry.latest_offsets(printed), telemetry.committed_offsets(checkpointed), absent=absent
+    )
+
+
+@register("j4_o4_offset_lag")
+def _(spark, d):
+    return _offset_lag(spark, d, "report").orderBy("topic", "partition")
+
+
+@register("j4_offset_lag_from_zero")
+def _(spark, d):
+    return _offset_lag(spark, d, "zero")
+
+
+@register("a19_offset_lag_totals")
+def _(spark, d):
+    return observe.lag_totals(_offset_lag(spark, d, "report"))
+
+
+def _minutes(spark, d):
+    """Health metrics of every minute."""
+    traffic = catalog.TRAFFIC_1M.merge(
+        catalog.TRAFFIC_1M.states(log(spark, d, TRAFFIC)), by=["bucket"]
+    ).select("bucket", (F.col("total") / 60).alias("eps"),
+             serve.percent("errors", "total").alias("error_rate_pct"))
+    return traffic.join(serve.exact_stage_p95(log(spark, d, TIMELINE)), "bucket", "left")
+
+
+@register("j5_threshold_breaches")
+def _(spark, d):
+    return thresholds.check(_minutes(spark, d), keep=("bucket",))
+
+
+@register("a20_batch_timing_summary")
+def _(spark, d):
+    # A minute of a service is a batch: a millisecond per event to transform, ten per error
+    # to write, reported as the lines a running stream leaves.
+    per_minute = catalog.TRAFFIC_1M.states(log(spark, d, TRAFFIC))
+    stages = F.explode(
+        F.map_from_arrays(
+            F.array(F.lit("transform"), F.lit("write")),
+            F.array(F.col("total") / 1000, (F.col("errors") * 10 + 5) / 1000),
+        )
+    ).alias("stage", "seconds")
+    lines = per_minute.select("bucket", "service", stages).select(
+        F.concat(
+            F.date_format("bucket", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+            F.lit(" [spark batch] stream="), "service",
+            F.lit(" table=event_log query=event_log_stream batch_id="),
+            F.expr("unix_seconds(bucket) div 60"),
+            F.lit(" stage="), "stage", F.lit(" duration="),
+            F.format_string("%.3f", "seconds"), F.lit("s"),
+        ).alias("value")
+    )
+    summary = observe.timing_summary(telemetry.timing_lines(lines), 0.1)
+    return summary.select(
+        "stream", "batches",
+        *[F.round(c, 6).alias(c) for c in summary.columns if c not in ("stream", "batches")],
+    )
+
+
+@register("a21_publish_rates")
+def _(spark, d):
+    rows = raw_rows(spark, d).withColumn("service", F.substring_index("topic", ".", -1))
+    return observe.publish_rates(rows, services=["auth", "order"])
+
+
+@register("k11_live_rows")
+def _(spark, d):
+    stamped = tb.events(spark, d).select(F.col("ts").cast("timestamp").alias("kafka_received_at"))
+    now = stamped.select(F.max("kafka_received_at")).scalar()
+    return union_states(
+        [
+            retention.live(stamped, table, now)
+            .groupBy(F.lit(table).alias("table_name"),
+                     F.to_date("kafka_received_at").cast("string").alias("day"))
+            .agg(F.count("*").alias("n"))
+            for table in ("event_log", "event_log_dlq")
+        ]
+    )
+
+
+def _readings(spark, d):
+    """Ten-second traffic of each service; low when under the service's own average."""
+    r = replace(catalog.TRAFFIC_10S, dims=(("service", "service"),))
+    traffic = r.states(log(spark, d, TRAFFIC))
+    average = traffic.groupBy("service").agg(
+        F.sum("total").alias("all"), F.count("*").alias("buckets")
+    )
+    return traffic.join(average, "service").select(
+        F.col("service").alias("key"),
+        F.col("bucket").alias("at"),
+        (F.col("total") * F.col("buckets") < F.col("all")).alias("breached"),
+    )
+
+
+ALERTS = alerts.AlertRule(grace_seconds=20, cooldown_seconds=60)
+LEVELS = alerts.LevelRule(
+    low_to_mid=640, mid_to_low=620, mid_to_high=680, high_to_mid=650, cooldown_seconds=180
+)
+
+
+@register("st13_sustained_breaches")
+def _(spark, d):
+    return alerts.sustained_breaches(_readings(spark, d), ALERTS.grace_seconds)
+
+
+@register("st13_st14_alerts")
+def _(spark, d):
+    return alerts.in_order(_readings(spark, d), ALERTS)
+
+
+@register("st15_capacity_levels")
+def _(spark, d):
+    r = replace(catalog.LAG_1M, dims=(("service", "service"),))
+    lags = r.states(log(spark, d, ["event_timestamp", "kafka_received_at", "service"]))
+    return alerts.in_order(
+        lags.select(
+            F.col("service").alias("key"),
+            F.col("bucket").alias("at"),
+            (F.col("sum_lag") / F.col("cnt") * 1000).alias("lag_ms"),
+        ),
+        LEVELS,
+    )
+
+
+# --- sinks and streams ------------------------------------------------------------------------
+CONTENT = [c for c in EVENT_LOG_COLUMNS if c not in ("spark_received_at", "spark_processed_at")]
+
+
+@register("k1_k10_stored_days")
+def _(spark, d):
+    path = scratch_dir(spark, "stored")
+    table = ParquetTable(path, "kafka_received_at", ("service", "event_id"), rebalance=True)
+    Delivery(table)(log(spark, d), Batch("backfill", "event_log", 0))
+    return (
+        read_table(spark, path)
+        .groupBy(F.col("ingest_date").cast("string").alias("ingest_date"), "service")
+        .agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"))
+    )
+
+
+@register("st8_k6_guarded_replay")
+def _(spark, d):
+    root = scratch_dir(spark, "guarded")
+    guard = FileCommitLog(f"{root}/guard")
+    guard.create(spark)
+    table = ParquetTable(f"{root}/event_log", "kafka_received_at")
+    deliver = Delivery(table, guard=guard)
+    events = log(spark, d, ["kafka_received_at", "service", "event_id"])
+    for _ in range(2):  # the second delivery is recognised
+        deliver(events, Batch("replay", "event_log", 0))
+    return read_table(spark, f"{root}/event_log").groupBy("service").agg(F.count("*").alias("n"))
+
+
+class _Refusing:
+    def write(self, df, batch):
+        raise RuntimeError("table is read-only")
+
+
+@register("k5_st10_refused_batch")
+def _(spark, d):
+    root = scratch_dir(spark, "refused")
+    deliver = Delivery(
+        _Refusing(), SinkSettings(retry_max=1), bypass=FileTopic(root, "logs.dlq")
+    )
+    deliver(log(spark, d, ["kafka_received_at", "service", "event_id"]), Batch("s", "event_log", 0))
+    topic = StreamSettings(files_root=root)
+    dead = quarantine.parse_dlq(topic_table(spark, topic, "logs.dlq"))
+    return dead.groupBy("error_type", "error_message", "service").agg(F.count("*").alias("n"))
+
+
+def _streamed(spark, d, **options):
+    """Broker rows of the sample as a stream over the given table."""
+    return tb.broker_rows(tb.events_stream(spark, d, **options))
+
+
+def _run(df, each, root, **options):
+    """Run a stream to the end of its input."""
+    start(df, each, f"{root}/checkpoint", once=True, **options).awaitTermination()
+
+
+def _stream_events(spark, d, then=()):
+    root = scratch_dir(spark, "stream")
+    events = tb.event_log(_streamed(spark, d))
+    each = MicroBatch(
+        Delivery(ParquetTable(f"{root}/event_log", "kafka_received_at"),
+                 SinkSettings(fail_on_error=True)),
+        stream="event_log", table="event_log", stamps=False, then=[t(root) for t in then],
+    )
+    _run(events, each, root)
+    return root
+
+
+@register("st1_streamed_events")
+def _(spark, d):
+    root = _stream_events(spark, d)
+    return read_table(spark, f"{root}/event_log").select(*CONTENT)
+
+
+def _store(root):
+    return RollupStore(f"{root}/rollups", catalog.EVENT_ROLLUPS)
+
+
+@register("st12_streamed_traffic_1m")
+def _(spark, d):
+    root = _stream_events(spark, d, then=[_store])
+    return _store(root).rollup(spark, "traffic_1m")
+
+
+@register("st12_streamed_created_stored_1m")
+def _(spark, d):
+    root = _stream_events(spark, d, then=[_store])
+    return _store(root).rollup(spark, "created_stored_1m")
+
+
+@register("st12_streamed_stage_p95_sketch")
+def _(spark, d):
+    root = _stream_events(spark, d, then=[_store])
+    return serve.stage_p95_10s(_store(root).rollup(spark, "latency_stage_10s"))
+
+
+@register("st12_native_traffic_10s")
+def _(spark, d):
+    # A watermark longer than the sample, so nothing is late.
+    states = catalog.TRAFFIC_10S.stream_states(tb.event_log(_streamed(spark, d)), "1 day")
+    root = scratch_dir(spark, "native")
+
+    def keep(df, batch_id):
+        df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(
+            f"{root}/states/batch_id={batch_id}"
+        )
+
+    _run(states, keep, root, output_mode="update")
+    newest = F.max_by(F.struct("total", "errors"), "batch")
+    return (
+        spark.read.parquet(f"{root}/states")
+        .groupBy("bucket")
+        .agg(newest.alias("_newest"))
+        .select("bucket", "_newest.*")
+    )
+
+
+@register("st2_st3_streamed_distinct_events")
+def _(spark, d):
+    tune(spark, streaming=True)
+    root = scratch_dir(spark, "distinct")
+    events = dedup.drop_repeats(
+        tb.event_log(_streamed(spark, d)), ["service", "event_id"], watermark="2 hours"
+    )
+    each = MicroBatch(
+        Delivery(ParquetTable(f"{root}/event_log", "kafka_received_at"),
+                 SinkSettings(fail_on_error=True)),
+        stream="event_log", table="event_log", stamps=False,
+    )
+    _run(events, each, root)
+    return read_table(spark, f"{root}/event_log").select("service", "event_id")
+
+
+@register("k3_k4_s4_streamed_dead_letters")
+def _(spark, d):
+    """Bad rows to the topic in one query, topic to table in another."""
+    root = scratch_dir(spark, "dead")
+    _, bad = split_events(tb.replay_parse(_streamed(spark, d)))
+    to_topic = MicroBatch(
+        Delivery(DeadLetterTopic(FileTopic(root, "logs.dlq")), SinkSettings(fail_on_error=True)),
+        stream="dlq_kafka", table="dlq_kafka", skip_empty=True, stamps=False,
+    )
+    _run(bad, to_topic, f"{root}/producer")
+    topic = StreamSettings(files_root=root)
+    to_table = MicroBatch(
+        Delivery(ParquetTable(f"{root}/table", "kafka_received_at"),
+                 SinkSettings(fail_on_error=True)),
+        stream="dlq_table", table="event_log_dlq", skip_empty=True,
+    )
+    _run(quarantine.parse_dlq(topic_stream(spark, topic, "logs.dlq")), to_table, f"{root}/consumer")
+    return read_table(spark, f"{root}/table").select(
+        "event_id", "source_topic", "source_partition", "source_offset", "source_key",
+        "event_timestamp", "error_type", "raw_json",
+    )
+
+
+@register("st13_st14_streamed_alerts")
+def _(spark, d):
+    tune(spark, streaming=True)
+    root = scratch_dir(spark, "alerts")
+    readings = _readings(spark, d)
+    readings.write.parquet(f"{root}/readings")
+    stream = spark.readStream.schema(readings.schema).parquet(f"{root}/readings")
+
+    def keep(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{root}/alerts/batch_id={batch_id}")
+
+    # All files in one batch: readings of a key must not overtake each other.
+    _run(alerts.in_stream(stream, ALERTS), keep, root)
+    return spark.read.parquet(f"{root}/alerts").drop("batch_id")

@@ -344,5 +344,5 @@ def test_rollups_can_be_switched_off(spark, folder):
     store = RollupStore(f"{folder}/rollups", [r for r in EVENT_ROLLUPS if r.name == "lag_1m"])
     store(log, Batch("s", "t", 0))
     assert store.rollup(spark, "lag_1m").count() > 0
-    with pytest.raises(StopIteration):
+    with pytest.raises(KeyError):
         store.rollup(spark, "traffic_1m")
