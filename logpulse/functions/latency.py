@@ -23,7 +23,8 @@ TIMELINE = (
 def stage_ms(stage: str) -> str:
     """SQL for the millisecond latency of a stage; clock skew never makes it negative."""
     start, end = STAGES[stage]
-    return f"greatest(unix_millis({end}) - unix_millis({start}), 0L)"
+    ms = f"unix_millis({end}) - unix_millis({start})"
+    return f"if({ms} < 0, 0L, {ms})"  # NULL stays NULL, which greatest() would not do
 
 
 def complete_timeline() -> str:

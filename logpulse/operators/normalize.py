@@ -16,7 +16,9 @@ _MS_LIMIT = 9_223_372_036_854_775
 
 
 def timestamp_of_ms(ms: str) -> str:
-    return f"timestamp_millis(least(greatest({ms}, -{_MS_LIMIT}L), {_MS_LIMIT}L))"
+    # Not least(greatest(...)): those skip NULLs, and an unknown time must stay unknown.
+    within = f"if({ms} > {_MS_LIMIT}L, {_MS_LIMIT}L, if({ms} < -{_MS_LIMIT}L, -{_MS_LIMIT}L, {ms}))"
+    return f"timestamp_millis({within})"
 
 
 # One SQL rule per stored column. ``json`` is the parsed payload.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logpulse.config import SinkSettings
 from logpulse.schema import BATCH_GUARD
-from logpulse.sources.database import identifier, literal, scan
+from logpulse.sources.database import identifier
 from logpulse.streaming.batch import Batch
 
 logger = logging.getLogger(__name__)
@@ -28,6 +28,15 @@ def _marker(spark: SparkSession, batch: Batch) -> DataFrame:
     return spark.createDataFrame([row], _ROW).withColumn("committed_at", F.current_timestamp())
 
 
+def _entries(log: DataFrame, batch: Batch) -> DataFrame:
+    return log.where(
+        (F.col("batch_id") == batch.batch_id)
+        & (F.col("stream_name") == batch.stream)
+        & (F.col("target_table") == batch.table)
+        & (F.col("query_id") == batch.query_id)
+    )
+
+
 @dataclass(frozen=True)
 class FileCommitLog:
     path: str
@@ -42,13 +51,7 @@ class FileCommitLog:
             if exc.getCondition() == "PATH_NOT_FOUND":
                 raise GuardMissing(self.path) from exc
             raise
-        # ``batch_id`` first: it is what the files' statistics can exclude.
-        return not log.where(
-            (F.col("batch_id") == batch.batch_id)
-            & (F.col("stream_name") == batch.stream)
-            & (F.col("target_table") == batch.table)
-            & (F.col("query_id") == batch.query_id)
-        ).isEmpty()
+        return not _entries(log, batch).isEmpty()
 
     def mark(self, spark: SparkSession, batch: Batch) -> None:
         _marker(spark, batch).coalesce(1).write.mode("append").parquet(self.path)
@@ -60,21 +63,21 @@ class JdbcCommitLog:
     table: str
 
     def seen(self, spark: SparkSession, batch: Batch) -> bool:
-        query = (
-            f"SELECT count(*) AS cnt FROM {identifier(self.table)} "
-            f"WHERE stream_name = {literal(batch.stream)} "
-            f"AND target_table = {literal(batch.table)} "
-            f"AND query_id = {literal(batch.query_id)} AND batch_id = {int(batch.batch_id)}"
-        )
         try:
-            row = scan(spark, self.settings, query).first()
+            log = (
+                spark.read.format("jdbc")
+                .options(**self.settings.jdbc_options())
+                .option("dbtable", identifier(self.table))
+                .load()
+            )
+            # The filter is evaluated by the database, in its own dialect.
+            return not _entries(log, batch).isEmpty()
         except Exception as exc:
             text = str(exc).lower()
             absent = ("unknown table", "doesn't exist", "does not exist", "not found")
             if self.table.lower() in text and any(words in text for words in absent):
                 raise GuardMissing(self.table) from exc
             raise
-        return bool(row and row[0])
 
     def mark(self, spark: SparkSession, batch: Batch) -> None:
         marker = _marker(spark, batch)
