@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,11 +109,12 @@ def envelope_failed_publish(failed: DataFrame) -> DataFrame:
     )
 
 
-def to_messages(envelopes: DataFrame) -> DataFrame:
+def to_messages(envelopes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Envelopes as topic rows: key for partitioning, value as JSON of the ordered columns."""
     return envelopes.select(
         F.coalesce("source_key", "event_id").alias("key"),
         F.to_json(F.struct(*DLQ_ENVELOPE_COLUMNS)).alias("value"),
+        *keep,
     )
 
 

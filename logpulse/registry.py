@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,8 +77,9 @@ def log(spark: SparkSession, sf_dir: str, columns=None, **options) -> DataFrame:
 
 
 def clock(spark: SparkSession, sf_dir: str) -> Column:
-    """"Now" of the replay: the newest broker time, a scalar subquery over two columns."""
-    return raw_rows(spark, sf_dir).select(F.max("timestamp")).scalar()
+    """"Now" of the replay: the newest broker time, a scalar subquery that parses nothing."""
+    sent = tb.log_rows(tb.events(spark, sf_dir), repeats=False)
+    return sent.select(F.timestamp_millis(F.max("broker_ms"))).scalar()
 
 
 # --- parsing, normalisation, dead letters -----------------------------------------------------
@@ -399,13 +400,11 @@ def _(spark, d):
     return serve.stage_p95_10s(catalog.LATENCY_10S.states(log(spark, d, TIMELINE)))
 
 
-def _recent(spark, d, columns, minutes):
+def _recent(spark, d, columns, minutes, now=None):
     """Events of the last minutes, cut by bucket before they are parsed."""
-    events = log(spark, d, columns)
-    return events.where(
-        bucket_of("kafka_received_at", 60)
-        >= clock(spark, d) - F.make_dt_interval(mins=F.lit(minutes))
-    )
+    now = clock(spark, d) if now is None else now
+    since = now - F.make_dt_interval(mins=F.lit(minutes))
+    return log(spark, d, columns).where(bucket_of("kafka_received_at", 60) >= since)
 
 
 @register("q5_latest_traffic")
@@ -425,27 +424,28 @@ def _(spark, d):
     return serve.freshness(serve.last_minutes(events, now, 10, at="kafka_received_at"), now)
 
 
-def _recent_dlq(spark, d, minutes):
+def _recent_dlq(spark, d, minutes, now):
     states = catalog.DLQ_1M.states(tb.dead_letters(raw_rows(spark, d)))
-    return serve.last_minutes(states, clock(spark, d), minutes)
+    return serve.last_minutes(states, now, minutes)
 
 
 @register("q8_a18_j2_dlq_rate")
 def _(spark, d):
-    traffic = catalog.TRAFFIC_1M.states(_recent(spark, d, TRAFFIC, 5))
-    return serve.dlq_rate(_recent_dlq(spark, d, 5), traffic)
+    now = clock(spark, d)
+    traffic = catalog.TRAFFIC_1M.states(_recent(spark, d, TRAFFIC, 5, now))
+    return serve.dlq_rate(_recent_dlq(spark, d, 5, now), traffic)
 
 
 @register("q9_j1_health")
 def _(spark, d):
     now = clock(spark, d)
-    traffic = catalog.TRAFFIC_1M.states(_recent(spark, d, TRAFFIC, 5))
+    traffic = catalog.TRAFFIC_1M.states(_recent(spark, d, TRAFFIC, 5, now))
     arrived = log(spark, d, ["kafka_received_at"])
     return serve.health(
         serve.latest_traffic(traffic),
-        serve.latest_bucket(serve.exact_stage_p95(_recent(spark, d, TIMELINE, 5))),
+        serve.latest_bucket(serve.exact_stage_p95(_recent(spark, d, TIMELINE, 5, now))),
         serve.freshness(serve.last_minutes(arrived, now, 10, at="kafka_received_at"), now),
-        serve.dlq_rate(_recent_dlq(spark, d, 5), traffic),
+        serve.dlq_rate(_recent_dlq(spark, d, 5, now), traffic),
     )
 
 
@@ -643,13 +643,11 @@ def _readings(spark, d):
     """Ten-second traffic of each service; low when under the service's own average."""
     r = replace(catalog.TRAFFIC_10S, dims=(("service", "service"),))
     traffic = r.states(log(spark, d, TRAFFIC))
-    average = traffic.groupBy("service").agg(
-        F.sum("total").alias("all"), F.count("*").alias("buckets")
-    )
-    return traffic.join(average, "service").select(
+    own = Window.partitionBy("service")
+    return traffic.select(
         F.col("service").alias("key"),
         F.col("bucket").alias("at"),
-        (F.col("total") * F.col("buckets") < F.col("all")).alias("breached"),
+        (F.col("total") * F.count("*").over(own) < F.sum("total").over(own)).alias("breached"),
     )
 
 

@@ -10,6 +10,16 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def create(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.mkdirs(folder)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     files, folder = _folder(spark, path)
     if not files.exists(folder):

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import logging
 from dataclasses import dataclass
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logpulse.config import SinkSettings
-from logpulse.schema import BATCH_GUARD
+from logpulse.sources import storage
 from logpulse.sources.database import identifier
 from logpulse.streaming.batch import Batch
 
-logger = logging.getLogger(__name__)
-
 _ROW = "stream_name STRING, target_table STRING, query_id STRING, batch_id BIGINT"
 
 
@@ -28,33 +25,37 @@ def _marker(spark: SparkSession, batch: Batch) -> DataFrame:
     return spark.createDataFrame([row], _ROW).withColumn("committed_at", F.current_timestamp())
 
 
-def _entries(log: DataFrame, batch: Batch) -> DataFrame:
-    return log.where(
-        (F.col("batch_id") == batch.batch_id)
-        & (F.col("stream_name") == batch.stream)
-        & (F.col("target_table") == batch.table)
-        & (F.col("query_id") == batch.query_id)
-    )
-
-
 @dataclass(frozen=True)
 class FileCommitLog:
+    """One folder per batch, so that looking one up touches nothing else in the log.
+
+    Read as a table, the folder names are its columns.
+    """
+
     path: str
 
+    def _entry(self, batch: Batch) -> str:
+        keys = {
+            "stream_name": batch.stream,
+            "target_table": batch.table,
+            "query_id": batch.query_id,
+            "batch_id": str(batch.batch_id),
+        }
+        return "/".join([self.path, *[f"{k}={quote(v, safe='')}" for k, v in keys.items()]])
+
     def create(self, spark: SparkSession) -> None:
-        spark.createDataFrame([], BATCH_GUARD).write.mode("append").parquet(self.path)
+        storage.create(spark, self.path)
 
     def seen(self, spark: SparkSession, batch: Batch) -> bool:
-        try:
-            log = spark.read.schema(BATCH_GUARD).parquet(self.path)
-        except AnalysisException as exc:
-            if exc.getCondition() == "PATH_NOT_FOUND":
-                raise GuardMissing(self.path) from exc
-            raise
-        return not _entries(log, batch).isEmpty()
+        if storage.exists(spark, f"{self._entry(batch)}/_SUCCESS"):
+            return True
+        if not storage.exists(spark, self.path):
+            raise GuardMissing(self.path)
+        return False
 
     def mark(self, spark: SparkSession, batch: Batch) -> None:
-        _marker(spark, batch).coalesce(1).write.mode("append").parquet(self.path)
+        row = _marker(spark, batch).select("committed_at").coalesce(1)
+        row.write.mode("overwrite").parquet(self._entry(batch))
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,12 @@ class JdbcCommitLog:
                 .load()
             )
             # The filter is evaluated by the database, in its own dialect.
-            return not _entries(log, batch).isEmpty()
+            return not log.where(
+                (F.col("batch_id") == batch.batch_id)
+                & (F.col("stream_name") == batch.stream)
+                & (F.col("target_table") == batch.table)
+                & (F.col("query_id") == batch.query_id)
+            ).isEmpty()
         except Exception as exc:
             text = str(exc).lower()
             absent = ("unknown table", "doesn't exist", "does not exist", "not found")

@@ -174,7 +174,7 @@ def event_log(
 def dead_letters(raw: DataFrame, *, mode: str = "strict") -> DataFrame:
     """The dead-letter table: bad rows through the envelope, the topic and back."""
     _, bad = split_events(replay_parse(raw), mode)
-    topic = to_messages(envelope_bad_rows(bad))
+    topic = to_messages(envelope_bad_rows(bad), keep=["created_ms"])
     # The topic adds its own coordinates; the receive time is the one the bad row had.
     delivered = topic.selectExpr(
         "CAST(key AS BINARY) AS key",
@@ -182,6 +182,6 @@ def dead_letters(raw: DataFrame, *, mode: str = "strict") -> DataFrame:
         "'logs.dlq' AS topic",
         "0 AS partition",
         "CAST(NULL AS BIGINT) AS offset",
-        "timestamp_millis(CAST(get_json_object(value, '$.created_ms') AS BIGINT)) AS timestamp",
+        "timestamp_millis(created_ms) AS timestamp",
     )
     return parse_dlq(delivered, processed_at=F.col("kafka_received_at"))

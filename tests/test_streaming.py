@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from logpulse import testbed as tb
-from logpulse.config import FactSettings, SinkSettings, StreamSettings, TelemetrySettings
+from logpulse.config import DlqSettings, FactSettings, SinkSettings, StreamSettings, TelemetrySettings
 from logpulse.operators.normalize import normalize_events
 from logpulse.operators.parse import good_events, parse_events
-from logpulse.plans.catalog import EVENT_ROLLUPS, TRAFFIC_1M
+from logpulse.plans.catalog import EVENT_ROLLUPS, TRAFFIC_1M, TRAFFIC_10S
 from logpulse.schema import BROKER_ROW, EVENT_LOG_COLUMNS, names
 from logpulse.sources import telemetry
 from logpulse.sources.tables import read_table
@@ -19,7 +20,7 @@ from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome, partitioned
 from logpulse.streaming.guard import FileCommitLog, not_committed
 from logpulse.streaming.ingest import Ingest
-from logpulse.streaming.microbatch import MicroBatch
+from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.targets import FileTopic, ParquetTable
 
@@ -116,6 +117,72 @@ def test_stream_stores_what_batch_computes(spark, topics, folder, combined):
     lines = telemetry.timings(spark, f"{folder}/timing.log")
     stages = {r.stage for r in lines.where("table = 'event_log'").select("stage").collect()}
     assert stages == {"transform", "write"}
+    # So do the progress lines; the listener is told asynchronously.
+    for _ in range(50):
+        seen = telemetry.progress(spark, f"{folder}/progress.log")
+        events = {r.event for r in seen.select("event").collect()}
+        if events == {"started", "progress", "terminated"}:
+            break
+        time.sleep(0.2)
+    assert events == {"started", "progress", "terminated"}
+    read = seen.where("query = 'event_log_stream'").agg(F.sum("numInputRows")).first()[0]
+    assert read == raw.count()
+
+
+def test_running_until_stopped(spark, topics, folder):
+    """Processing-time triggers, and queries that keep running."""
+    app = ingest(
+        spark,
+        copy_topics(spark, topics, folder),
+        folder,
+        fact=FactSettings(trigger="200 milliseconds"),
+        dlq=DlqSettings(table_trigger="200 milliseconds", topic_trigger="200 milliseconds"),
+        combined=False,
+    )
+    app.once = False
+    queries = app.start()
+    try:
+        assert [q.name for q in queries] == [
+            "event_log_stream", "event_log_dlq_kafka_stream", "event_log_dlq_stream",
+        ]
+        for query in queries:
+            query.processAllAvailable()
+        dead = read_table(spark, f"{folder}/tables/event_log_dlq").count()
+        assert dead == tb.dead_letters(tb.broker_rows(tb.events(spark, SF_DIR))).count()
+        assert all(q.isActive for q in queries)
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def test_native_windows_drop_what_is_late(spark, folder):
+    """The opt-in mode; per-batch maintenance has no cut-off (see the rollup store)."""
+    rows = "kafka_received_at TIMESTAMP, event_id STRING, status_code INT"
+    at = F.timestamp_seconds(F.col("s"))
+    for n, seconds in enumerate(([0, 5, 100], [200], [3, 400])):
+        df = spark.createDataFrame([(s,) for s in seconds], "s INT").select(
+            at.alias("kafka_received_at"), F.lit("e").alias("event_id"), F.lit(500).alias("status_code")
+        )
+        df.coalesce(1).write.parquet(f"{folder}/in/{n}")
+        time.sleep(0.05)
+    stream = (
+        spark.readStream.schema(rows)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", "1")
+        .parquet(f"{folder}/in")
+    )
+
+    def keep(df, batch_id):
+        df.write.mode("append").parquet(f"{folder}/out")
+
+    states = TRAFFIC_10S.stream_states(stream, "10 seconds")
+    start(states, keep, f"{folder}/checkpoint", once=True).awaitTermination()
+    got = {
+        int(r.bucket.timestamp()): (r.total, r.errors)
+        for r in spark.read.parquet(f"{folder}/out").collect()
+    }
+    # 3 s arrived after its bucket was closed and emitted.
+    assert got[0] == (2, 2) and got[100] == (1, 1)
 
 
 def test_restart_takes_only_new_files(spark, topics, folder):
