@@ -137,15 +137,19 @@ class SharedStates:
         return (m.kind, m.expr, m.where, r.where)
 
     @staticmethod
-    def _bucket(time: str) -> str:
+    def bucket(time: str) -> str:
+        """Name of the stored bucket of a time column."""
         return f"bucket_of__{time}"
 
+    def __getitem__(self, name: str) -> Rollup:
+        return {r.name: r for r in self.rollups}[name]
+
     @property
     def keys(self) -> list[str]:
-        return [*map(self._bucket, self.times), *self.dims]
+        return [*map(self.bucket, self.times), *self.dims]
 
     def states(self, df: DataFrame) -> DataFrame:
-        keys = [bucket_of(t, s).alias(self._bucket(t)) for t, s in self.times.items()]
+        keys = [bucket_of(t, s).alias(self.bucket(t)) for t, s in self.times.items()]
         keys += [F.expr(sql).alias(name) for name, sql in self.dims.items()]
         present = [
             F.expr(f"count_if({where})" if where else "count(1)").alias(name)
@@ -163,10 +167,10 @@ class SharedStates:
 
     def rollup(self, states: DataFrame, name: str) -> DataFrame:
         """One rollup's merged states out of the shared ones."""
-        r = {r.name: r for r in self.rollups}[name]
+        r = self[name]
         present = states.where(F.col(self._presence[r.where]) > 0)
         keys = [
-            bucket_of(self._bucket(r.at), r.seconds).alias("bucket"),
+            bucket_of(self.bucket(r.at), r.seconds).alias("bucket"),
             *[F.col(dim) for dim, _ in r.dims],
         ]
         return present.groupBy(*keys).agg(

@@ -9,7 +9,7 @@ exists at which a batch counts twice or not at all.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,9 +79,23 @@ class RollupStore:
             rows = rows.where(F.col(DAY) <= F.lit(until))
         return rows
 
-    def rollup(self, spark: SparkSession, name: str, **days: date | None) -> DataFrame:
-        """Merged states of one rollup."""
-        return self.shared.rollup(self.states(spark, **days), name)
+    def rollup(
+        self, spark: SparkSession, name: str, *, since: datetime | None = None
+    ) -> DataFrame:
+        """Merged states of one rollup, from ``since`` on.
+
+        Where the rollup is bucketed by the time the states are filed under, ``since`` is cut
+        to day folders and, within files, to the row groups of the stored bucket.
+        """
+        r = self.shared[name]
+        if since is None:
+            return self.shared.rollup(self.states(spark), name)
+        states = self.states(spark)
+        if self.shared.bucket(r.at) == self._day_of:
+            states = states.where(
+                (F.col(DAY) >= F.to_date(F.lit(since))) & (F.col(self._day_of) >= F.lit(since))
+            )
+        return self.shared.rollup(states, name).where(F.col("bucket") >= F.lit(since))
 
     def compact(self, spark: SparkSession, day: date) -> None:
         """Merge a day's states into one per key. Safe to repeat; late batches stay readable."""

@@ -12,7 +12,9 @@ from logpulse.config import (
     StreamSettings,
     interval_seconds,
 )
+from logpulse.plans.thresholds import load_limits
 from logpulse.sources.broker import kafka_options
+from logpulse.streaming.alerts import AlertRule, LevelRule
 
 
 @pytest.mark.parametrize(
@@ -177,3 +179,12 @@ def test_timestamp_columns():
         assert not RETIRED & set(columns)
     assert len(schema.EVENT_LOG_COLUMNS) == 26 and len(schema.EVENT_LOG_DLQ_COLUMNS) == 13
     assert len(schema.EVENT_FIELDS) == 20
+
+
+def test_limits_and_rules_from_settings():
+    limits = load_limits({"EPS_MIN": "5", "P95_E2E_MS_MAX": "1000", "DLQ_RATE_PCT_MAX": ""})
+    assert limits["eps_low"].limit == 5 and limits["eps_low"].below
+    assert limits["e2e_p95"].limit == 1000 and limits["dlq_rate"].limit == 1
+    assert AlertRule.load({"ALERT_COOLDOWN_SEC": "60"}) == AlertRule(cooldown_seconds=60)
+    rule = LevelRule.load({"SCALE_UP_STREAK": "4"})
+    assert (rule.up_streak, rule.down_streak, rule.mid_to_high) == (4, 3, 2500)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -402,6 +402,21 @@ def test_rollup_store_replay_compaction_and_late_batches(spark, folder):
     store.compact(spark, date(2024, 1, 1))
     store.compact(spark, date(2024, 1, 1))
     check(log)
+    # Times are cut to folders and row groups.
+    since = datetime(2024, 1, 1, 0, 20)
+    late = store.rollup(spark, "traffic_1m", since=since)
+    assert bag(late, TRAFFIC_1M.columns) == bag(
+        TRAFFIC_1M.states(log).where(F.col("bucket") >= F.lit(since)), TRAFFIC_1M.columns
+    )
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(bucket_date" in plan
+    assert "GreaterThanOrEqual(bucket_of__kafka_received_at" in plan
+    created = store.rollup(spark, "created_stored_1m", since=since)
+    assert created.count() == store.rollup(spark, "created_stored_1m").where(
+        F.col("bucket") >= F.lit(since)
+    ).count()
     # A range of days reads those folders only.
     assert store.states(spark, since=date(2024, 1, 2)).count() == 0
 
