@@ -377,7 +377,7 @@ def test_partitions_without_counting(spark):
 
 # --- rollup store -----------------------------------------------------------------------------
 def test_rollup_store_replay_compaction_and_late_batches(spark, folder):
-    log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR)))
+    log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
     parts = [log.where(F.col("kafka_partition") == p) for p in range(3)]
     store = RollupStore(f"{folder}/rollups", EVENT_ROLLUPS)
     store(parts[0], Batch("s", "t", 0, "q"))
