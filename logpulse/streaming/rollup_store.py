@@ -113,3 +113,11 @@ class RollupStore:
         aside = f"{self.path}/compacting/{day.isoformat()}"
         whole.hint("rebalance").write.mode("overwrite").parquet(aside)
         self._save(spark.read.parquet(aside), "closed", (DAY,))
+
+    def merged_batches(self, spark: SparkSession, day: date) -> list[str]:
+        """Keys of the batches a compacted day is made of (names, not rows of data)."""
+        closed = self._part(spark, "closed")
+        if closed is None:
+            return []
+        listed = closed.where((F.col(DAY) == F.lit(day)) & F.col(BATCH).isNotNull())
+        return [row[0] for row in listed.select(BATCH).collect()]

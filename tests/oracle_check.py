@@ -18,6 +18,12 @@ TABLES = (
 ).split()
 
 
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -44,6 +50,10 @@ def compare(spark_df, con, sql) -> str | None:
     expected = as_bag(names, found.fetchall())
     if sorted(names) != sorted(spark_df.columns):
         return f"columns differ: spark {sorted(spark_df.columns)} duckdb {sorted(names)}"
+    kinds = dict(zip(names, [str(d[1]) for d in found.description], strict=True))
+    for name, kind in spark_df.dtypes:
+        if KINDS.get(kind) != kinds[name].upper():
+            return f"type of {name}: spark {kind} duckdb {kinds[name]}"
     actual = as_bag(spark_df.columns, spark_df.collect())
     if actual == expected:
         return None

@@ -12,14 +12,16 @@ from logpulse import testbed as tb
 from logpulse.config import DlqSettings, FactSettings, SinkSettings, StreamSettings, TelemetrySettings
 from logpulse.operators.normalize import normalize_events
 from logpulse.operators.parse import good_events, parse_events
+from logpulse.operators.dedup import keep_latest
 from logpulse.plans.catalog import EVENT_ROLLUPS, TRAFFIC_1M, TRAFFIC_10S
 from logpulse.schema import BROKER_ROW, EVENT_LOG_COLUMNS, names
-from logpulse.sources import telemetry
+from logpulse.sources import storage, telemetry
 from logpulse.sources.tables import read_table
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome, partitioned
 from logpulse.streaming.guard import FileCommitLog, not_committed
 from logpulse.streaming.ingest import Ingest
+from logpulse.streaming.maintenance import close_rollup_day, expire, settle_day
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.targets import FileTopic, ParquetTable
@@ -428,3 +430,40 @@ def test_rollups_can_be_switched_off(spark, folder):
     assert store.rollup(spark, "lag_1m").count() > 0
     with pytest.raises(KeyError):
         store.rollup(spark, "traffic_1m")
+
+
+# --- maintenance ------------------------------------------------------------------------------
+def test_settling_a_day_keeps_the_latest_and_merges_files(spark, folder):
+    log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
+    table = ParquetTable(f"{folder}/t", "kafka_received_at", ("service", "event_id"))
+    for n in range(3):
+        part = log.where(F.col("kafka_partition") == n)
+        table.write(part, Batch("s", "t", n, "q"))
+    day = date(2024, 1, 1)
+    expected = keep_latest(log, scope="partition").where(F.to_date("kafka_received_at") == F.lit(day))
+    settled = settle_day(spark, table, day)
+    assert bag(settled, EVENT_LOG_COLUMNS) == bag(expected, EVENT_LOG_COLUMNS)
+    assert settled.select("batch_key").distinct().count() == 1
+    # A replay of a settled batch only brings back repeats.
+    table.write(log.where("kafka_partition = 0"), Batch("s", "t", 0, "q"))
+    again = keep_latest(read_table(spark, table.path, since=day, until=day), scope="partition")
+    assert bag(again, EVENT_LOG_COLUMNS) == bag(expected, EVENT_LOG_COLUMNS)
+
+
+def test_closing_a_rollup_day_and_expiry(spark, folder):
+    log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
+    store = RollupStore(f"{folder}/rollups/event_log", EVENT_ROLLUPS)
+    for n in range(3):
+        store(log.where(F.col("kafka_partition") == n), Batch("s", "t", n, "q"))
+    day = date(2024, 1, 1)
+    before = bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"])
+    close_rollup_day(spark, store, day)
+    assert len(store.merged_batches(spark, day)) == 3
+    assert storage.subfolders(spark, f"{store.path}/open/bucket_date=2024-01-01") == []
+    assert bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"]) == before
+    ParquetTable(f"{folder}/event_log", "kafka_received_at").write(log, Batch("s", "t", 0))
+    expected = {"event_log/ingest_date=2024-01-01"}
+    assert set(expire(spark, folder, date(2024, 1, 4), dry_run=True)) == expected
+    gone = expire(spark, folder, date(2024, 1, 8))
+    assert expected <= set(gone) and any("rollups/event_log/closed" in name for name in gone)
+    assert storage.subfolders(spark, f"{folder}/event_log") == []
