@@ -17,6 +17,8 @@ from logpulse.plans.catalog import EVENT_ROLLUPS, TRAFFIC_1M, TRAFFIC_10S
 from logpulse.schema import BROKER_ROW, EVENT_LOG_COLUMNS, names
 from logpulse.sources import storage, telemetry
 from logpulse.sources.tables import read_table
+from logpulse.sources.views import register_views
+from logpulse.streaming.alerts import AlertRule, LevelRule, in_order, in_stream
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome, partitioned
 from logpulse.streaming.guard import FileCommitLog, not_committed
@@ -115,6 +117,16 @@ def test_stream_stores_what_batch_computes(spark, topics, folder, combined):
     assert bag(kept, TRAFFIC_1M.columns) == bag(TRAFFIC_1M.states(expected), TRAFFIC_1M.columns)
     lag = store.rollup(spark, "lag_1m").agg(F.sum("cnt"), F.sum("sum_lag")).first()
     assert lag[0] == expected.count() and lag[1] >= 0
+    # Everything stored can be asked in SQL.
+    views = register_views(spark, f"{folder}/tables", prefix="stored_")
+    assert len(views) == 2 + len(EVENT_ROLLUPS) + 1
+    answer = spark.sql(
+        "SELECT kll_sketch_get_quantile_double(kll_merge_agg_double(e2e_ms), 0.95D) AS p95, "
+        "(SELECT sum(total) FROM stored_traffic_1m) AS n, (SELECT count(*) FROM stored_event_log) "
+        "AS stored, (SELECT sum(total) FROM stored_dlq_1m) AS dead FROM stored_latency_stage_10s"
+    ).first()
+    assert answer.p95 > 0 and answer.n == answer.stored == expected.count()
+    assert answer.dead == dead.count()
     # The timing lines parse.
     lines = telemetry.timings(spark, f"{folder}/timing.log")
     stages = {r.stage for r in lines.where("table = 'event_log'").select("stage").collect()}
@@ -432,6 +444,42 @@ def test_rollups_can_be_switched_off(spark, folder):
         store.rollup(spark, "traffic_1m")
 
 
+# --- stateful alerts --------------------------------------------------------------------------
+@pytest.mark.parametrize(
+    "rule",
+    [
+        AlertRule(grace_seconds=20, cooldown_seconds=60),
+        LevelRule(up_streak=2, down_streak=2, cooldown_seconds=40),
+    ],
+    ids=["alerts", "levels"],
+)
+def test_rules_keep_their_state_across_batches(spark, folder, rule):
+    readings = spark.range(0, 120).selectExpr(
+        "concat('k', id % 2) key", "timestamp_seconds(id * 7) at", "pmod(hash(id), 4) > 0 breached",
+        "CAST(pmod(hash(id), 4000) AS DOUBLE) lag_ms", "id",
+    )
+    for n in range(3):  # three files, three batches, in order of time
+        readings.where(f"id BETWEEN {n * 40} AND {n * 40 + 39}").drop("id").coalesce(1).write.parquet(
+            f"{folder}/in/{n}"
+        )
+        time.sleep(0.05)
+    stream = (
+        spark.readStream.schema(readings.drop("id").schema)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", "1")
+        .parquet(f"{folder}/in")
+    )
+
+    def keep(df, batch_id):
+        df.write.mode("append").parquet(f"{folder}/out")
+
+    start(in_stream(stream, rule), keep, f"{folder}/checkpoint", once=True).awaitTermination()
+    got = spark.read.parquet(f"{folder}/out")
+    expected = in_order(readings, rule)
+    assert bag(got, expected.columns) == bag(expected, expected.columns)
+    assert got.select(*rule.columns).distinct().count() > 2
+
+
 # --- maintenance ------------------------------------------------------------------------------
 def test_settling_a_day_keeps_the_latest_and_merges_files(spark, folder):
     log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
