@@ -15,6 +15,7 @@ import os
 import statistics
 import sys
 import time
+from datetime import timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from logpulse import testbed as tb
 from logpulse.config import SinkSettings, StreamSettings
-from logpulse.operators.normalize import normalize_events
+from logpulse.operators.normalize import normalize_events, payload_fields
 from logpulse.operators.parse import good_events, parse_events
 from logpulse.plans import catalog, serve
 from logpulse.registry import QUERIES
@@ -50,6 +51,10 @@ REGISTERED = (
     "q14_o3_top_services",
 )
 BATCH_ROWS = 20_000
+ROLLUP_COLUMNS = (
+    "event_timestamp", "kafka_received_at", "spark_received_at", "event_id", "service",
+    "status_code",
+)
 
 
 def consume(df) -> None:
@@ -105,8 +110,10 @@ def main() -> None:
         each(f"{root}/batch")(normalize_events(good_events(parsed)), 0)
 
     def rollups_only() -> None:
-        parsed = parse_events(topic_table(spark, source, "logs.all"))
-        log = normalize_events(good_events(parsed)).withColumns(
+        parsed = parse_events(
+            topic_table(spark, source, "logs.all"), fields=payload_fields(ROLLUP_COLUMNS)
+        )
+        log = normalize_events(good_events(parsed), columns=ROLLUP_COLUMNS).withColumns(
             {"spark_processed_at": F.current_timestamp(), "stored_at": F.current_timestamp()}
         )
         consume(catalog.EVENT_STATES.states(log))
@@ -144,13 +151,14 @@ def main() -> None:
     )
     dlq.write.parquet(f"{root}/dlq")
     dlq = spark.read.parquet(f"{root}/dlq")
-    now = F.lit(stored.agg(F.max("kafka_received_at")).first()[0])
+    newest = stored.agg(F.max("kafka_received_at")).first()[0]
+    now = F.lit(newest)
 
     def states(name):
         return kept.rollup(spark, name)
 
     def recent(name, minutes=5):
-        return serve.last_minutes(states(name), now, minutes)
+        return kept.rollup(spark, name, since=newest - timedelta(minutes=minutes))
 
     def p95(minutes=10, by=("bucket",)):
         return serve.stage_p95(recent("latency_service_1m", minutes), catalog.LATENCY_1M, by)

@@ -34,15 +34,10 @@ def exact_quantiles(
     ``percent`` is the answer, decided in integers.
     """
     by = list(by)
+    # Measures by position: every key of the aggregation and the sort is then fixed-width.
+    readings = F.posexplode(F.array(*[F.col(c).cast("bigint") for c in values.values()]))
     counted = (
-        df.select(
-            *by,
-            F.explode(
-                F.create_map(
-                    *[x for name, c in values.items() for x in (F.lit(name), F.col(c))]
-                )
-            ).alias("_measure", "_value"),
-        )
+        df.select(*by, readings.alias("_measure", "_value"))
         .where(F.col("_value").isNotNull())
         .groupBy(*by, "_measure", "_value")
         .agg(F.count("*").alias("_n"))
@@ -57,8 +52,8 @@ def exact_quantiles(
         .groupBy(*by)
         .agg(
             *[
-                F.min(F.when(F.col("_measure") == name, F.col("_value"))).alias(name)
-                for name in values
+                F.min(F.when(F.col("_measure") == position, F.col("_value"))).alias(name)
+                for position, name in enumerate(values)
             ]
         )
     )

@@ -161,12 +161,10 @@ def mean_lag_ms(states: DataFrame) -> DataFrame:
 
 
 def dlq_rate(dlq_states: DataFrame, traffic_states: DataFrame) -> DataFrame:
-    """Dead letters per hundred stored events: two one-row totals side by side."""
-    dlq = DLQ_1M.merge(dlq_states, by=[]).select(F.coalesce("total", F.lit(0)).alias("dlq"))
-    total = TRAFFIC_1M.merge(traffic_states, by=[]).select(
-        F.coalesce("total", F.lit(0)).alias("total")
-    )
-    return dlq.crossJoin(total).select(percent("dlq", "total").alias("dlq_rate_pct"))
+    """Dead letters per hundred stored events: one total divided by another."""
+    dlq = DLQ_1M.merge(dlq_states, by=[]).select("total").scalar()
+    total = TRAFFIC_1M.merge(traffic_states, by=[])
+    return total.select(or_zero(F.try_divide(dlq, F.col("total")) * 100).alias("dlq_rate_pct"))
 
 
 def health(

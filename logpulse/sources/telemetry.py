@@ -71,18 +71,39 @@ def latest_offsets(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def committed_offsets(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``{"topic": {"0": offset}}`` lines, as a source writes them to its checkpoint."""
-    topics = F.from_json(column, "MAP<STRING, MAP<STRING, BIGINT>>")
+TOPIC_OFFSETS = "MAP<STRING, MAP<STRING, BIGINT>>"  # {"topic": {"0": offset}}
+
+
+def _by_partition(topics: DataFrame) -> DataFrame:
+    """Rows of ``_topics`` maps to ``topic, partition, committed``."""
     return (
-        lines.where(F.col(column).startswith("{"))
-        .select(F.explode(topics).alias("topic", "_partitions"))
+        topics.select(F.explode("_topics").alias("topic", "_partitions"))
         .select("topic", F.explode("_partitions").alias("_partition", "committed"))
         .select("topic", F.expr("try_cast(_partition AS INT)").alias("partition"), "committed")
         .where("partition IS NOT NULL AND committed IS NOT NULL")
     )
 
 
+def committed_offsets(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Offset lines as a source writes them to its checkpoint."""
+    found = lines.where(F.col(column).startswith("{"))
+    return _by_partition(found.select(F.from_json(column, TOPIC_OFFSETS).alias("_topics")))
+
+
+def progress_offsets(lines: DataFrame, query: str, column: str = "value") -> DataFrame:
+    """End offsets of a query's sources in its newest progress line."""
+    told = lines.select(
+        F.from_json(
+            column,
+            "queryName STRING, progress STRUCT<batchId: BIGINT, sources: ARRAY<STRUCT<"
+            "endOffset: STRING>>>",
+        ).alias("_line")
+    ).where(F.col("_line.queryName") == query)
+    newest = told.agg(F.max_by("_line.progress.sources", "_line.progress.batchId").alias("_s"))
+    ends = newest.select(F.explode("_s.endOffset").alias("_end"))
+    return _by_partition(ends.select(F.from_json("_end", TOPIC_OFFSETS).alias("_topics")))
+
+
 def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Offsets of the newest batch of a checkpoint."""
     files = spark.read.text(f"{checkpoint}/offsets").select(

@@ -22,9 +22,14 @@ DAY, BATCH = "bucket_date", "batch_key"
 
 
 class RollupStore:
-    def __init__(self, path: str, rollups: Iterable[Rollup]):
-        """``rollups`` are the ones maintained; leave one out to switch it off."""
+    def __init__(self, path: str, rollups: Iterable[Rollup], *, backfill: bool = False):
+        """``rollups`` are the ones maintained; leave one out to switch it off.
+
+        ``backfill`` gathers each day's states before writing, for batches of many days; a
+        micro-batch leaves so few states that the shuffle would only cost time.
+        """
         self.path = path
+        self.backfill = backfill
         self.shared = SharedStates(rollups)
         # States are filed under the day of the ingest bucket, where there is one.
         times = self.shared.keys[: len(self.shared.times)]
@@ -33,16 +38,18 @@ class RollupStore:
     def __call__(self, df: DataFrame, batch: Batch) -> None:
         """Add a batch (also on replay)."""
         states = self.shared.states(df).withColumn(BATCH, F.lit(batch.key))
-        self._save(states, "open", (DAY, BATCH))
+        self._save(states, "open", (DAY, BATCH), gather=self.backfill)
 
-    def _save(self, states: DataFrame, part: str, by: tuple[str, ...]) -> None:
+    def _save(
+        self, states: DataFrame, part: str, by: tuple[str, ...], *, gather: bool
+    ) -> None:
         day = F.coalesce(F.to_date(self._day_of), F.lit(date(1970, 1, 1)))
         if DAY not in states.columns:
             states = states.withColumn(DAY, day)
-        # A micro-batch leaves a few rows per bucket, a backfill many: AQE sizes the files.
+        if gather:
+            states = states.hint("rebalance", DAY)  # AQE sizes the files
         (
-            states.hint("rebalance", DAY)
-            .write.mode("overwrite")
+            states.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*by)
             .parquet(f"{self.path}/{part}")
@@ -112,7 +119,7 @@ class RollupStore:
         # The day is read and overwritten by the same job: put it aside first.
         aside = f"{self.path}/compacting/{day.isoformat()}"
         whole.hint("rebalance").write.mode("overwrite").parquet(aside)
-        self._save(spark.read.parquet(aside), "closed", (DAY,))
+        self._save(spark.read.parquet(aside), "closed", (DAY,), gather=True)
 
     def merged_batches(self, spark: SparkSession, day: date) -> list[str]:
         """Keys of the batches a compacted day is made of (names, not rows of data)."""

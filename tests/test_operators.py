@@ -490,6 +490,20 @@ def test_checkpoint_offsets_of_the_newest_batch(spark, tmp_path):
     assert [(r.topic, r.partition, r.committed) for r in rows] == [("t", 0, 8)]
 
 
+def test_offsets_from_progress_lines(spark):
+    def line(batch, offset, query="q"):
+        return (
+            f'{{"queryName":"{query}","progress":{{"batchId":{batch},"sources":[{{"description":"d",'
+            f'"endOffset":{{"t":{{"0":{offset},"1":7}}}}}},{{"endOffset":null}}]}}}}',
+        )
+
+    lines = spark.createDataFrame(
+        [line(9, 5), line(10, 8), line(11, 99, "other"), ('{"event":"started"}',)], "value STRING"
+    )
+    rows = telemetry.progress_offsets(lines, "q").orderBy("partition").collect()
+    assert [(r.topic, r.partition, r.committed) for r in rows] == [("t", 0, 8), ("t", 1, 7)]
+
+
 def test_timing_summary(spark):
     lines = [
         "2024-01-01T00:00:00Z [spark batch] stream=s table=t query=q batch_id=0 stage=transform duration=1.000s",
