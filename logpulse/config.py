@@ -13,6 +13,7 @@ from typing import Any, Self
 
 
 def _flag(text: str) -> bool:
+    # Texts that mean yes.
     return text.lower() in {"1", "true", "yes", "y"}
 
 
@@ -52,6 +53,7 @@ class Settings:
         return cls(**found)
 
 
+# Spellings of units in interval texts.
 _UNIT_SECONDS = {
     "ms": 0.001, "millisecond": 0.001, "milliseconds": 0.001,
     "s": 1, "sec": 1, "secs": 1, "second": 1, "seconds": 1,
@@ -204,6 +206,8 @@ class SessionSettings(Settings):
     executor_memory: str | None = option("SPARK_STREAM_EXECUTOR_MEMORY")
     executor_memory_overhead: str | None = option("SPARK_STREAM_EXECUTOR_MEMORY_OVERHEAD")
     shuffle_partitions: int | None = option("SPARK_STREAM_SHUFFLE_PARTITIONS", "int")
+    # Size of a task's share of a file scan: the read parallelism of batches.
+    max_partition_bytes: str | None = option("SPARK_MAX_PARTITION_BYTES")
     dedup_keys: tuple[str, ...] | None = option("SPARK_FACT_DEDUP_KEYS", "keys")
     event_log_dir: str | None = option("SPARK_EVENT_LOG_DIR")
 
@@ -213,6 +217,7 @@ class SessionSettings(Settings):
             "spark.driver.memoryOverhead": self.driver_memory_overhead,
             "spark.executor.memory": self.executor_memory,
             "spark.executor.memoryOverhead": self.executor_memory_overhead,
+            "spark.sql.files.maxPartitionBytes": self.max_partition_bytes,
         }
         # The stream only shuffles when it deduplicates; otherwise leave Spark's default.
         if self.dedup_keys:

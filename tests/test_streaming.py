@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import time
 from datetime import date, datetime
 
@@ -213,6 +214,34 @@ def test_restart_takes_only_new_files(spark, topics, folder):
     assert read_table(spark, f"{folder}/tables/event_log").count() == before + added
 
 
+def test_crash_before_the_checkpoint_commit_changes_nothing(spark, topics, folder):
+    """The last batch is delivered again after a restart, and replaces itself."""
+    topics = copy_topics(spark, topics, folder)
+    app = ingest(
+        spark, topics, folder, stream=settings(topics, enable_dlq=False), files_per_trigger=2
+    )
+    app.run()
+
+    def state():
+        stored = read_table(spark, f"{folder}/tables/event_log")
+        kept = RollupStore(f"{folder}/tables/rollups/event_log", EVENT_ROLLUPS)
+        return bag(stored, [*CONTENT, "batch_key"]), bag(
+            kept.rollup(spark, "traffic_1m"), TRAFFIC_1M.columns
+        )
+
+    before = state()
+    commits = f"{folder}/checkpoints/event_log/commits"
+    names_ = [n for n in os.listdir(commits) if n.isdigit()]
+    assert len(names_) > 1
+    last = max(names_, key=int)
+    os.remove(f"{commits}/{last}")
+    if os.path.exists(f"{commits}/.{last}.crc"):
+        os.remove(f"{commits}/.{last}.crc")
+    app.run()
+    assert os.path.exists(f"{commits}/{last}")
+    assert state() == before
+
+
 def test_stateful_deduplication_drops_replays(spark, topics, folder):
     topics = copy_topics(spark, topics, folder)
     app = ingest(
