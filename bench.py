@@ -32,7 +32,6 @@ from logpulse.schema import BROKER_ROW, names
 from logpulse.session import scratch_dir, tune
 from logpulse.sources.broker import topic_stream, topic_table
 from logpulse.sources.tables import read_table
-from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore

@@ -24,22 +24,22 @@ def _envelope(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     )
 
 
+_BAD_ROW = {
+    "error_type": "coalesce(error_type, 'unknown')",
+    "error_message": "coalesce(error_message, '')",
+    "event_id": f"coalesce({record_id()}, sha2(raw_json, 256), 'unknown')",
+    "source_topic": "topic",
+    "source_partition": "partition",
+    "source_offset": "offset",
+    "source_key": "kafka_key",
+    "created_ms": "unix_millis(kafka_received_at)",
+    "raw_json": "raw_json",
+}
+
+
 def envelope_bad_rows(bad: DataFrame) -> DataFrame:
     """Envelopes for rows that failed parsing. Their service and request are not known."""
-    return _envelope(
-        bad,
-        {
-            "error_type": "coalesce(error_type, 'unknown')",
-            "error_message": "coalesce(error_message, '')",
-            "event_id": f"coalesce({record_id()}, sha2(raw_json, 256), 'unknown')",
-            "source_topic": "topic",
-            "source_partition": "partition",
-            "source_offset": "offset",
-            "source_key": "kafka_key",
-            "created_ms": "unix_millis(kafka_received_at)",
-            "raw_json": "raw_json",
-        },
-    )
+    return _envelope(bad, _BAD_ROW)
 
 
 def envelope_failed_batch(
@@ -118,6 +118,21 @@ def to_messages(envelopes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def dead_letter_rows(bad: DataFrame) -> DataFrame:
+    """Bad rows straight to the dead-letter table, for backfills: no topic in between.
+
+    They are filed under the time the broker received them.
+    """
+    rows = _envelope(bad, _BAD_ROW).withColumns(
+        {
+            "kafka_received_at": F.timestamp_millis("created_ms"),
+            "event_timestamp": F.timestamp_millis("created_ms"),
+            "spark_processed_at": F.current_timestamp(),
+        }
+    )
+    return rows.select(*EVENT_LOG_DLQ_COLUMNS)
+
+
 def parse_dlq(raw: DataFrame, *, mode: str = "strict", processed_at: Column | None = None):
     """Dead-letter topic rows to the dead-letter table.
 

@@ -481,6 +481,8 @@ SELECT key, at_ms, lag_ms, ['low', 'mid', 'high'][level + 1] AS level,
 _add("k1_k10_stored_days", """
 SELECT strftime(make_timestamp(broker_ms * 1000), '%Y-%m-%d') AS ingest_date, service, count(*) AS n,
   count(DISTINCT event_id) AS events FROM log GROUP BY ALL""")
+_add("st12_backfilled_traffic_1m", _A1)
+_add("k1_k4_backfilled_dead_letters", _A6)
 _add("st8_k6_guarded_replay", "SELECT service, count(*) AS n FROM log GROUP BY service")
 _add("k5_st10_refused_batch", """
 SELECT 'sink_write_failed' AS error_type, 'table is read-only' AS error_message, service,

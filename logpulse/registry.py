@@ -32,7 +32,7 @@ from logpulse.streaming import alerts
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery
 from logpulse.streaming.guard import FileCommitLog, not_committed
-from logpulse.streaming.ingest import DeadLetterTopic
+from logpulse.streaming.ingest import DeadLetterTopic, backfill
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.targets import FileTopic, ParquetTable
@@ -697,6 +697,22 @@ def _(spark, d):
     )
 
 
+@register("st12_backfilled_traffic_1m")
+def _(spark, d):
+    root = scratch_dir(spark, "backfill")
+    for _ in range(2):  # repeated, it replaces itself
+        backfill(raw_rows(spark, d), root, "sample", dead_letters=False)
+    return _store(root, "rollups/event_log").rollup(spark, "traffic_1m")
+
+
+@register("k1_k4_backfilled_dead_letters")
+def _(spark, d):
+    root = scratch_dir(spark, "backfill")
+    backfill(raw_rows(spark, d), root, "sample")
+    store = RollupStore(f"{root}/rollups/event_log_dlq", catalog.DLQ_ROLLUPS)
+    return store.rollup(spark, "dlq_1m")
+
+
 @register("st8_k6_guarded_replay")
 def _(spark, d):
     root = scratch_dir(spark, "guarded")
@@ -755,8 +771,8 @@ def _(spark, d):
     return read_table(spark, f"{root}/event_log").select(*CONTENT)
 
 
-def _store(root):
-    return RollupStore(f"{root}/rollups", catalog.EVENT_ROLLUPS)
+def _store(root, part="rollups"):
+    return RollupStore(f"{root}/{part}", catalog.EVENT_ROLLUPS)
 
 
 @register("st12_streamed_traffic_1m")

@@ -22,7 +22,7 @@ class Batch:
         Batch ids restart at zero when a checkpoint is discarded; the query id is then new as
         well, so old data is never taken for a replay of new data.
         """
-        return f"{self.query_id.split('-')[0]}-{self.batch_id}"
+        return f"{self.query_id}-{self.batch_id}"
 
     @staticmethod
     def query_id_of(df: DataFrame) -> str:

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logpulse.config import SinkSettings
+from logpulse.schema import BATCH_GUARD, only
 from logpulse.sources import storage
 from logpulse.sources.database import identifier
 from logpulse.streaming.batch import Batch
 
-_ROW = "stream_name STRING, target_table STRING, query_id STRING, batch_id BIGINT"
+_ROW = only(BATCH_GUARD, ["stream_name", "target_table", "query_id", "batch_id"])
 
 
 class GuardMissing(Exception):

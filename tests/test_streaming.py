@@ -23,7 +23,7 @@ from logpulse.streaming.alerts import AlertRule, LevelRule, in_order, in_stream
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome, partitioned
 from logpulse.streaming.guard import FileCommitLog, not_committed
-from logpulse.streaming.ingest import Ingest
+from logpulse.streaming.ingest import Ingest, backfill
 from logpulse.streaming.maintenance import close_rollup_day, expire, settle_day
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
@@ -473,6 +473,25 @@ def test_rollups_can_be_switched_off(spark, folder):
         store.rollup(spark, "traffic_1m")
 
 
+def test_backfill_equals_the_stream(spark, topics, folder):
+    raw = tb.broker_rows(tb.events(spark, SF_DIR)).select(*names(BROKER_ROW))
+    backfill(raw, folder, "first-half")
+    backfill(raw, folder, "first-half")
+    stored = read_table(spark, f"{folder}/event_log")
+    expected = normalize_events(good_events(parse_events(raw)))
+    assert bag(stored, CONTENT) == bag(expected, CONTENT)
+    dead = read_table(spark, f"{folder}/event_log_dlq")
+    columns = ["kafka_received_at", "event_id", "source_offset", "error_type", "raw_json"]
+    assert bag(dead, columns) == bag(tb.dead_letters(raw.withColumns(
+        {c: F.lit(0) for c in tb.STAMPS})), columns)
+    store = RollupStore(f"{folder}/rollups/event_log", EVENT_ROLLUPS)
+    assert store.rollup(spark, "lag_1m").agg(F.sum("cnt")).first()[0] == expected.count()
+    # No dead letters at all leaves empty tables, not errors.
+    clean = raw.where(F.length("value") > 20)
+    backfill(clean, f"{folder}/clean", "all")
+    assert read_table(spark, f"{folder}/clean/event_log").count() == expected.count()
+
+
 # --- stateful alerts --------------------------------------------------------------------------
 @pytest.mark.parametrize(
     "rule",
