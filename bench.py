@@ -1,6 +1,7 @@
 """Headline timings at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 * ``ingest_*``: topic files -> parse -> normalise -> event table and all rollups, one batch;
+* ``ingest_backfill``: the same by the backfill job, rollups from the stored columns;
 * ``microbatch_*``: the same as a stream of 20,000-row batches (mean seconds per batch);
 * ``serve_*``: serving queries over the rollups stored by the ingest run;
 * the rest: registered queries computed from the raw rows.
@@ -33,6 +34,7 @@ from logpulse.session import scratch_dir, tune
 from logpulse.sources.broker import topic_stream, topic_table
 from logpulse.sources.tables import read_table
 from logpulse.streaming.delivery import Delivery
+from logpulse.streaming.ingest import backfill
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.targets import ParquetTable
@@ -119,6 +121,11 @@ def main() -> None:
 
     took["ingest_table_and_rollups"] = timed(ingest)
     took["ingest_rollups_only"] = timed(rollups_only)
+    took["ingest_backfill"] = timed(
+        lambda: backfill(
+            topic_table(spark, source, "logs.all"), f"{root}/backfill", "all", dead_letters=False
+        )
+    )
 
     # Micro-batches.
     spans = []

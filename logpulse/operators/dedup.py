@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+DELIVERY_ORDER = ("kafka_received_at", "topic", "kafka_partition", "kafka_offset")
+
 
 def drop_repeats(
     df: DataFrame,
@@ -20,6 +22,10 @@ def drop_repeats(
     * no keys: pass through (repeats are settled at read time by ``keep_latest``);
     * stream with keys and watermark: stateful, for repeats at most ``watermark`` apart;
     * otherwise: within the frame handed in, which for a stream is done per micro-batch.
+
+    Within a frame the earliest delivery by broker coordinates is kept, as far as the frame has
+    them: a batch that is evaluated twice (for a table and a rollup, or after losing an
+    executor) must not choose differently.
     """
     if not keys:
         return df
@@ -33,7 +39,20 @@ def drop_repeats(
         return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
     if df.isStreaming:
         raise ValueError("a stream without a watermark is deduplicated per micro-batch")
-    return df.dropDuplicates(keys)
+    order = [c for c in DELIVERY_ORDER if c in df.columns and c not in keys]
+    if not order:
+        return df.dropDuplicates(keys)
+    return _first(df, [F.col(k) for k in keys], [F.col(c).asc_nulls_last() for c in order])
+
+
+def _first(df: DataFrame, by: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    """First row of each group.
+
+    Ranking with a limit of one is cut before the shuffle (WindowGroupLimit), so a key that
+    holds a large share of the rows leaves each task as a single row.
+    """
+    ranked = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_rank", ranked).where("_rank = 1").drop("_rank")
 
 
 def keep_latest(
@@ -49,13 +68,9 @@ def keep_latest(
 
     ``scope="partition"`` keeps one per ingest day, which is what a day-partitioned table
     settles by itself; ``scope="table"`` keeps one overall.
-
-    Ranking with a limit of one is cut before the shuffle (WindowGroupLimit), so a key that
-    holds a large share of the rows leaves each task as a single row.
     """
     if scope not in ("table", "partition"):
         raise ValueError(f"scope must be 'table' or 'partition', got {scope!r}")
     by = [F.col(k) for k in keys] + ([F.to_date(day_of)] if scope == "partition" else [])
     order = [F.col(version).desc_nulls_last(), *[F.col(t).desc_nulls_last() for t in ties]]
-    newest = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    return _first(df, by, order)

@@ -302,6 +302,9 @@ def test_drop_repeats(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k INT, v STRING")
     assert dedup.drop_repeats(df, None) is df
     assert dedup.drop_repeats(df, ["k"]).count() == 2
+    sent = df.withColumns({"kafka_offset": F.when(F.col("v") == "a", 9).otherwise(3)})
+    kept = {r.k: r.v for r in dedup.drop_repeats(sent, ["k"]).collect()}
+    assert kept == {1: "b", 2: "c"}  # the earlier delivery
     stream = spark.readStream.format("rate").load()
     with pytest.raises(ValueError, match="event_timestamp"):
         dedup.drop_repeats(stream, ["value"], watermark="1 minute")
