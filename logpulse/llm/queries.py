@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logpulse.llm import bpe, token_counts
-from logpulse.llm.common import prepare, table
+from logpulse.llm import bpe, decontaminate, language, secrets, simhash, token_counts, toxicity
+from logpulse.llm.common import fold, prepare, table
 
 
 def tokenizer_text(name: str) -> str:
@@ -27,6 +27,48 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    network = language.train(docs.where(fold("doc_id", 3) != 1))
+    return language.identify(docs, network, keep=["doc_id"]).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2))
+    return toxicity.toxicity(docs, model, keep=["doc_id"]).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.with_secrets(docs, secrets.train(docs), keep=["doc_id"])
+    base = F.filter("secrets", lambda s: s["kind"] != "model")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that a window of the document resembles."""
+    prepare(spark)
+    found = decontaminate.with_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_text("byte_bpe_50k.json"), limit=1024, keep=["doc_id"])
@@ -34,6 +76,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
+    "op2_language_id": op2_language_id,
+    "op3_toxicity": op3_toxicity,
+    "op4_secret_scan": op4_secret_scan,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
 }
 ORACLE: dict[str, str] = {}
