@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logpulse.llm import bpe, decontaminate, language, secrets, simhash, token_counts, toxicity
+from logpulse.llm import bpe, decontaminate, html_extract, language, parsing, secrets, simhash, token_counts, toxicity
 from logpulse.llm.common import fold, prepare, table
 
 
@@ -56,6 +56,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return parsing.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -74,13 +79,22 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_text("byte_bpe_50k.json"), limit=1024, keep=["doc_id"])
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    pages = table(spark, sf_dir, "pages")
+    extracted = html_extract.main_text(pages, html_extract.train(pages), keep=["page_id", "url"])
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_language_id": op2_language_id,
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
+    "op5_fingerprints": op5_fingerprints,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_html_extraction": op10_html_extraction,
 }
 ORACLE: dict[str, str] = {}

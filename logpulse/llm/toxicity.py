@@ -20,6 +20,10 @@ from logpulse.llm.sampling import labelled_sample
 BITS = 20
 #: Labelled texts of each label that the model is fitted on, and the characters read of each.
 PER_LABEL, CHARS = 3_000, 20_000
+#: Buckets that fewer training texts have, or a greater share of them, are not learned from: the
+#: former identify texts, the latter are in most.
+MOST_SHARE = 0.2
+LEAST_TEXTS = 4
 THRESHOLD = 0.3
 _WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -65,7 +69,7 @@ def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.nda
 class Ftrl:
     """Weights of buckets, and a bias without L1."""
 
-    def __init__(self, *, rate: float = 0.3, beta: float = 1.0, l1: float = 1.0, l2: float = 0.5):
+    def __init__(self, *, rate: float = 0.6, beta: float = 1.0, l1: float = 3.0, l2: float = 0.5):
         self.rate, self.beta, self.l1, self.l2 = rate, beta, l1, l2
         self.z, self.n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
@@ -81,8 +85,11 @@ class Ftrl:
         self.z[at] += g - moved * w
         self.n[at] += g * g
 
-    def fit(self, texts: list[str], labels: list[int], importance: dict[int, float], *, rounds: int = 4, seed: int = 3) -> Ftrl:
+    def fit(self, texts: list[str], labels: list[int], importance: dict[int, float], *, rounds: int = 7, seed: int = 3) -> Ftrl:
         owner, bucket = features(texts)
+        having = np.bincount(bucket, minlength=1 << BITS)
+        use = ((having >= LEAST_TEXTS) & (having <= MOST_SHARE * len(texts)))[bucket]
+        owner, bucket = owner[use], bucket[use]
         cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
         rng = np.random.default_rng(seed)
         for _ in range(rounds):
