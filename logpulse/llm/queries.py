@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logpulse.llm import bpe, decontaminate, html_extract, language, parsing, secrets, simhash, token_counts, toxicity
+from logpulse.llm import bpe, decontaminate, html_extract, katz, language, parsing, secrets, simhash, token_counts, toxicity
 from logpulse.llm.common import fold, prepare, table
 
 
@@ -61,6 +61,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return katz.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -92,6 +97,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_fingerprints": op5_fingerprints,
+    "op6_katz_lm": op6_katz_lm,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
