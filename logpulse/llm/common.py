@@ -133,6 +133,6 @@ def add_columns(df: DataFrame, make: Callable[[], Callable[[list[str]], list]],
         for batch, texts in slices(batches, "__text"):
             own = [batch.column(n) for n in names]
             new = [x if isinstance(x, pa.Array) else pa.array(x, type=arrow.field(len(own) + i).type) for i, x in enumerate(work(texts))]
-            yield pa.RecordBatch.from_arrays([*(c.cast(arrow.field(i).type) for i, c in enumerate(own)), *new], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*(c if c.type == arrow.field(i).type else c.cast(arrow.field(i).type) for i, c in enumerate(own)), *new], schema=arrow)
 
     return df.select(*names, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)

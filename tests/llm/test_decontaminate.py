@@ -1,38 +1,14 @@
 import random
-from collections import Counter
+
+from tests_llm_brute import brute_leaks as brute
 
 from logpulse.llm.common import prepare
-from logpulse.llm.decontaminate import WORDS, Benchmark, with_leaks
+from logpulse.llm.decontaminate import Benchmark, with_leaks
 from logpulse.llm.queries import op8_benchmark_decontamination
 
 SF = "/root/testdata/sf0.001"
 
 
-def bag(words):
-    n = min(5, len(words))
-    return Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
-
-
-def brute(text, items):
-    """Best similarity of each item over all windows of as many words."""
-    words = WORDS.findall((text or "").lower())
-    best = {}
-    for item, own in items:
-        own = WORDS.findall((own or "").lower())
-        if not own or len(own) > len(words):
-            continue
-        want = bag(own)
-        known = set(want)
-        near = [any(tuple(words[i : i + min(5, len(own))]) == k for k in known) for i in range(len(words))]
-        for s in range(len(words) - len(own) + 1):
-            if any(near[s : s + len(own)]):
-                got = bag(words[s : s + len(own)])
-                like = sum((got & want).values()) / sum((got | want).values())
-                if like >= 0.8:
-                    best[item] = max(best.get(item, 0), like)
-    return best
-
-
 def test_query_matches_brute_force(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     want = {(r.doc_id, i): round(s, 9) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() for i, s in brute(r.text, items).items()}

@@ -1,39 +1,14 @@
 import random
-import re
 
-import xxhash
+from tests_llm_brute import brute_components, brute_print
 
-from logpulse.llm.common import ascii_lower, prepare
+from logpulse.llm.common import prepare
 from logpulse.llm.queries import op7_simhash_near_dedup
 from logpulse.llm.simhash import link, near_duplicates, one_of_each, shingle_hashes
 
 SF = "/root/testdata/sf0.001"
 
 
-def brute_print(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text or ""))
-    runs = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
-    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def brute_components(prints):
-    ids = sorted(prints)
-    root = {i: i for i in ids}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for n, i in enumerate(ids):
-        for j in ids[n + 1 :]:
-            if (prints[i] ^ prints[j]).bit_count() <= 4:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return {i: find(i) for i in ids}
-
-
 def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
