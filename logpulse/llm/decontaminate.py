@@ -11,6 +11,7 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import xxhash
@@ -43,17 +44,20 @@ def _word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
 
 
-def _runs(codes: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit name of each run of `size` codes."""
-    n = len(codes) - size + 1
-    out = np.zeros(max(n, 0), np.uint64)
+def _runs_at(codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit name of the run of `size` codes from each start."""
+    out = np.zeros(len(starts), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(size):
-            out = (out ^ codes[k : k + n]) * _MIX
+            out = (out ^ codes[starts + k]) * _MIX
             out ^= out >> np.uint64(29)
     return out
 
 
+def _runs(codes: np.ndarray, size: int) -> np.ndarray:
+    return _runs_at(codes, np.arange(max(0, len(codes) - size + 1)), size)
+
+
 def _needed(shingles: int, similarity: float) -> int:
     """Least number of shared shingles of two equally long runs with that similarity."""
     return math.ceil(2 * similarity * shingles / (1 + similarity) - 1e-9)
@@ -92,8 +96,28 @@ class Benchmark:
             for t, (at, mask) in zip(table, self.blocks):
                 t[((prints >> at) & mask).astype(int), np.arange(len(members))] = True
             self.index[n, size] = (count, np.unique(np.concatenate([r for _, r in members])), prints, table, [(i, Counter(r.tolist())) for i, r in members])
+        self.place = {w: k for k, w in enumerate(self.hash, 1)}
+        self.codes = np.array([0, *self.hash.values()], np.uint64)
         self.known = {s: np.unique(np.concatenate([r for (_, z), m in self.classes.items() if z == s for _, r in m])) for s in self.sizes}
 
+    def search_all(self, texts: list[str]) -> list[list[tuple[int, float, int, int]]]:
+        """search() of each text, for the texts that share a shingle with an item; others cannot resemble any."""
+        get, out = self.place.get, [[] for _ in texts]
+        words = [_words(t) for t in texts]
+        ends = np.cumsum([len(w) + 1 for w in words])
+        at = np.fromiter(chain.from_iterable(chain(map(get, w, repeat(0)), (0,)) for w in words), np.int32, int(ends[-1]) if len(ends) else 0)
+        unknown = np.concatenate([[0], np.cumsum(at == 0)])
+        found = set()
+        for size in self.sizes:
+            whole = np.flatnonzero(unknown[size:] == unknown[:-size])
+            names = _runs_at(self.codes[at], whole, size)
+            known = self.known[size]
+            hit = known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names
+            found.update(np.unique(np.searchsorted(ends, whole[hit], side="right")).tolist())
+        for k in found:
+            out[k] = self.search(texts[k])
+        return out
+
     def candidates(self, prints: np.ndarray, n: int, size: int):
         """(window, item) positions whose fingerprints share a block and are within the radius."""
         _, _, own, table, _ = self.index[n, size]
@@ -172,10 +196,10 @@ def with_leaks(df: DataFrame, benchmark: DataFrame, *, item: str = "item_id", it
         parts.append(column)
 
         def make(found=found):
-            search = Benchmark(found).search
+            search = Benchmark(found).search_all
 
             def work(texts: list[str]) -> list:
-                return [[[dict(zip(("item_id", "similarity", "start", "stop"), x)) for x in search(t)] for t in texts]]
+                return [[[dict(zip(("item_id", "similarity", "start", "stop"), x)) for x in leaks] for leaks in search(texts)]]
 
             return work
 
