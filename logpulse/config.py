@@ -87,6 +87,8 @@ class StreamSettings(Settings):
     target_eps: int | None = option("SPARK_TARGET_EPS", "int")
     target_eps_profile: str | None = option("SPARK_TARGET_EPS_PROFILE_PATH")
     rate_safety: float | None = option("SPARK_MAX_OFFSETS_SAFETY", "float")
+    # Offsets that the broker has dropped before they were read stop the query.
+    fail_on_data_loss: bool = option("SPARK_KAFKA_FAIL_ON_DATA_LOSS", "flag", True)
     min_partitions: int | None = option("SPARK_KAFKA_MIN_PARTITIONS", "int")
     min_partitions_multiplier: float | None = option(
         "SPARK_KAFKA_MIN_PARTITIONS_MULTIPLIER", "float"
@@ -169,7 +171,7 @@ class SinkSettings(Settings):
     write_partitions: int | None = option("SPARK_SINK_WRITE_PARTITIONS", "int")
     allow_repartition: bool = option("SPARK_SINK_ALLOW_REPARTITION", "flag", False)
     retry_max: int = option("SPARK_SINK_RETRY_MAX", "int", 0)
-    fail_on_error: bool = option("SPARK_SINK_FAIL_ON_ERROR", "flag", False)
+    fail_on_error: bool = option("SPARK_SINK_FAIL_ON_ERROR", "flag", True)
     bypass_to_dlq: bool = option("SPARK_SINK_DLQ_ON_FINAL_FAILURE", "flag", True)
     guard: bool = option("SPARK_SINK_BATCH_GUARD_ENABLED", "flag", False)
     guard_table: str | None = option("SPARK_SINK_BATCH_GUARD_TABLE")

@@ -13,6 +13,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_K = 200
+# Normalised rank error of one sketch at k = 200, with 99 % confidence.
+SKETCH_RANK_ERROR = 0.0133
+
+
+def within_rank_error(
+    answers: DataFrame, readings: DataFrame, keys: Sequence[str], q: float, error: float
+) -> DataFrame:
+    """Per key: how many readings there are, and whether ``answer`` is a q-quantile up to ``error``.
+
+    ``answers`` has ``answer``, ``readings`` has ``reading``, and both have the keys. The share
+    of readings below the answer and that of readings up to it must enclose q within the error.
+    """
+    below, upto = F.count_if(F.expr("reading < answer")), F.count_if(F.expr("reading <= answer"))
+    near = (below / F.count("*") <= q + error) & (upto / F.count("*") >= q - error)
+    return (
+        readings.join(answers, list(keys))
+        .groupBy(*keys)
+        .agg(F.count("*").alias("n"), near.alias("within"))
+    )
 
 
 def sketch_quantile(sketch: str, q: float) -> Column:

@@ -15,12 +15,14 @@ def drop_repeats(
     keys: Sequence[str] | None,
     *,
     watermark: str | None = None,
-    event_time: str = "event_timestamp",
+    event_time: str = "kafka_received_at",
 ) -> DataFrame:
     """First delivery per key.
 
     * no keys: pass through (repeats are settled at read time by ``keep_latest``);
-    * stream with keys and watermark: stateful, for repeats at most ``watermark`` apart;
+    * stream with keys and watermark: stateful, for repeats at most ``watermark`` apart. The
+      watermark follows the broker's clock: one event with a wrong time of its own would else
+      move it past all that is yet to come, and later events would be dropped as late;
     * otherwise: within the frame handed in, which for a stream is done per micro-batch.
 
     Within a frame the earliest delivery by broker coordinates is kept, as far as the frame has

@@ -10,21 +10,25 @@ from pyspark.sql import DataFrame
 from logpulse.functions.ids import record_id
 from logpulse.schema import EVENT_FIELDS, EVENT_LOG_COLUMNS
 
-# Epoch milliseconds outside this range do not fit a timestamp; they saturate instead of
-# failing the batch they arrived in.
+# Epoch milliseconds outside this range do not fit a timestamp: such a time is no time at all,
+# and counts as missing.
 _MS_LIMIT = 9_223_372_036_854_775
 
 
-def timestamp_of_ms(ms: str) -> str:
-    # Not least(greatest(...)): those skip NULLs, and an unknown time must stay unknown.
-    within = f"if({ms} > {_MS_LIMIT}L, {_MS_LIMIT}L, if({ms} < -{_MS_LIMIT}L, -{_MS_LIMIT}L, {ms}))"
-    return f"timestamp_millis({within})"
+def fitting_ms(ms: str) -> str:
+    """SQL for epoch milliseconds that fit a timestamp, else NULL."""
+    return f"if({ms} BETWEEN -{_MS_LIMIT}L AND {_MS_LIMIT}L, {ms}, NULL)"
+
+
+def timestamp_of_ms(*candidates: str) -> str:
+    """The first of the times given that is known and fits a timestamp."""
+    return f"timestamp_millis(coalesce({', '.join(map(fitting_ms, candidates))}))"
 
 
 # One SQL rule per stored column. ``json`` is the parsed payload.
 RULES: dict[str, str] = {
     "event_timestamp": timestamp_of_ms(
-        "coalesce(json.ts_ms, json.timestamp_ms, unix_millis(kafka_received_at))"
+        "json.ts_ms", "json.timestamp_ms", "unix_millis(kafka_received_at)"
     ),
     "kafka_received_at": "kafka_received_at",
     "spark_received_at": "spark_received_at",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logpulse.schema import EVENT_PAYLOAD, names, only
+from logpulse.schema import EVENT_PAYLOAD, only
 
 # How a row that is not an event is labelled.
 BAD_ROW_TYPE = "json_parse_failed"
@@ -39,28 +39,24 @@ def json_column(text: str, ddl: str) -> Column:
     return F.explode(F.array(F.from_json(text, ddl)))
 
 
-def is_event(mode: str, ddl: str = EVENT_PAYLOAD) -> str:
+def is_event(mode: str) -> str:
     """SQL predicate over ``json`` and ``raw_json``: is the row an event?
 
-    The parser answers a struct of NULLs for malformed text. ``permissive`` only rejects rows
-    without text. ``strict`` rejects everything that is not a JSON object; the second look
-    at the text is needed only where no field was found at all.
+    ``permissive`` only rejects rows without text. ``strict`` rejects everything that is not
+    one well-formed JSON object with distinct names. The verdict is a function of the text
+    alone: which fields a query parses must not decide whether a row counts. The parser of
+    fields is lenient (it stops early, and takes single quotes), so it is not asked.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    if mode == "permissive":
-        return "json IS NOT NULL"
-    fields = names(ddl)
-    found = " OR ".join(f"json.{name} IS NOT NULL" for name in fields)
-    # Where it matters every field is NULL, so this is the text. Naming a field keeps the
-    # optimizer from moving the second look below the parser, where it would meet every row.
-    text = f"coalesce(CAST(json.{fields[0]} AS STRING), raw_json)"
-    return f"({found} OR {is_json_object(text)})"
+    return "json IS NOT NULL" if mode == "permissive" else is_json_object("raw_json")
 
 
 def is_json_object(text: str) -> str:
+    """One object and nothing after it: as the content of an array it has to be the only item."""
     return (
-        f"coalesce(startswith(schema_of_variant(try_parse_json({text})), 'OBJECT'), false)"
+        f"coalesce(startswith(schema_of_variant(try_parse_json({text})), 'OBJECT') "
+        f"AND json_array_length(concat('[', {text}, ']')) = 1, false)"
     )
 
 
@@ -86,18 +82,14 @@ def parse_events(
     )
 
 
-def payload_ddl(parsed: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parsed.schema["json"].dataType)
-
-
 def good_events(parsed: DataFrame, mode: str = "strict") -> DataFrame:
     """Only the events; no frame of bad rows is built."""
-    return parsed.where(is_event(mode, payload_ddl(parsed)))
+    return parsed.where(is_event(mode))
 
 
 def split_events(parsed: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: every row is in exactly one; bad rows say why."""
-    test = is_event(mode, payload_ddl(parsed))
+    test = is_event(mode)
     bad = parsed.where(f"NOT {test}").withColumns(
         {"error_type": F.lit(BAD_ROW_TYPE), "error_message": F.lit(BAD_ROW_MESSAGE)}
     )

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from logpulse.functions.ids import record_id
 from logpulse.operators.normalize import timestamp_of_ms
-from logpulse.operators.parse import decode, is_event, json_column
+from logpulse.operators.parse import decode, json_column
 from logpulse.schema import DLQ_ENVELOPE, DLQ_ENVELOPE_COLUMNS, EVENT_LOG_DLQ_COLUMNS
 
 SINK_FAILURE_TYPE = "sink_write_failed"
-MESSAGE_LIMIT = 2000  # characters kept of a sink's error message
 
 
 def _envelope(df: DataFrame, rules: dict[str, str]) -> DataFrame:
@@ -43,9 +42,17 @@ def envelope_bad_rows(bad: DataFrame) -> DataFrame:
 
 
 def envelope_failed_batch(
-    batch: DataFrame, error: str, *, error_type: str = SINK_FAILURE_TYPE
+    batch: DataFrame,
+    error: str,
+    *,
+    error_type: str = SINK_FAILURE_TYPE,
+    message_limit: int | None = None,
 ) -> DataFrame:
-    """Envelopes for a batch a table refused. Works on any schema: what is missing is NULL."""
+    """Envelopes for a batch a table refused. Works on any schema: what is missing is NULL.
+
+    ``message_limit`` cuts the error message to so many characters, for topics that bound
+    the size of a message.
+    """
     have = set(batch.columns)
 
     def pick(name: str) -> str:
@@ -56,7 +63,7 @@ def envelope_failed_batch(
     labelled = batch.withColumns(
         {
             "_error_type": F.lit(error_type),
-            "_error_message": F.substring(F.lit(error or ""), 1, MESSAGE_LIMIT),
+            "_error_message": F.lit((error or "")[:message_limit]),
         }
     )
     return _envelope(
@@ -133,15 +140,17 @@ def dead_letter_rows(bad: DataFrame) -> DataFrame:
     return rows.select(*EVENT_LOG_DLQ_COLUMNS)
 
 
-def parse_dlq(raw: DataFrame, *, mode: str = "strict", processed_at: Column | None = None):
+def parse_dlq(raw: DataFrame, *, processed_at: Column | None = None):
     """Dead-letter topic rows to the dead-letter table.
 
-    Whatever the envelope leaves out comes from the message that carried it.
+    Whatever the envelope leaves out comes from the message that carried it. A message that
+    is no envelope is stored as well, with its text and an unknown error type: there is no
+    later place to catch it. Only messages without any text are left out.
     """
     parsed = (
         decode(raw)
         .select("*", json_column("raw_json", DLQ_ENVELOPE).alias("json"))
-        .where(is_event(mode, DLQ_ENVELOPE))
+        .where("raw_json IS NOT NULL")
         .withColumn(
             "spark_processed_at", F.current_timestamp() if processed_at is None else processed_at
         )

@@ -500,3 +500,33 @@ _add("k3_k4_s4_streamed_dead_letters", """
 SELECT topic || '-' || part || '-' || off AS event_id, topic AS source_topic,
   part AS source_partition, off AS source_offset, user_id::VARCHAR AS source_key,
   broker_ms AS event_timestamp_ms, 'json_parse_failed' AS error_type, value AS raw_json FROM bad""")
+
+
+def _within(keys: str, rows: str = "timed") -> str:
+    """Each sketch answer is expected to lie within the error of its rank."""
+    return " UNION ALL ".join(
+        f"SELECT {keys} '{s}' AS stage, count(*) AS n, true AS \"within\" FROM {rows} GROUP BY ALL"
+        for s in _STAGES
+    )
+
+
+_add("a5_stage_latency_service_1m_sketch", _within("minute_ms AS bucket_ms, service,"))
+for _name in ("a8_stage_latency_10s_sketch", "q4_stage_p95_10s_sketch", "st12_streamed_stage_p95_sketch"):
+    _add(_name, _within("ten_ms AS bucket_ms,"))
+_add("a11_merged_sketches", _within(""))
+_add("q10_stage_p95_1m_sketch", _within("minute_ms AS bucket_ms,", f"(SELECT * FROM timed WHERE {_recent(10)})"))
+ORACLE["st12_rollup_switched_off_and_on"] = ORACLE["a7_traffic_10s"]
+ORACLE["k4_replayed_dead_letters"] = ORACLE["k3_k4_s4_streamed_dead_letters"]
+_add("f1_strict_hostile_texts", """
+SELECT CAST(0 AS BIGINT) AS kind, count(*) AS whole, 2 * count(*) AS narrow FROM events WHERE event_id % 6 = 0""")
+_add("st3_watermark_with_bad_clocks", "SELECT DISTINCT 'ev-' || id AS event_id FROM raw")
+_add("k11_expired_folders", """
+, dated AS (SELECT ts, CAST(ts AS DATE) AS day FROM events),
+newest AS (SELECT max(day) AS as_of FROM dated),
+keep(table_name, days, whole) AS (VALUES ('event_log', 3, true), ('event_log_dlq', 7, false),
+  ('stream_batch_guard', 30, false), ('traffic_1m', 7, true), ('created_stored_1m', 7, true),
+  ('lag_1m', 7, true), ('latency_service_1m', 7, true), ('traffic_10s', 1, true),
+  ('latency_stage_10s', 1, true), ('dlq_1m', 8, true))
+SELECT DISTINCT table_name, CAST(day AS VARCHAR) AS day FROM dated, newest, keep
+WHERE CASE WHEN whole THEN as_of < day + CAST(days AS INTEGER)
+  ELSE CAST(as_of AS TIMESTAMP) < CAST(ts AS TIMESTAMP) + to_days(CAST(days AS INTEGER)) END""")

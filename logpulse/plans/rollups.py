@@ -6,6 +6,7 @@ be merged in any order, so late rows need no special treatment: they arrive as o
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -85,8 +86,11 @@ class Rollup:
     def stream_states(self, df: DataFrame, watermark: str) -> DataFrame:
         """Native streaming aggregation: states are emitted once a bucket is closed.
 
-        Rows later than the watermark are dropped, unlike in per-batch maintenance.
+        Rows later than the watermark are dropped, unlike in per-batch maintenance. Only for
+        rollups by the broker's time: a time that payloads bring could close every bucket.
         """
+        if self.at != "kafka_received_at":
+            raise ValueError(f"{self.name} is bucketed by {self.at}, which payloads set")
         windowed = self._grouped(
             df.withWatermark(self.at, watermark), F.window(self.at, f"{self.seconds} seconds")
         )
@@ -108,6 +112,12 @@ class Rollup:
         )
 
 
+def _stored_name(kind: str, *parts: str | None) -> str:
+    """Name of a stored state, from what it is alone: the same in every subset of rollups."""
+    text = "\0".join(p or "" for p in parts)
+    return f"{kind}_{hashlib.sha256(text.encode()).hexdigest()[:16]}"
+
+
 class SharedStates:
     """Several rollups over one input, computed in a single aggregation.
 
@@ -117,20 +127,24 @@ class SharedStates:
     it feeds, and only states (a few rows per bucket) are shuffled after that.
     """
 
-    def __init__(self, rollups: Iterable[Rollup]):
+    def __init__(self, rollups: Iterable[Rollup], grain: Iterable[Rollup] | None = None):
+        """``grain`` are the rollups whose common grain is kept, if more than ``rollups``.
+
+        Stored names and grain then stay the same whichever of them are switched on.
+        """
         self.rollups = tuple(rollups)
         self.times: dict[str, int] = {}
         self.dims: dict[str, str] = {}
         self._measures: dict[tuple, tuple[str, Measure, str | None]] = {}
         self._presence: dict[str | None, str] = {}
-        for r in self.rollups:
+        for r in self.rollups if grain is None else grain:
             self.times[r.at] = gcd(self.times.get(r.at, 0), r.seconds)
             self.dims.update(r.dims)
-            self._presence.setdefault(r.where, f"rows_of__{r.name}")
+        for r in self.rollups:
+            self._presence.setdefault(r.where, _stored_name("rows", r.where))
             for m in r.measures:
-                self._measures.setdefault(
-                    self._identity(r, m), (f"{r.name}__{m.name}", m, r.where)
-                )
+                identity = self._identity(r, m)
+                self._measures.setdefault(identity, (_stored_name(*identity), m, r.where))
 
     @staticmethod
     def _identity(r: Rollup, m: Measure) -> tuple:
@@ -148,6 +162,16 @@ class SharedStates:
     def keys(self) -> list[str]:
         return [*map(self.bucket, self.times), *self.dims]
 
+    @property
+    def ddl(self) -> str:
+        """Declared schema of stored states."""
+        kinds = {"count": "BIGINT", "sum": "BIGINT", "quantile": "BINARY", "max": "TIMESTAMP"}
+        columns = [f"{self.bucket(t)} TIMESTAMP" for t in self.times]
+        columns += [f"{name} STRING" for name in self.dims]
+        columns += [f"{name} BIGINT" for name in self._presence.values()]
+        columns += [f"{name} {kinds[m.kind]}" for name, m, _ in self._measures.values()]
+        return ", ".join(columns)
+
     def states(self, df: DataFrame) -> DataFrame:
         keys = [bucket_of(t, s).alias(self.bucket(t)) for t, s in self.times.items()]
         keys += [F.expr(sql).alias(name) for name, sql in self.dims.items()]

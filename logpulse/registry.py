@@ -18,6 +18,7 @@ from logpulse import testbed as tb
 from logpulse.config import SinkSettings, StreamSettings
 from logpulse.functions.ids import stable_event_id
 from logpulse.functions.latency import STAGES, complete_timeline, stage_ms
+from logpulse.functions.quantiles import SKETCH_RANK_ERROR, within_rank_error
 from logpulse.functions.timebuckets import bucket_of
 from logpulse.operators import dedup, observe, quarantine, routing
 from logpulse.operators.parse import MODES, good_events, is_event, split_events
@@ -111,6 +112,32 @@ def _(spark, d):
     )
 
 
+# Texts near an event, by kind; only the first is one.
+_HOSTILE = (
+    """concat('{"event_id":"', id, '","status_code":200}')""",
+    """concat('{"event_id":"', id, '","event_id":"b","status_code":200}')""",
+    """concat("{'event_id':'", id, "','status_code':200}")""",
+    """concat('{"event_id":"', id, '","v":NaN}')""",
+    """concat('{"event_id":"', id, '"} and more')""",
+    """concat('{"event_id":"', id, '","status_code":20')""",
+)
+
+
+@register("f1_strict_hostile_texts")
+def _(spark, d):
+    """The same verdict on a text however few of its fields are parsed."""
+    kinds = " ".join(f"WHEN {n} THEN {text}" for n, text in enumerate(_HOSTILE))
+    rows = tb.broker_rows(tb.events(spark, d), repeats=False).selectExpr("offset * 3 + partition AS id", "*")
+    rows = rows.withColumn("value", F.expr(f"CAST(CASE id % {len(_HOSTILE)} {kinds} END AS BINARY)"))
+
+    def good(fields):
+        kept = good_events(tb.parse_events(rows, fields=fields, keep=["id"]))
+        return kept.select(F.expr("id % 6 AS kind"), F.lit(fields is None).alias("whole"))
+
+    both = good(None).union(good(["status_code"])).union(good(["ts_ms"]))
+    return both.groupBy("kind").agg(F.count_if("whole").alias("whole"), F.count_if(F.expr("NOT whole")).alias("narrow"))
+
+
 @register("f2_permissive_events")
 def _(spark, d):
     return log(spark, d, ["event_id", "service", "result", "status_code", "topic"],
@@ -293,10 +320,29 @@ def _(spark, d):
     return serve.exact_stage_p95(log(spark, d, TIMELINE), 60, ["bucket", "service"])
 
 
+def _checked(answers, events, seconds, keys):
+    """Quantiles answered by sketches, each judged by its rank among the events.
+
+    Twice the error one sketch has in 99 of 100 cases: very many sketches are judged.
+    """
+    stages = F.array(*[F.lit(s) for s in STAGES])
+    of = {c.removesuffix("_ms").removesuffix("_p95"): c for c in answers.columns}
+    named = answers.select(
+        *keys, F.inline(F.arrays_zip(stages.alias("stage"), F.array(*[of[s] for s in STAGES]).alias("answer")))
+    ).toDF(*keys, "stage", "answer")
+    timed = events.where(complete_timeline()).select(
+        *[k for k in keys if k != "bucket"],
+        *([bucket_of("kafka_received_at", seconds).alias("bucket")] if "bucket" in keys else []),
+        F.inline(F.arrays_zip(stages.alias("stage"), F.array(*[F.expr(stage_ms(s)) for s in STAGES]).alias("reading"))),
+    )
+    timed = timed.toDF(*[k for k in keys if k != "bucket"], *[k for k in keys if k == "bucket"], "stage", "reading")
+    return within_rank_error(named, timed, [*keys, "stage"], 0.95, 2 * SKETCH_RANK_ERROR)
+
+
 @register("a5_stage_latency_service_1m_sketch")
 def _(spark, d):
-    r = catalog.LATENCY_1M
-    return r.answers(r.states(log(spark, d, TIMELINE)))
+    r, events = catalog.LATENCY_1M, log(spark, d, TIMELINE)
+    return _checked(r.answers(r.states(events)), events, 60, ["bucket", "service"])
 
 
 @register("a6_dlq_1m")
@@ -316,8 +362,8 @@ def _(spark, d):
 
 @register("a8_stage_latency_10s_sketch")
 def _(spark, d):
-    r = catalog.LATENCY_10S
-    return r.answers(r.states(log(spark, d, TIMELINE)))
+    r, events = catalog.LATENCY_10S, log(spark, d, TIMELINE)
+    return _checked(r.answers(r.states(events)), events, 10, ["bucket"])
 
 
 @register("a9_overall_latency_1m")
@@ -337,8 +383,8 @@ def _(spark, d):
 
 @register("a11_merged_sketches")
 def _(spark, d):
-    r = catalog.LATENCY_10S
-    return r.answers(r.merge(r.states(log(spark, d, TIMELINE)), by=[]))
+    r, events = catalog.LATENCY_10S, log(spark, d, TIMELINE)
+    return _checked(r.answers(r.merge(r.states(events), by=[])), events, 10, [])
 
 
 @register("a12_rolled_up_dimensions")
@@ -397,7 +443,8 @@ def _(spark, d):
 
 @register("q4_stage_p95_10s_sketch")
 def _(spark, d):
-    return serve.stage_p95_10s(catalog.LATENCY_10S.states(log(spark, d, TIMELINE)))
+    events = log(spark, d, TIMELINE)
+    return _checked(serve.stage_p95_10s(catalog.LATENCY_10S.states(events)), events, 10, ["bucket"])
 
 
 def _recent(spark, d, columns, minutes, now=None):
@@ -456,7 +503,8 @@ def _(spark, d):
 
 @register("q10_stage_p95_1m_sketch")
 def _(spark, d):
-    return serve.stage_p95_1m(catalog.LATENCY_1M.states(_recent(spark, d, TIMELINE, 10)))
+    events = _recent(spark, d, TIMELINE, 10)
+    return _checked(serve.stage_p95_1m(catalog.LATENCY_1M.states(events)), events, 60, ["bucket"])
 
 
 @register("q11_sink_p95_1m")
@@ -790,7 +838,21 @@ def _(spark, d):
 @register("st12_streamed_stage_p95_sketch")
 def _(spark, d):
     root = _stream_events(spark, d, then=[_store])
-    return serve.stage_p95_10s(_store(root).rollup(spark, "latency_stage_10s"))
+    p95 = serve.stage_p95_10s(_store(root).rollup(spark, "latency_stage_10s"))
+    return _checked(p95, log(spark, d, TIMELINE), 10, ["bucket"])
+
+
+@register("st12_rollup_switched_off_and_on")
+def _(spark, d):
+    # Three batches; the second keeps neither the minute traffic nor latencies of services.
+    root = scratch_dir(spark, "switched")
+    events = tb.event_log(raw_rows(spark, d))
+    fewer = [r for r in catalog.EVENT_ROLLUPS if not r.dims]
+    for n, kept in enumerate((catalog.EVENT_ROLLUPS, fewer, catalog.EVENT_ROLLUPS)):
+        RollupStore(root, kept)(
+            events.where(f"kafka_offset % 3 = {n}"), Batch("s", "event_log", n)
+        )
+    return RollupStore(root, catalog.EVENT_ROLLUPS).rollup(spark, "traffic_10s")
 
 
 @register("st12_native_traffic_10s")
@@ -830,6 +892,66 @@ def _(spark, d):
     return read_table(spark, f"{root}/event_log").select("service", "event_id")
 
 
+@register("st3_watermark_with_bad_clocks")
+def _(spark, d):
+    """Every tenth event has a clock far in the future; none of the others may count as late."""
+    tune(spark, streaming=True)
+    root = scratch_dir(spark, "clocks")
+    rows = tb.broker_rows(tb.events(spark, d)).selectExpr("offset * 3 + partition AS id", "*")
+    payload = """concat('{"event_id":"ev-', id, '","service":"auth","ts_ms":',
+        if(id % 10 = 0, if(id % 20 = 0, 9223372036854775807, 9223372036854775), 1704067200000), '}')"""
+    rows = rows.withColumn("value", F.expr(f"CAST({payload} AS BINARY)"))
+    # Three files in the order of arrival, one in each micro-batch.
+    first, last = rows.select(F.unix_millis("timestamp").alias("at")).agg(F.min("at"), F.max("at")).first()
+    third = F.expr(f"least(2, (unix_millis(timestamp) - {first}L) * 3 div greatest(1L, {last - first}L))")
+    for n in range(3):
+        rows.where(third == n).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/in")
+    events = dedup.drop_repeats(tb.event_log(stream), ["service", "event_id"], watermark="1 minute")
+    each = MicroBatch(
+        Delivery(ParquetTable(f"{root}/event_log", "kafka_received_at")),
+        stream="event_log", table="event_log", stamps=False,
+    )
+    _run(events, each, root)
+    return read_table(spark, f"{root}/event_log").select("event_id").distinct()
+
+
+@register("k4_replayed_dead_letters")
+def _(spark, d):
+    """The batch of bad rows is sent again after the consumer has read it."""
+    root = scratch_dir(spark, "replayed")
+    _, bad = split_events(tb.replay_parse(raw_rows(spark, d)))
+    to_topic = DeadLetterTopic(FileTopic(root, "logs.dlq"))
+    to_table = MicroBatch(
+        Delivery(ParquetTable(f"{root}/table", "kafka_received_at")),
+        stream="dlq_table", table="event_log_dlq", skip_empty=True,
+    )
+    topic = StreamSettings(files_root=root)
+    for _ in range(2):
+        to_topic.write(bad, Batch("dlq", "logs.dlq", 0, "replayed"))
+        _run(quarantine.parse_dlq(topic_stream(spark, topic, "logs.dlq")), to_table, f"{root}/consumer")
+    return read_table(spark, f"{root}/table").select(
+        "event_id", "source_topic", "source_partition", "source_offset", "source_key",
+        "event_timestamp", "error_type", "raw_json",
+    )
+
+
+@register("k11_expired_folders")
+def _(spark, d):
+    """Day folders that expiry keeps, for every table."""
+    root = scratch_dir(spark, "days")
+    days = tb.events(spark, d).select(F.to_date("ts").alias("day"), "event_id")
+    days.write.partitionBy("day").parquet(root)
+    as_of = days.agg(F.max("day")).first()[0]
+    kept = spark.read.parquet(root).select(F.col("day").cast("string").alias("day")).distinct()
+    found = []
+    for name, keep in retention.KEEP.items():
+        gone = retention.drop_expired(spark, root, keep, as_of, dry_run=True)
+        gone = [folder.partition("=")[2] for folder in gone]
+        found.append(kept.where(~F.col("day").isin(gone)).select(F.lit(name).alias("table_name"), "day"))
+    return union_states(found)
+
+
 @register("k3_k4_s4_streamed_dead_letters")
 def _(spark, d):
     """Bad rows to the topic in one query, topic to table in another."""

@@ -47,9 +47,13 @@ def build_session(settings: SessionSettings | None = None) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only when the session names none (tests on one machine) is a temporary folder used.
+    Only when the session names none and runs in one process (tests) is a temporary folder
+    used: on a cluster each executor would write to its own disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{shared.rstrip('/')}/logpulse/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -35,7 +35,7 @@ class FileCommitLog:
 
     path: str
 
-    def _entry(self, batch: Batch) -> str:
+    def entry(self, batch: Batch) -> str:
         keys = {
             "stream_name": batch.stream,
             "target_table": batch.table,
@@ -48,7 +48,7 @@ class FileCommitLog:
         storage.create(spark, self.path)
 
     def seen(self, spark: SparkSession, batch: Batch) -> bool:
-        if storage.exists(spark, f"{self._entry(batch)}/_SUCCESS"):
+        if storage.exists(spark, f"{self.entry(batch)}/_SUCCESS"):
             return True
         if not storage.exists(spark, self.path):
             raise GuardMissing(self.path)
@@ -56,7 +56,7 @@ class FileCommitLog:
 
     def mark(self, spark: SparkSession, batch: Batch) -> None:
         row = _marker(spark, batch).select("committed_at").coalesce(1)
-        row.write.mode("overwrite").parquet(self._entry(batch))
+        row.write.mode("overwrite").parquet(self.entry(batch))
 
 
 @dataclass(frozen=True)

@@ -52,7 +52,7 @@ class MicroBatch:
         # the caller already does.
         self.hold = (skip_empty or bool(then)) if hold is None else hold
         self.timings = timings or TimingLog()
-        self.outcomes: dict[int, Outcome] = {}
+        self.outcome: Outcome | None = None  # of the latest batch
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         batch = Batch(self.stream, self.table, batch_id, Batch.query_id_of(df), self.query)
@@ -78,10 +78,14 @@ class MicroBatch:
             def stamp(frame: DataFrame) -> DataFrame:
                 return _stamp(frame, STORED_AT, stored) if self.stamps else frame
 
-            self.outcomes[batch_id] = self.delivery(out, batch, stamp=stamp)
-            if self.outcomes[batch_id] not in (Outcome.BYPASSED, Outcome.LOST):
+            self.outcome = self.delivery(out, batch, stamp=stamp)
+            if self.outcome not in (Outcome.BYPASSED, Outcome.LOST):
+                kept = stamp(out)
+                if self.outcome is Outcome.SKIPPED and hasattr(self.delivery.target, "stored"):
+                    # Written before, with stamps of its own: derived tables must agree.
+                    kept = self.delivery.target.stored(df.sparkSession, batch)
                 for follow in self.then:
-                    follow(stamp(out), batch)
+                    follow(kept, batch)
             self.timings.record(batch, time.perf_counter() - wrote, stage="write")
         finally:
             if self.hold:

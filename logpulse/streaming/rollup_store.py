@@ -9,18 +9,24 @@ exists at which a batch counts twice or not at all.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logpulse.plans.catalog import DLQ_ROLLUPS, EVENT_ROLLUPS
 from logpulse.plans.rollups import Rollup, SharedStates
+from logpulse.sources import storage
+from logpulse.sources.tables import day_folders
 from logpulse.streaming.batch import Batch
 
 DAY, BATCH = "bucket_date", "batch_key"
 
 
+def _utc_day(at: datetime) -> date:
+    return (at.astimezone(UTC) if at.tzinfo else at).date()
+
+
 class RollupStore:
     def __init__(self, path: str, rollups: Iterable[Rollup], *, backfill: bool = False):
         """``rollups`` are the ones maintained; leave one out to switch it off.
@@ -30,7 +36,11 @@ class RollupStore:
         """
         self.path = path
         self.backfill = backfill
-        self.shared = SharedStates(rollups)
+        rollups = tuple(rollups)
+        whole = next((c for c in (EVENT_ROLLUPS, DLQ_ROLLUPS) if set(rollups) <= set(c)), rollups)
+        self.shared = SharedStates(rollups, grain=whole)
+        # What is stored may hold more than the rollups maintained now.
+        self._whole = SharedStates(whole)
         # States are filed under the day of the ingest bucket, where there is one.
         times = self.shared.keys[: len(self.shared.times)]
         self._day_of = min(times, key=lambda name: not name.endswith("kafka_received_at"))
@@ -55,20 +65,26 @@ class RollupStore:
             .parquet(f"{self.path}/{part}")
         )
 
-    def _part(self, spark: SparkSession, part: str) -> DataFrame | None:
-        try:
-            rows = spark.read.parquet(f"{self.path}/{part}")
-        except AnalysisException as exc:
-            if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        return rows.withColumns({DAY: F.col(DAY).cast("date"), BATCH: F.col(BATCH).cast("string")})
+    def _part(
+        self,
+        spark: SparkSession,
+        part: str,
+        since: date | None = None,
+        until: date | None = None,
+    ) -> DataFrame | None:
+        """States of the wanted days: only their folders are listed, no schema is inferred."""
+        folders = day_folders(spark, f"{self.path}/{part}", DAY, since, until)
+        if not folders:
+            return None
+        reader = spark.read.schema(f"{self._whole.ddl}, {DAY} DATE, {BATCH} STRING")
+        return reader.option("basePath", f"{self.path}/{part}").parquet(*folders)
 
     def states(
         self, spark: SparkSession, *, since: date | None = None, until: date | None = None
     ) -> DataFrame:
-        """Unmerged states; a range of days is cut to their folders."""
-        fresh, closed = self._part(spark, "open"), self._part(spark, "closed")
+        """Unmerged states of a range of days."""
+        fresh = self._part(spark, "open", since, until)
+        closed = self._part(spark, "closed", since, until)
         found = []
         if closed is not None:
             found.append(closed.where(F.col(BATCH).isNull()))
@@ -77,41 +93,50 @@ class RollupStore:
                 fresh = fresh.join(listed, [DAY, BATCH], "left_anti")
         if fresh is not None:
             found.append(fresh)
-        if not found:
+        if not found and since is None and until is None:
             raise FileNotFoundError(f"no rollup states under {self.path}")
-        rows = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-        if since is not None:
-            rows = rows.where(F.col(DAY) >= F.lit(since))
-        if until is not None:
-            rows = rows.where(F.col(DAY) <= F.lit(until))
-        return rows
+        if not found:
+            return spark.createDataFrame([], f"{self._whole.ddl}, {DAY} DATE, {BATCH} STRING")
+        return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
     def rollup(
-        self, spark: SparkSession, name: str, *, since: datetime | None = None
+        self,
+        spark: SparkSession,
+        name: str,
+        *,
+        since: datetime | None = None,
+        until: datetime | None = None,
     ) -> DataFrame:
-        """Merged states of one rollup, from ``since`` on.
+        """Merged states of one rollup, buckets from ``since`` on and before ``until``.
 
-        Where the rollup is bucketed by the time the states are filed under, ``since`` is cut
-        to day folders and, within files, to the row groups of the stored bucket.
+        Where the rollup is bucketed by the time the states are filed under, only the day
+        folders of that range are listed and, within files, row groups are cut by the stored
+        bucket. Times without a zone are UTC.
         """
         r = self.shared[name]
-        if since is None:
-            return self.shared.rollup(self.states(spark), name)
-        states = self.states(spark)
-        if self.shared.bucket(r.at) == self._day_of:
-            states = states.where(
-                (F.col(DAY) >= F.to_date(F.lit(since))) & (F.col(self._day_of) >= F.lit(since))
-            )
-        return self.shared.rollup(states, name).where(F.col("bucket") >= F.lit(since))
+        filed = self.shared.bucket(r.at) == self._day_of
+        states = self.states(
+            spark,
+            since=_utc_day(since) if filed and since else None,
+            until=_utc_day(until) if filed and until else None,
+        )
+        for column, sign in ((self._day_of, filed), ("bucket", True)):
+            if column == "bucket":
+                states = self.shared.rollup(states, name)
+            if sign and since is not None:
+                states = states.where(F.col(column) >= F.lit(since))
+            if sign and until is not None:
+                states = states.where(F.col(column) < F.lit(until))
+        return states
 
     def compact(self, spark: SparkSession, day: date) -> None:
         """Merge a day's states into one per key. Safe to repeat; late batches stay readable."""
         states = self.states(spark, since=day, until=day)
-        merged = self.shared.merge(states).withColumns(
+        merged = self._whole.merge(states).withColumns(
             {DAY: F.lit(day), BATCH: F.lit(None).cast("string")}
         )
         listed = states.where(F.col(BATCH).isNotNull()).select(DAY, BATCH)
-        closed = self._part(spark, "closed")
+        closed = self._part(spark, "closed", day, day)
         if closed is not None:
             before = closed.where((F.col(DAY) == F.lit(day)) & F.col(BATCH).isNotNull())
             listed = listed.unionByName(before.select(DAY, BATCH))
@@ -119,11 +144,13 @@ class RollupStore:
         # The day is read and overwritten by the same job: put it aside first.
         aside = f"{self.path}/compacting/{day.isoformat()}"
         whole.hint("rebalance").write.mode("overwrite").parquet(aside)
-        self._save(spark.read.parquet(aside), "closed", (DAY,), gather=True)
+        whole = spark.read.schema(f"{self._whole.ddl}, {DAY} DATE, {BATCH} STRING").parquet(aside)
+        self._save(whole, "closed", (DAY,), gather=True)
+        storage.delete(spark, aside)
 
     def merged_batches(self, spark: SparkSession, day: date) -> list[str]:
         """Keys of the batches a compacted day is made of (names, not rows of data)."""
-        closed = self._part(spark, "closed")
+        closed = self._part(spark, "closed", day, day)
         if closed is None:
             return []
         listed = closed.where((F.col(DAY) == F.lit(day)) & F.col(BATCH).isNotNull())

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logpulse.config import SinkSettings
 from logpulse.schema import BROKER_ROW, names
-from logpulse.sources.tables import BATCH, DAY
+from logpulse.sources import storage
+from logpulse.sources.tables import BATCH, DAY, read_table
 from logpulse.streaming.batch import Batch
 
 
@@ -43,6 +44,10 @@ class ParquetTable:
             .parquet(self.path)
         )
 
+    def stored(self, spark: SparkSession, batch: Batch) -> DataFrame:
+        """The rows of a batch as they were written."""
+        return read_table(spark, self.path).where(F.col(BATCH) == batch.key).drop(DAY, BATCH)
+
 
 @dataclass(frozen=True)
 class JdbcTable:
@@ -73,20 +78,26 @@ class KafkaTopic:
 
 @dataclass(frozen=True)
 class FileTopic:
-    """A topic as a folder of files in broker-row layout; ``sources.broker`` reads it back."""
+    """A topic as a folder of files in broker-row layout; ``sources.broker`` reads it back.
+
+    A batch that is there already is left as it is: a stream reading the folder would take
+    files written anew for new messages. Offsets are distinct over all batches of a query.
+    """
 
     root: str
     topic: str
 
     def write(self, df: DataFrame, batch: Batch) -> None:
+        folder = f"{self.root}/{self.topic}/batch_{batch.key}"
+        if storage.exists(df.sparkSession, f"{folder}/_SUCCESS"):
+            return
+        within = F.monotonically_increasing_id()
         rows = df.select(
             F.col("key").cast("binary"),
             F.col("value").cast("binary"),
             F.lit(self.topic).alias("topic"),
-            F.lit(0).alias("partition"),
-            F.monotonically_increasing_id().alias("offset"),
+            F.shiftright(within, 33).cast("int").alias("partition"),
+            (F.lit(batch.batch_id << 33) + F.pmod(within, F.lit(1 << 33))).alias("offset"),
             F.current_timestamp().alias("timestamp"),
         )
-        rows.select(*names(BROKER_ROW)).write.mode("overwrite").parquet(
-            f"{self.root}/{self.topic}/batch_{batch.key}"
-        )
+        rows.select(*names(BROKER_ROW)).write.mode("overwrite").parquet(folder)

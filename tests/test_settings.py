@@ -123,7 +123,7 @@ def test_kafka_options():
     assert kafka_options(settings, " a, b ,", trigger="5s") == {
         "kafka.bootstrap.servers": "b:9092",
         "subscribe": "a,b",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "startingOffsets": "latest",
         "maxOffsetsPerTrigger": "500",
         "minPartitions": "4",

@@ -345,7 +345,7 @@ class BrokenGuard:
 
 def test_written_but_unmarked_is_not_retried(rows, folder):
     target = Flaky(table(folder), 0)
-    quiet = Delivery(target, SinkSettings(retry_max=3), guard=BrokenGuard())
+    quiet = Delivery(target, SinkSettings(retry_max=3, fail_on_error=False), guard=BrokenGuard())
     assert quiet(rows, Batch("s", "t", 0)) is Outcome.UNMARKED
     assert target.calls == 1
     strict = Delivery(target, SinkSettings(fail_on_error=True), guard=BrokenGuard())
@@ -375,7 +375,7 @@ def test_final_failure_bypasses_to_dead_letters(spark, rows, folder):
     )
     got = {r.key: r for r in sent.collect()}
     assert set(got) == {"a", "b"}
-    assert got["a"].kind == "sink_write_failed" and got["a"].length == 2000
+    assert got["a"].kind == "sink_write_failed" and got["a"].length == 3000
     assert got["a"].created == "1704067200000" and '"request_id":"r1"' in got["a"].raw
 
 
