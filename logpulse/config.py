@@ -5,12 +5,15 @@ Each field names its key and kind, so reading, defaulting and error reporting ar
 
 from __future__ import annotations
 
+import math
 import os
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
 from typing import Any, Self
 
+import pandas as pd
+
 
 def _flag(text: str) -> bool:
     # Texts that mean yes.
@@ -53,25 +56,17 @@ class Settings:
         return cls(**found)
 
 
-# Spellings of units in interval texts.
-_UNIT_SECONDS = {
-    "ms": 0.001, "millisecond": 0.001, "milliseconds": 0.001,
-    "s": 1, "sec": 1, "secs": 1, "second": 1, "seconds": 1,
-    "m": 60, "min": 60, "mins": 60, "minute": 60, "minutes": 60,
-    "h": 3600, "hr": 3600, "hour": 3600, "hours": 3600,
-}
-
-
 def interval_seconds(text: str | None) -> float | None:
-    """``"3 seconds"``, ``"5s"``, ``"1500ms"`` or a bare number of seconds; else ``None``."""
-    found = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([a-z]*)\s*", (text or "").lower())
-    if not found:
+    """Length of an interval such as ``"3 seconds"`` or ``"1500ms"``; ``None`` if it is none.
+
+    A bare number is seconds.
+    """
+    text = (text or "").strip()
+    try:
+        found = pd.Timedelta(f"{text} s" if text.isdigit() else text)
+    except ValueError:
         return None
-    number, unit = found.groups()
-    if not unit:
-        return float(number) if number.isdigit() else None
-    scale = _UNIT_SECONDS.get(unit)
-    return None if scale is None else float(number) * scale
+    return None if found is pd.NaT or found < pd.Timedelta(0) else found.total_seconds()
 
 
 @dataclass(frozen=True)
@@ -82,7 +77,7 @@ class StreamSettings(Settings):
     fact_topics: str = option("SPARK_FACT_TOPICS", default="")
     dlq_topic: str | None = option("SPARK_DLQ_TOPIC")
     starting_offsets: str | None = option("SPARK_STARTING_OFFSETS")
-    max_per_trigger: str | None = option("SPARK_MAX_OFFSETS_PER_TRIGGER")
+    max_per_trigger: int | None = option("SPARK_MAX_OFFSETS_PER_TRIGGER", "int")
     max_per_trigger_cap: int | None = option("SPARK_MAX_OFFSETS_CAP", "int")
     target_eps: int | None = option("SPARK_TARGET_EPS", "int")
     target_eps_profile: str | None = option("SPARK_TARGET_EPS_PROFILE_PATH")
@@ -90,6 +85,8 @@ class StreamSettings(Settings):
     # Offsets that the broker has dropped before they were read stop the query.
     fail_on_data_loss: bool = option("SPARK_KAFKA_FAIL_ON_DATA_LOSS", "flag", True)
     min_partitions: int | None = option("SPARK_KAFKA_MIN_PARTITIONS", "int")
+    # Partitions of the topics read, for the multiplier.
+    topic_partitions: int | None = option("SPARK_KAFKA_TOPIC_PARTITIONS", "int")
     min_partitions_multiplier: float | None = option(
         "SPARK_KAFKA_MIN_PARTITIONS_MULTIPLIER", "float"
     )
@@ -110,29 +107,22 @@ class StreamSettings(Settings):
         except (FileNotFoundError, ValueError):
             return None
 
-    def rows_per_trigger(self, trigger: str | None) -> str | None:
-        """Rows a trigger may take: as given, else rate x trigger length; then the hard cap."""
-        wanted = self.max_per_trigger
-        if not wanted:
-            eps, seconds = self.eps(), interval_seconds(trigger)
-            if not eps or not seconds:
-                return None
-            wanted = str(max(1, int(eps * seconds * (self.rate_safety or 1.0))))
-        cap = self.max_per_trigger_cap
-        if not cap or cap <= 0:
-            return wanted
-        try:
-            rows = int(float(wanted))
-        except ValueError:
-            return wanted
-        return wanted if rows <= 0 else str(min(rows, cap))
+    def rows_per_trigger(self, trigger: str | None) -> int | None:
+        """The least of the limits on a trigger's rows that are set; ``None`` without a rate.
+
+        The given number stands before the one computed from rate and trigger length.
+        """
+        rate, length = self.eps() or 0, interval_seconds(trigger) or 0
+        computed = math.floor(rate * length * (self.rate_safety or 1.0))
+        wanted = self.max_per_trigger or (max(1, computed) if rate and length else None)
+        limits = [n for n in (wanted, self.max_per_trigger_cap) if n and n > 0]
+        return min(limits) if wanted else None
 
     def read_partitions(self, topic_partitions: int | None = None) -> int | None:
-        if self.min_partitions:
-            return self.min_partitions
-        if not self.min_partitions_multiplier or not topic_partitions:
-            return None
-        return max(1, int(topic_partitions * self.min_partitions_multiplier))
+        """Partitions to read with: as given, else in proportion to those the topics have."""
+        known = topic_partitions or self.topic_partitions
+        share = (self.min_partitions_multiplier or 0) * (known or 0)
+        return self.min_partitions or (max(1, math.floor(share)) if share else None)
 
 
 @dataclass(frozen=True)

@@ -184,8 +184,8 @@ def health(
         dlq,
     ]
     for part in parts:
-        # Global aggregates or limit(1): one row, whatever the data.
-        row = row.join(F.broadcast(part.withColumn("_k", F.lit(1))), "_k", "left")
+        # One row, whatever is handed in: that is what may be broadcast.
+        row = row.join(F.broadcast(part.limit(1).withColumn("_k", F.lit(1))), "_k", "left")
     filled = []
     for field in row.schema:
         if field.name == "_k":

@@ -1,13 +1,17 @@
 """Rollup states on disk: one partial state per batch, merged when read.
 
 ``open/`` holds what each batch added, in folders a replay overwrites. ``closed/`` holds days
-compacted into one state per key, together with the list of batches that went in: both are
-written by one job, and a reader ignores the open folders of listed batches, so no moment
-exists at which a batch counts twice or not at all.
+compacted into one state per key, together with the list of batches that went in. Each
+compaction of a day writes a version folder of its own, and readers take the newest that is
+complete and ignore the open folders of the batches it lists; older versions and merged open
+folders are deleted afterwards. A job that dies in between leaves a version that nobody reads
+or folders that nobody counts, so no batch counts twice or not at all. One compaction of a day
+may run at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import UTC, date, datetime
 
@@ -74,10 +78,18 @@ class RollupStore:
     ) -> DataFrame | None:
         """States of the wanted days: only their folders are listed, no schema is inferred."""
         folders = day_folders(spark, f"{self.path}/{part}", DAY, since, until)
+        if part == "closed":
+            folders = [v[-1] for day in folders if (v := self._versions(spark, day))]
         if not folders:
             return None
         reader = spark.read.schema(f"{self._whole.ddl}, {DAY} DATE, {BATCH} STRING")
-        return reader.option("basePath", f"{self.path}/{part}").parquet(*folders)
+        rows = reader.option("basePath", f"{self.path}/{part}").parquet(*folders)
+        return rows.drop("version")
+
+    def _versions(self, spark: SparkSession, day: str) -> list[str]:
+        """Complete versions of a compacted day, oldest first."""
+        found = [f"{day}/{name}" for name in storage.subfolders(spark, day)]
+        return [v for v in found if storage.exists(spark, f"{v}/_SUCCESS")]
 
     def states(
         self, spark: SparkSession, *, since: date | None = None, until: date | None = None
@@ -131,22 +143,21 @@ class RollupStore:
 
     def compact(self, spark: SparkSession, day: date) -> None:
         """Merge a day's states into one per key. Safe to repeat; late batches stay readable."""
+        folder = f"{self.path}/closed/{DAY}={day.isoformat()}"
+        before = self._versions(spark, folder)
         states = self.states(spark, since=day, until=day)
         merged = self._whole.merge(states).withColumns(
-            {DAY: F.lit(day), BATCH: F.lit(None).cast("string")}
+            {BATCH: F.lit(None).cast("string")}
         )
-        listed = states.where(F.col(BATCH).isNotNull()).select(DAY, BATCH)
+        listed = states.where(F.col(BATCH).isNotNull()).select(BATCH)
         closed = self._part(spark, "closed", day, day)
         if closed is not None:
-            before = closed.where((F.col(DAY) == F.lit(day)) & F.col(BATCH).isNotNull())
-            listed = listed.unionByName(before.select(DAY, BATCH))
+            listed = listed.unionByName(closed.where(F.col(BATCH).isNotNull()).select(BATCH))
         whole = merged.unionByName(listed.distinct(), allowMissingColumns=True)
-        # The day is read and overwritten by the same job: put it aside first.
-        aside = f"{self.path}/compacting/{day.isoformat()}"
-        whole.hint("rebalance").write.mode("overwrite").parquet(aside)
-        whole = spark.read.schema(f"{self._whole.ddl}, {DAY} DATE, {BATCH} STRING").parquet(aside)
-        self._save(whole, "closed", (DAY,), gather=True)
-        storage.delete(spark, aside)
+        version = f"version={datetime.now(UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        whole.hint("rebalance").write.parquet(f"{folder}/{version}")
+        for old in before:
+            storage.delete(spark, old)
 
     def merged_batches(self, spark: SparkSession, day: date) -> list[str]:
         """Keys of the batches a compacted day is made of (names, not rows of data)."""

@@ -86,13 +86,13 @@ def test_intervals(text, seconds):
 @pytest.mark.parametrize(
     "given, trigger, rows",
     [
-        ({"max_per_trigger": "700"}, "4 seconds", "700"),
-        ({"target_eps": 5000}, "4 seconds", "20000"),
-        ({"target_eps": 5000, "rate_safety": 1.1}, "4 seconds", "22000"),
-        ({"target_eps": 5000, "max_per_trigger_cap": 9000}, "4 seconds", "9000"),
-        ({"max_per_trigger": "700", "max_per_trigger_cap": 0}, None, "700"),
-        ({"max_per_trigger": "lots", "max_per_trigger_cap": 5}, None, "lots"),
-        ({"target_eps": 1}, "100ms", "1"),
+        ({"max_per_trigger": 700}, "4 seconds", 700),
+        ({"target_eps": 5000}, "4 seconds", 20000),
+        ({"target_eps": 5000, "rate_safety": 1.1}, "4 seconds", 22000),
+        ({"target_eps": 5000, "max_per_trigger_cap": 9000}, "4 seconds", 9000),
+        ({"max_per_trigger": 700, "max_per_trigger_cap": 0}, None, 700),
+        ({"max_per_trigger_cap": 5}, "4 seconds", None),
+        ({"target_eps": 1}, "100ms", 1),
         ({"target_eps": 5000}, None, None),
         ({}, "4 seconds", None),
     ],
@@ -105,7 +105,7 @@ def test_rate_from_profile(tmp_path):
     profile = tmp_path / "profile.yml"
     profile.write_text("name: x\neps: 250.0\n")
     settings = StreamSettings(target_eps_profile=str(profile))
-    assert settings.rows_per_trigger("2 seconds") == "500"
+    assert settings.rows_per_trigger("2 seconds") == 500
     assert StreamSettings(target_eps_profile="/nowhere").eps() is None
 
 
@@ -114,6 +114,9 @@ def test_read_partitions():
     assert StreamSettings(min_partitions_multiplier=1.5).read_partitions(7) == 10
     assert StreamSettings(min_partitions_multiplier=1.5).read_partitions(None) is None
     assert StreamSettings().read_partitions(7) is None
+    given = {"SPARK_KAFKA_TOPIC_PARTITIONS": "6", "SPARK_KAFKA_MIN_PARTITIONS_MULTIPLIER": "2"}
+    settings = StreamSettings.load({**given, "KAFKA_BOOTSTRAP": "b:1"})
+    assert kafka_options(settings, "t")["minPartitions"] == "12"
 
 
 def test_kafka_options():

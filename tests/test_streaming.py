@@ -24,7 +24,7 @@ from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome, partitioned
 from logpulse.streaming.guard import FileCommitLog, not_committed
 from logpulse.streaming.ingest import Ingest, backfill
-from logpulse.streaming.maintenance import close_rollup_day, expire, settle_day
+from logpulse.streaming.maintenance import close_rollup_day, expire, expire_guard, settle_day
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.targets import FileTopic, ParquetTable
@@ -563,3 +563,51 @@ def test_closing_a_rollup_day_and_expiry(spark, folder):
     gone = expire(spark, folder, date(2024, 1, 8))
     assert expected <= set(gone) and any("rollups/event_log/closed" in name for name in gone)
     assert storage.subfolders(spark, f"{folder}/event_log") == []
+
+
+def test_compaction_that_dies_half_way_is_harmless(spark, folder, monkeypatch):
+    log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
+    store, day = RollupStore(f"{folder}/rollups", EVENT_ROLLUPS), date(2024, 1, 1)
+    for n in range(2):
+        store(log.where(F.col("kafka_partition") == n), Batch("s", "t", n, "q"))
+    store.compact(spark, day)
+    before = bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"])
+
+    def dies(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "delete", dies)  # between publishing and tidying up
+        with pytest.raises(RuntimeError):
+            store.compact(spark, day)
+    assert bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"]) == before
+    versions = f"{store.path}/closed/bucket_date=2024-01-01"
+    assert len(storage.subfolders(spark, versions)) == 2
+    unfinished = f"{versions}/version=99991231"  # no _SUCCESS
+    spark.range(5).write.parquet(unfinished)
+    storage.delete(spark, f"{unfinished}/_SUCCESS")
+    assert bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"]) == before
+    days = [p for p in store.rollup(spark, "lag_1m", since=datetime(2030, 1, 1)).inputFiles()]
+    assert days == []  # no folder of another day is listed
+
+
+def test_guarded_replay_hands_on_the_stored_stamps(rows, folder, spark):
+    guard = FileCommitLog(f"{folder}/guard")
+    guard.create(spark)
+    target = ParquetTable(f"{folder}/t", "kafka_received_at")
+    stamps = []
+    each = MicroBatch(
+        Delivery(target, guard=guard), stream="s", table="t",
+        then=[lambda df, batch: stamps.append(df.agg(F.min("stored_at"), F.count("*")).first())],
+    )
+    for _ in range(2):
+        each(rows, 0)
+    assert each.outcome is Outcome.SKIPPED and stamps[0] == stamps[1] and stamps[0][1] == 2
+    assert expire_guard(spark, guard, date.today()) == 0
+    assert expire_guard(spark, guard, date(2999, 1, 1)) == 1
+    assert not guard.seen(spark, Batch("s", "t", 0))
+
+
+def test_rollups_need_a_place(spark, folder):
+    with pytest.raises(ValueError, match="SPARK_SINK_ROOT"):
+        Ingest(spark, folder, sink=SinkSettings(url="jdbc:derby:memory:x"), dlq=DlqSettings(), stream=StreamSettings(enable_dlq=False))
