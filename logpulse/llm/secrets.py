@@ -33,6 +33,8 @@ TOKEN = re.compile(r"\w[\w+/.\-]*|[^\w\s]")
 SPAN = "array<struct<kind:string,start:int,stop:int>>"
 #: Texts with and without a base span that the field is fitted on, and the characters read of each.
 PER_LABEL, CHARS = 1_500, 20_000
+#: Texts, about, among which those with a base span are sought for that.
+POOL = 30_000
 MASK = "[SECRET]"
 B, I, O = 0, 1, 2  # noqa: E741
 
@@ -268,7 +270,8 @@ def training_windows(texts: list[str], *, hidden: float = 0.3, share: float = 0.
 def train(df: DataFrame, *, text: str = "text", key: str = "doc_id", per_label: int = PER_LABEL) -> Field | None:
     """A field fitted on a bounded sample of texts with and without base spans; None if no text is long enough."""
     has = F.col(text).rlike(ASSIGN[:-2] + "{12,})") | F.col(text).rlike(ACCESS) | F.col(text).rlike(HEX[:-1] + "{16,}")
-    rows = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), has.alias("label"))
+    drawn = F.pmod(F.xxhash64(key, F.lit(4)), F.lit(1 << 20)) < -(-POOL * (1 << 20) // max(1, df.count()))
+    rows = df.where(drawn).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), has.alias("label"))
     sample = labelled_sample(rows, "label", "text", per_label, salt=4, chars=CHARS, key="doc_id").texts
     features, tags = training_windows([t for k in sorted(sample) for t in sample[k][:per_label]])
     return fit(features, tags) if len(features) else None
