@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from logpulse.llm.common import stored
 
 #: Characters of text that a block holds (one longer text is a block of its own).
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 4 << 20
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 #: Stand for the end token among word hashes, and for the begin mark among word numbers.
