@@ -19,7 +19,7 @@ from logpulse.llm.sampling import labelled_sample
 
 BITS = 20
 #: Labelled texts of each label that the model is fitted on, and the characters read of each.
-PER_LABEL, CHARS = 3_000, 20_000
+PER_LABEL, CHARS = 2_500, 20_000
 #: Buckets that fewer training texts have, or a greater share of them, are not learned from: the
 #: former identify texts, the latter are in most.
 MOST_SHARE = 0.2
@@ -86,15 +86,18 @@ class Ftrl:
         self.n[at] += g * g
 
     def fit(self, texts: list[str], labels: list[int], importance: dict[int, float], *, rounds: int = 7, seed: int = 3) -> Ftrl:
-        owner, bucket = features(texts)
-        having = np.bincount(bucket, minlength=1 << BITS)
-        use = ((having >= LEAST_TEXTS) & (having <= MOST_SHARE * len(texts)))[bucket]
-        owner, bucket = owner[use], bucket[use]
-        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        own, having = [], np.zeros(1 << BITS, np.int32)
+        for start in range(0, len(texts), 64):  # few texts at a time: their pairs take much more room than they do
+            part = texts[start : start + 64]
+            owner, bucket = features(part)
+            having += np.bincount(bucket, minlength=1 << BITS).astype(np.int32)
+            own += np.split(bucket.astype(np.int32), np.searchsorted(owner, np.arange(1, len(part))))
+        use = (having >= LEAST_TEXTS) & (having <= MOST_SHARE * len(texts))
+        own = [x[use[x]] for x in own]
         rng = np.random.default_rng(seed)
         for _ in range(rounds):
             for i in rng.permutation(len(texts)).tolist():
-                self.update(bucket[cuts[i] : cuts[i + 1]], labels[i], importance[labels[i]])
+                self.update(own[i], labels[i], importance[labels[i]])
         return self
 
     def compact(self) -> tuple[np.ndarray, np.ndarray]:
