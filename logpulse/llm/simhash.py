@@ -182,6 +182,11 @@ def link(prints: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return joined.select(F.col("node").alias("simhash"), "root")
 
 
+def _rooted(prints: DataFrame) -> DataFrame:
+    """The given distinct fingerprints with `root`, the fingerprint that stands for their group."""
+    return prints.join(link(prints), "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
+
+
 def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, simhash, component_id): the smallest key that links of at most RADIUS bits reach.
 
@@ -190,21 +195,24 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text") -
     """
     docs = stored(with_fingerprints(df.select(key, text), text=text, keep=[key]), "simhash-docs")
     prints = stored(docs.groupBy("simhash").agg(F.min(key).alias("least")), "simhash-prints")
-    named = prints.join(link(prints), "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
+    named = _rooted(prints)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = named.join(least, "root").select("simhash", "component_id")
     return docs.join(classes, "simhash").select(key, "simhash", "component_id")
 
 
 def one_of_each(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of the smallest key of each group of near duplicates, one row of each; columns as given.
+    """One row of each group of near duplicates, that of the smallest key; columns as given.
 
-    Of rows with equal keys that of the smallest text stays. Among groups without any key, which have
-    the null key in common, one row stays.
+    Groups are told apart by their fingerprints, so those without a key, or with a key in common, keep
+    a row each. A null key comes last; of rows with equal keys that of the smallest text hash stays.
     """
-    chosen = stored(near_duplicates(df, key=key, text=text).select(F.col("component_id").alias(key)).distinct(), "simhash-chosen")
-    order = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
-    kept = df.join(chosen, key, "left_semi")
-    if not chosen.where(F.col(key).isNull()).isEmpty():
-        kept = kept.union(df.where(F.col(key).isNull()))
-    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    digest = F.coalesce(F.md5(F.col(text).cast("string")), F.lit(""))
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), digest.alias("digest"))
+    docs = stored(with_fingerprints(rows, keep=["key", "digest"]), "simhash-docs")
+    prints = stored(docs.groupBy("simhash").agg(F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "digest")).alias("least")), "simhash-prints")
+    best = _rooted(prints).groupBy("root").agg(F.min("least").alias("least"))
+    chosen = stored(best.select(F.col("root").alias("__root"), F.col("least.key").alias("__key"), F.col("least.digest").alias("__digest")), "simhash-chosen")
+    kept = df.join(chosen, F.col(key).eqNullSafe(F.col("__key")) & (digest == F.col("__digest")))
+    order = Window.partitionBy("__root").orderBy(text)  # rows repeated with key and text
+    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*df.columns)

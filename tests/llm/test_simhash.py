@@ -57,3 +57,11 @@ def test_nulls_repeats_empty_and_extra_columns(spark):
     assert sorted((str(r.doc_id) for r in kept.collect())) == ["1", "3", "9", "None"]
     assert one_of_each(df.limit(0)).count() == near_duplicates(df.limit(0)).count() == 0
     assert shingle_hashes("") == [] and len(shingle_hashes("a b")) == 1
+
+
+def test_one_row_of_every_group_stays_whatever_its_key(spark):
+    prepare(spark)
+    words = ["alpha beta gamma delta epsilon", "one two three four five six", "red green blue white black", "north east south west up down", "spring summer autumn winter year"]
+    rows = [(None, words[0]), (None, words[1]), (None, words[1].upper()), (5, words[2]), (None, words[2]), (7, words[3]), (7, words[4]), (7, words[4]), (8, words[4])]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text.lower()) for r in kept) == sorted([("None", words[0]), ("None", words[1]), ("5", words[2]), ("7", words[3]), ("7", words[4])])
