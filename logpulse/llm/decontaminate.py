@@ -1,8 +1,10 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index blocks, exact verification.
 
 Words are runs of word characters in lower case. An item's shingles are its runs of five words (the
-whole item if it is shorter), and so are those of a window with as many words. Similarity is the
-weighted Jaccard index: the sum over shingles of the lesser count by that of the greater.
+whole item if it is shorter), and so are those of a window with as many words. A text with fewer words
+than the item is one window as a whole, with runs as long as the item's; it is compared with every item
+that shares enough of them, without fingerprints. Similarity is the weighted Jaccard index: the sum over
+shingles of the lesser count by that of the greater.
 """
 
 from __future__ import annotations
@@ -58,9 +60,9 @@ def _runs(codes: np.ndarray, size: int) -> np.ndarray:
     return _runs_at(codes, np.arange(max(0, len(codes) - size + 1)), size)
 
 
-def _needed(shingles: int, similarity: float) -> int:
-    """Least number of shared shingles of two equally long runs with that similarity."""
-    return math.ceil(2 * similarity * shingles / (1 + similarity) - 1e-9)
+def _needed(shingles: int, others: int, similarity: float) -> int:
+    """Least number of shared shingles of two runs with so many each and that similarity."""
+    return math.ceil(similarity * (shingles + others) / (1 + similarity) - 1e-9)
 
 
 def _fingerprints(names: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -89,6 +91,7 @@ class Benchmark:
             self.classes.setdefault((len(words), size), []).append((item, _runs(codes, size)))
         self.sizes = sorted({s for _, s in self.classes})
         self.index = {}
+        self.owners: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}  # shingles and the members that have them
         for (n, size), members in self.classes.items():
             count = n - size + 1
             prints = np.array([_fingerprints(r, np.array([0]), count)[0] for _, r in members], np.uint64)
@@ -96,6 +99,11 @@ class Benchmark:
             for t, (at, mask) in zip(table, self.blocks):
                 t[((prints >> at) & mask).astype(int), np.arange(len(members))] = True
             self.index[n, size] = (count, np.unique(np.concatenate([r for _, r in members])), prints, table, [(i, Counter(r.tolist())) for i, r in members])
+            names, owners = np.concatenate([r for _, r in members]), np.repeat(np.arange(len(members), dtype=np.int32), count)
+            order = np.lexsort((owners, names))
+            names, owners = names[order], owners[order]
+            first = np.r_[True, (names[1:] != names[:-1]) | (owners[1:] != owners[:-1])]
+            self.owners[n, size] = names[first], owners[first]
         self.place = {w: k for k, w in enumerate(self.hash, 1)}
         self.codes = np.array([0, *self.hash.values()], np.uint64)
         self.known = {s: np.unique(np.concatenate([r for (_, z), m in self.classes.items() if z == s for _, r in m])) for s in self.sizes}
@@ -126,6 +134,23 @@ class Benchmark:
             met |= t[((prints >> at) & mask).astype(int)]
         return np.nonzero(met & (np.bitwise_count(prints[:, None] ^ own[None, :]) <= self.radius))
 
+    def whole(self, names: np.ndarray, n: int, size: int) -> list[tuple[int, float]]:
+        """(item, similarity) of items of n words that a text of fewer words, with these shingles, resembles."""
+        count, _, _, _, members = self.index[n, size]
+        least, (known, owners) = _needed(count, len(names), self.similarity), self.owners[n, size]
+        start, stop = np.searchsorted(known, names), np.searchsorted(known, names, side="right")
+        most = np.zeros(len(members), np.int64)  # shared shingles are at most the text's that the item has
+        for a, b in zip(start.tolist(), stop.tolist()):
+            most[owners[a:b]] += 1
+        own, out = Counter(names.tolist()), []
+        for j in np.flatnonzero(most >= least).tolist():
+            item, weights = members[j]
+            shared = sum((own & weights).values())
+            like = shared / (count + len(names) - shared)
+            if like >= self.similarity:
+                out.append((item, like))
+        return out
+
     def search(self, text: str) -> list[tuple[int, float, int, int]]:
         """(item, similarity, start, stop) of the best window of each item found, in characters."""
         words = _words(text)
@@ -143,12 +168,17 @@ class Benchmark:
             if not len(hits):
                 continue
             for (n, z), (count, own, _, _, members) in self.index.items():
-                if z != size or len(words) < n:
+                least = _needed(count, min(count, len(names)), self.similarity)
+                if z != size or len(hits) < least:
                     continue
                 mine = hits[np.isin(names[hits], own)]
-                least = _needed(count, self.similarity)
                 if len(mine) < least:
                     continue
+                if len(words) < n:
+                    for item, like in self.whole(names, n, size):
+                        if item not in best or (like, 0) > (best[item][0], -best[item][1]):
+                            best[item] = (like, 0, len(words))
+                    continue
                 # Windows with enough shared shingles: exact, as fewer cannot reach the similarity.
                 here = np.unique((mine[:, None] - np.arange(count)).ravel()) if count < 4096 else np.arange(mine[0] - count + 1, mine[-1] + 1)
                 here = here[(here >= 0) & (here + n <= len(words))]

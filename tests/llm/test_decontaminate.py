@@ -48,3 +48,33 @@ def test_nulls_repeats_and_clashing_columns(spark, monkeypatch):
     monkeypatch.setattr("logpulse.llm.decontaminate.PASS_BYTES", 40)
     again = with_leaks(df, bench, keep=["doc_id"])
     assert again.columns == ["doc_id", "leaks"] and [len(r.leaks) for r in again.collect()] == [0, 0, 2, 2, 2] or [len(r.leaks) for r in again.collect()] == [0, 0, 1, 1, 1]
+
+
+def test_texts_shorter_than_an_item_are_compared_whole():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([3, 6, 9, 10, 20, 40, 59, 59])]
+    items += [(8, "x y " * 20), (9, " ".join([*items[6][1].split()[:57], "other", "end"]))]
+    bench, found_any = Benchmark(items), 0
+    for _, own in items:
+        words = own.split()
+        for cut in range(1, min(16, len(words))):
+            for text in (" ".join(words[:-cut]), " ".join(words[cut:]).upper(), " ".join(words[cut // 2 : len(words) - cut + cut // 2])):
+                want = {}
+                for item, other in items:
+                    theirs, mine = other.split(), text.lower().split()
+                    if len(mine) < len(theirs):
+                        n = min(5, len(theirs))
+                        a, b = ([tuple(x[i : i + n]) for i in range(len(x) - n + 1)] for x in (theirs, mine))
+                        shared = sum(min(a.count(s), b.count(s)) for s in set(a))
+                        if shared / (len(a) + len(b) - shared) >= 0.8:
+                            want[item] = round(shared / (len(a) + len(b) - shared), 9)
+                found_any += len(want)
+                got = {i: (round(s, 9), text[a:b]) for i, s, a, b in bench.search(text)}
+                longer = {i for i, other in items if len(other.split()) > len(text.split())}
+                assert {i: x[0] for i, x in got.items() if i in longer} == want
+                assert all(got[i][1] == text for i in want)
+                assert [(i, s) for i, s, _, _ in bench.search_all(["zz", text])[1]] == [(i, s) for i, s, _, _ in bench.search(text)]
+    assert found_any > 100
+    (i, like, a, b), = Benchmark([items[6]]).search(" ".join(items[6][1].split()[:-3]))
+    assert (i, a) == (6, 0) and like == 52 / 55
