@@ -14,10 +14,10 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logpulse.llm.common import Memo, add_columns
+from logpulse.llm.common import Memo, add_columns, stored
 from logpulse.llm.sampling import labelled_sample
 
 # The patterns of the base kinds and the least lengths, in the order of the kinds.
@@ -33,7 +33,7 @@ TOKEN = re.compile(r"\w[\w+/.\-]*|[^\w\s]")
 SPAN = "array<struct<kind:string,start:int,stop:int>>"
 #: Texts with and without a base span that the field is fitted on, and the characters read of each.
 PER_LABEL, CHARS = 1_500, 20_000
-#: Texts, about, among which those with a base span are sought for that.
+#: Texts, about, among which those without a base span are drawn; those with one are sought in all rows.
 POOL = 30_000
 MASK = "[SECRET]"
 B, I, O = 0, 1, 2  # noqa: E741
@@ -267,13 +267,36 @@ def training_windows(texts: list[str], *, hidden: float = 0.3, share: float = 0.
     return np.stack(features), np.stack(tags)
 
 
+def has_base(text: Column) -> Column:
+    """Whether a text has a base span; plain searches for what an assignment or access key must contain come first."""
+    # An array of one, so that the text is lowered once for all five searches.
+    key = F.exists(F.array(F.lower(text)), lambda low: low.contains("passw") | low.contains("secret") | low.contains("token") | (low.contains("api") & low.contains("key")))
+    return (text.contains("AKIA") & text.rlike(ACCESS[:-1] + "{%d,}" % (LEAST["access"] - 4))) | text.rlike(HEX[:-1] + "{%d}" % LEAST["hex"]) | (key & text.rlike(ASSIGN[:-2] + "{%d,})" % LEAST["assign"]))
+
+
+def positives(rows: DataFrame, most: int) -> list[str]:
+    """Pieces, around a base span, of `most` of all texts that have one, or of all if there are fewer.
+
+    One pass over all rows stores a hash of each such text; the texts of the smallest hashes are fetched.
+    """
+    place = F.xxhash64("text", F.lit(4))
+    found = stored(rows.where(has_base(F.col("text"))).select(place.alias("place")).distinct(), "secrets-places")
+    least = [r["place"] for r in found.orderBy("place").limit(most).collect()]
+    if not least:
+        return []
+    first = F.least(*(F.coalesce(F.nullif(F.regexp_instr("text", F.lit(p)), F.lit(0)), F.length("text") + 1) for p in (ASSIGN[:-2] + "{%d,})" % LEAST["assign"], ACCESS[:-1] + "{%d,}" % (LEAST["access"] - 4), HEX[:-1] + "{%d}" % LEAST["hex"])))
+    start = F.greatest(F.lit(1), F.least(first - CHARS // 2, F.length("text") - CHARS + 1))
+    pieces = rows.where(place.isin(least)).select(place.alias("place"), F.substring("text", start, F.lit(CHARS)).alias("piece")).groupBy("place").agg(F.min("piece").alias("piece"))
+    return [r["piece"] for r in sorted(pieces.collect(), key=lambda r: r["place"])]
+
+
 def train(df: DataFrame, *, text: str = "text", key: str = "doc_id", per_label: int = PER_LABEL) -> Field | None:
     """A field fitted on a bounded sample of texts with and without base spans; None if no text is long enough."""
-    has = F.col(text).rlike(ASSIGN[:-2] + "{12,})") | F.col(text).rlike(ACCESS) | F.col(text).rlike(HEX[:-1] + "{16,}")
-    drawn = F.pmod(F.xxhash64(key, F.lit(4)), F.lit(1 << 20)) < -(-POOL * (1 << 20) // max(1, df.count()))
-    rows = df.where(drawn).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), has.alias("label"))
-    sample = labelled_sample(rows, "label", "text", per_label, salt=4, chars=CHARS, key="doc_id").texts
-    features, tags = training_windows([t for k in sorted(sample) for t in sample[k][:per_label]])
+    rows = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 20)) < -(-POOL * (1 << 20) // max(1, df.count()))
+    without = labelled_sample(rows.where(drawn & ~has_base(F.col("text"))).withColumn("label", F.lit(False)), "label", "text", per_label, salt=4, chars=CHARS, key="doc_id").texts
+    sample = [*without.get(False, [])[:per_label], *positives(rows, per_label)]
+    features, tags = training_windows(sample)
     return fit(features, tags) if len(features) else None
 
 
