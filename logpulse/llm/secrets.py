@@ -312,9 +312,10 @@ def find_spans(texts: list[str], field: Field | None, memo: Memo) -> list[list[t
                 runs = field.decode(classes, text_bucket(classes // BUCKETS))
                 if runs:
                     places = [m.span() for m in TOKEN.finditer(text)]
+                    base = list(spans)
                     for a, b in runs:
                         start, stop = places[a][0], places[b][1]
-                        if not any(x < stop and start < y for _, x, y in spans):
+                        if not any(x <= start and stop <= y for _, x, y in base):
                             spans.append(("model", start, stop))
         out.append(sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))))
     return out
@@ -323,8 +324,8 @@ def find_spans(texts: list[str], field: Field | None, memo: Memo) -> list[list[t
 def with_secrets(df: DataFrame, field: Field | None, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds `secrets`: (kind, start, stop) in code points, by start and then by kind as in KINDS.
 
-    Kinds of the fixed patterns may overlap one another; spans of the model that overlap one of theirs
-    are left out. Null and empty texts have none. Without a field only the fixed patterns speak.
+    Spans of different kinds may overlap; a span of the model is left out if it lies inside one of the
+    fixed patterns. Null and empty texts have none. Without a field only the fixed patterns speak.
     """
 
     def make():

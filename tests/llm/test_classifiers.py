@@ -171,3 +171,22 @@ def test_training_seeks_base_spans_in_all_rows(spark, monkeypatch):
     kinds = ["TOKEN=abcdefghijkl", "token=abcdefghijk", "passwd : \"" + "a" * 12, "AKIA" + "Z" * 14, "AKIA" + "Z" * 13, "0" * 16, "0" * 15, "apiKey=" + "x" * 12, "api_key=" + "x" * 12, "ſecret: abcdefghijklm", ""]
     got = spark.createDataFrame([(k,) for k in kinds], "text string").select("text", secrets.has_base(F.col("text")).alias("has")).collect()
     assert {r.text: r.has for r in got} == {k: bool(secrets.base_spans(k)) for k in kinds}
+
+
+def test_spans_of_the_model_that_reach_beyond_base_spans_are_added():
+    class Told:
+        class_lead, least = np.ones(len(secrets.ABLE)), 0.0
+
+        def decode(self, classes, bucket):
+            return runs
+
+    def found(text):
+        return secrets.find_spans([text], Told(), Memo(secrets.token_class))[0]
+
+    token, runs = "Zz9Xdeadbeefdeadbeef00QQ77", [(0, 0)]
+    assert found(f"{token} end") == [("model", 0, 26), ("hex", 4, 22)]
+    assert secrets.masked(f"{token} end", [(a, b) for _, a, b in found(f"{token} end")]) == "[SECRET] end"
+    text, runs = 'token = "abcdefghijkl$mnop99XYZ"', [(3, 5)]
+    assert found(text) == [("assign", 0, 21), ("model", 9, 31)] and secrets.masked(text, [(a, b) for _, a, b in found(text)]) == '[SECRET]"'
+    runs = [(3, 3)]
+    assert found(text) == [("assign", 0, 21)]
