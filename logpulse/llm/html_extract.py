@@ -23,7 +23,8 @@ ANCESTORS = 24
 #: Pages that the network is fitted on, and the longest page among them in characters.
 PAGES, LONGEST = 300, 200_000
 MEASURES = 7
-LANES = 256
+#: Pages that are read side by side, and their blocks with padding; a longer page is read by itself.
+LANES, CELLS = 256, 1 << 17
 
 # Words in tags, classes and ids that set a part of a page apart from its article.
 ASIDE = frozenset("nav aside footer form dialog menu ad ads adv advert advertisement advertising banner promo sponsor sponsored cookie cookies consent notice notices alert newsletter subscribe sidebar breadcrumb breadcrumbs comment comments respond reply replies share social related recommended pagination skip toolbar login signup search button select option".split())
@@ -128,6 +129,16 @@ class Lstm:
         return np.concatenate([x.reshape(-1, k).T @ flat, d_inner, flat.sum(axis=0, keepdims=True)]), d_gates @ self.w[:k].T
 
 
+def lane_groups(sizes: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
+    """Pages, given by rising size, in groups of at most LANES pages and CELLS blocks, padded to the longest."""
+    groups, start = [], 0
+    for k in range(1, len(order) + 1):
+        if k == len(order) or k - start == LANES or (k + 1 - start) * int(sizes[order[k]]) > CELLS:
+            groups.append(order[start:k])
+            start = k
+    return groups
+
+
 class Labeller:
     def __init__(self, seed: int = 10):
         rng = np.random.default_rng(seed)
@@ -153,8 +164,8 @@ class Labeller:
         inputs, out = self._inputs(pages), np.zeros(int(pages.sizes.sum()))
         order = np.argsort(pages.sizes, kind="stable")
         order = order[pages.sizes[order] > 0]
-        for s in range(0, len(order), LANES):
-            at, real = self._lanes(pages, order[s : s + LANES])
+        for which in lane_groups(pages.sizes, order):
+            at, real = self._lanes(pages, which)
             x = inputs[at]
             a, b = self.forth.run(x, real), self.back.run(x[::-1], real[::-1])[::-1]
             score = np.concatenate([a, b], axis=2) @ self.out[:-1] + self.out[-1]

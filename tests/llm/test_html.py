@@ -80,3 +80,21 @@ def test_nulls_long_pages_repeats_and_no_training_pages(spark):
     assert set(got[0].asDict()) == {"page_id", "html", "text"}
     net = Labeller().fit([leaves("<nav><li>menu</nav><article><p>some text here.</p></article>")] * 8, rounds=2)
     assert html_extract.main_text(df, net).count() == 5 and html_extract.main_text(df.limit(0), net).count() == 0
+
+
+def test_a_very_long_page_is_read_by_itself(monkeypatch):
+    sizes, cells = [1, 2, 3] * 85 + [20_000], []
+    pages = Pages([leaves("<p>word one." * n) for n in sizes])
+    net, lanes = Labeller(), Labeller._lanes
+
+    def noted(pages, which):
+        at, real = lanes(pages, which)
+        cells.append(at.size)
+        return at, real
+
+    monkeypatch.setattr(Labeller, "_lanes", staticmethod(noted))
+    got = net.probabilities(pages)
+    assert max(cells) <= html_extract.CELLS and len(got) == sum(sizes)
+    for k in (0, 1, 254, 255):
+        alone = net.probabilities(Pages([leaves("<p>word one." * sizes[k])]))
+        assert np.allclose(got[pages.starts[k] : pages.starts[k] + sizes[k]], alone)
