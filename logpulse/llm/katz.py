@@ -7,9 +7,12 @@ ends with an end token and its first word follows a begin mark.
 
 Counts never meet in one place. Documents are packed into blocks of token numbers, stored in a table
 bucketed by block. Each block asks the word partitions (by hash of the word) for counts and numbers
-of its distinct words, and then the history partitions (by number of h) for its distinct pairs. A
+of its distinct words, and then the pair partitions (by number of h) for its distinct pairs. A
 partition adds up what all blocks have, is stored, and answers each block; asked and answered are
-packed arrays, one row for each block and partition. Blocks then evaluate their own tokens.
+packed arrays, one row for each block and partition. The pairs of a history that is used more than
+SPLIT_USES times are dealt by word over several partitions; what a pair partition knows of each history is
+a partial sum, and the word partitions add these up and tell each block about its words as histories.
+Blocks then evaluate their own tokens. The number of partitions grows with the tokens.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ from logpulse.llm.common import stored
 BLOCK_CHARS = 4 << 20
 #: Counts up to this are discounted.
 DISCOUNTED = 5
-#: Stand for the end token among word hashes, and for the begin mark among word numbers.
-END, BEGIN = 1, 0
+#: Stands for the end token among word hashes; as a history it is the begin mark, as nothing follows an end.
+END = 1
+#: Uses of a history, about, whose pairs meet in one partition, and tokens of all texts for each partition.
+SPLIT_USES, PART_TOKENS = 1 << 17, 1 << 22
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -119,8 +124,8 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
         words = np.array([END, *(xxhash.xxh64_intdigest(w) | 2 for w in list(known)[1:])], np.uint64)
         sequence = np.concatenate(numbers).astype(np.uint32)
         trained = np.repeat(~np.array(held), sizes)
-        counts = np.bincount(sequence[trained], minlength=len(words)).astype(np.uint32)
-        row = {"block": (task << 24) + made, "ids": list(ids), "held": list(held), "sizes": list(sizes), "sequence": pack(sequence), "words": pack(words), "counts": pack(counts)}
+        counts, uses = (np.bincount(x, minlength=len(words)).astype(np.uint32) for x in (sequence[trained], sequence))
+        row = {"block": (task << 24) + made, "ids": list(ids), "held": list(held), "sizes": list(sizes), "sequence": pack(sequence), "words": pack(words), "counts": pack(counts), "uses": pack(uses)}
         made += 1
         return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
 
@@ -143,8 +148,8 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("sequence", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
-_BLOCK_DDL = "block long, ids array<long>, held array<boolean>, sizes array<int>, sequence binary, words binary, counts binary"
+_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("sequence", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()), ("uses", pa.binary())])
+_BLOCK_DDL = "block long, ids array<long>, held array<boolean>, sizes array<int>, sequence binary, words binary, counts binary, uses binary"
 
 
 def _split(part: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -171,11 +176,11 @@ def _word_order(words: np.ndarray, parts: int) -> np.ndarray:
 
 def _ask_words(batches, parts: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block, words, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "counts"))):
-            words, counts = unpack(words, np.uint64), unpack(counts, np.uint32)
+        for block, words, counts, uses in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "counts", "uses"))):
+            words, counts, uses = unpack(words, np.uint64), unpack(counts, np.uint32), unpack(uses, np.uint32)
             order = _word_order(words, parts)
-            words, counts = words[order], counts[order]
-            yield _frame([{"part": p, "block": block, "a": pack_rising(words[s]), "b": pack(counts[s])} for p, s in _split(words % np.uint64(parts))], _ASKED)
+            words, counts, uses = words[order], counts[order], uses[order]
+            yield _frame([{"part": p, "block": block, "a": pack_rising(words[s]), "b": pack(counts[s]), "c": pack(uses[s])} for p, s in _split(words % np.uint64(parts))], _ASKED)
 
 
 def _groups(batches) -> Iterator[tuple[int, list[dict]]]:
@@ -196,19 +201,22 @@ def _of_counts(total: np.ndarray) -> list[int]:
     return np.bincount(total[(total > 0) & (total <= DISCOUNTED + 1)], minlength=DISCOUNTED + 2)[1:].tolist()
 
 
-def _answer_words(batches, parts: int) -> Iterator[pa.RecordBatch]:
-    """For each block its words' numbers and counts; numbers rise as counts fall. One row of statistics."""
+def _answer_words(batches, parts: int, split_uses: int) -> Iterator[pa.RecordBatch]:
+    """For each block its words' numbers, counts and, as histories, bits of the number of partitions that
+    their pairs are dealt over; numbers rise as counts fall. One row of statistics."""
     for part, rows in _groups(batches):
         asked = [unpack_rising(r["a"]) for r in rows]
         words, place = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(place, np.concatenate([unpack(r["b"], np.uint32) for r in rows])).astype(np.int64)
+        uses = np.bincount(place, np.concatenate([unpack(r["c"], np.uint32) for r in rows]))
+        bits = np.ceil(np.log2(np.maximum(uses / split_uses, 1))).astype(np.uint8)
         rank = np.empty(len(words), np.int64)
         rank[np.argsort(-total, kind="stable")] = np.arange(len(words))
         number = (rank * parts + part + 1).astype(np.uint64)
         ends = np.cumsum([0, *map(len, asked)])
         for r, s, e in zip(rows, ends, ends[1:]):
             own = place[s:e]
-            yield _frame([{"block": r["block"], "part": part, "a": pack(number[own]), "b": pack(total[own])}], _ANSWER)
+            yield _frame([{"block": r["block"], "part": part, "a": pack(number[own]), "b": pack(total[own]), "c": pack(bits[own])}], _ANSWER)
         yield _frame([{"part": part, "a": pack_rising(words), "b": pack(number), "c": pack(total), "stats": [int(total.sum()), int((total > 0).sum()), *_of_counts(total)]}], _ANSWER)
 
 
@@ -223,26 +231,34 @@ class Block:
     def __init__(self, row: dict, parts: int):
         words = unpack(row["words"], np.uint64)
         order = _word_order(words, parts)
-        number, count = np.empty(len(words) + 1, np.uint64), np.zeros(len(words) + 1, np.int64)
-        number[order], count[order] = _joined(row["of_words"], "a", np.uint64), _joined(row["of_words"], "b", np.int64)
-        number[-1] = BEGIN  # the last place is the begin mark's
+        number, count, bits = np.empty(len(words), np.uint64), np.zeros(len(words), np.int64), np.zeros(len(words), np.uint8)
+        for values, column in ((number, "a"), (count, "b"), (bits, "c")):
+            values[order] = _joined(row["of_words"], column, values.dtype)
         sizes = np.array(row["sizes"], np.int64)
         sequence = unpack(row["sequence"], np.uint32).astype(np.int64)
         before = np.empty_like(sequence)
         before[1:] = sequence[:-1]
-        before[np.cumsum(sizes) - sizes] = len(words)
+        before[np.cumsum(sizes) - sizes] = 0  # the end token's place, which as a history is the begin mark
         by_number = np.argsort(number, kind="stable")
         rank = np.empty(len(number), np.int64)
         rank[by_number] = np.arange(len(number))
         key, self.pair = np.unique(rank[before] * len(number) + rank[sequence], return_inverse=True)
-        history, word = by_number[key // len(number)], by_number[key % len(number)]
-        self.history, self.word, self.word_count = number[history], number[word], count[word]
-        self.sizes, self.held, self.token_count = sizes, np.array(row["held"], bool), count[sequence]
-        part = (self.history % np.uint64(parts)).astype(np.int64)
+        self.history_place, word = by_number[key // len(number)], by_number[key % len(number)]
+        self.history, self.word, self.word_count = number[self.history_place], number[word], count[word]
+        self.sizes, self.held, self.token_count, self.word_order = sizes, np.array(row["held"], bool), count[sequence], order
+        part = pair_parts(self.history, self.word, bits[self.history_place], parts)
         self.order = np.argsort(part, kind="stable")
         self.part = part[self.order]
 
 
+def pair_parts(history: np.ndarray, word: np.ndarray, bits: np.ndarray, parts: int) -> np.ndarray:
+    """Partitions of pairs: that of the history and, of a frequent history, those after it, by word."""
+    with np.errstate(over="ignore"):
+        mixed = (word * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    salt = mixed & ((np.uint64(1) << bits.astype(np.uint64)) - np.uint64(1))
+    return ((history + salt) % np.uint64(parts)).astype(np.int64)
+
+
 def _ask_pairs(batches, parts: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -259,8 +275,9 @@ def _ask_pairs(batches, parts: int) -> Iterator[pa.RecordBatch]:
             yield _frame(rows, _ASKED)
 
 
-def _answer_pairs(batches, words: Words) -> Iterator[pa.RecordBatch]:
-    """For each block its pairs' counts, and what its histories need for backing off. One row of statistics."""
+def _answer_pairs(batches, words: Words, parts: int) -> Iterator[pa.RecordBatch]:
+    """For each block its pairs' counts; for word partitions what is known here of their words as histories:
+    total and low counts, and P(w) of the words seen. One row of statistics."""
     for part, rows in _groups(batches):
         heads, sizes = [unpack_rising(r["a"]) for r in rows], [unpack(r["b"], np.uint32) for r in rows]
         histories, head_place = np.unique(np.concatenate(heads), return_inverse=True)
@@ -275,28 +292,50 @@ def _answer_pairs(batches, words: Words) -> Iterator[pa.RecordBatch]:
         facts[:, 0] = np.bincount(of, total, n)
         for c in range(1, DISCOUNTED + 1):
             facts[:, c] = np.bincount(of[total == c], minlength=n)
-        unseen = 1 - np.bincount(of[seen], words.probability(word_count[seen]), n)
-        pair_end, head_end = np.cumsum([0, *(int(s.sum()) for s in sizes)]), np.cumsum([0, *map(len, heads)])
+        mass = np.bincount(of[seen], words.probability(word_count[seen]), n)
+        pair_end = np.cumsum([0, *(int(s.sum()) for s in sizes)])
         for k, r in enumerate(rows):
-            own, mine = place[pair_end[k] : pair_end[k + 1]], head_place[head_end[k] : head_end[k + 1]]
-            yield _frame([{"block": r["block"], "part": part, "a": pack(total[own]), "b": pack(facts[mine].T.reshape(-1)), "c": pack(unseen[mine])}], _ANSWER)
+            yield _frame([{"block": r["block"], "part": part, "a": pack(total[place[pair_end[k] : pair_end[k + 1]]])}], _ANSWER)
+        to = ((histories - np.uint64(1)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        for p, s in _split(to[order]):
+            own = order[s]
+            yield _frame([{"part": p, "a": pack(histories[own]), "b": pack(facts[own].T.reshape(-1)), "c": pack(mass[own])}], _ANSWER)
         yield _frame([{"part": part, "stats": _of_counts(total)}], _ANSWER)
 
 
+def _answer_histories(batches) -> Iterator[pa.RecordBatch]:
+    """For each block what is known of its words as histories, from partial sums (rows without a block)."""
+    for part, rows in _groups(batches):
+        partial, asked = [r for r in rows if r["block"] is None], [r for r in rows if r["block"] is not None]
+        known = [unpack(r["a"], np.uint64) for r in partial]
+        number, place = np.unique(np.concatenate([*known, np.zeros(0, np.uint64)]), return_inverse=True)
+        facts, mass = np.zeros((len(number) + 1, DISCOUNTED + 1), np.int64), np.zeros(len(number) + 1)
+        ends = np.cumsum([0, *map(len, known)])
+        for r, s, e in zip(partial, ends, ends[1:]):
+            facts[place[s:e]] += unpack(r["b"], np.int64).reshape(DISCOUNTED + 1, -1).T
+            mass[place[s:e]] += unpack(r["c"], np.float64)
+        for r in asked:
+            own = unpack(r["a"], np.uint64)
+            at = np.searchsorted(number, own)
+            at[np.append(number, np.uint64(0))[at] != own] = len(number)  # followed by nothing
+            yield _frame([{"block": r["block"], "part": part, "b": pack(facts[at].T.reshape(-1)), "c": pack(1 - mass[at])}], _ANSWER)
+
+
 def _evaluate(batches, parts: int, words: Words, histories: Histories) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             b = Block(row, parts)
             n = len(b.history)
-            pair, total, low, unseen = np.empty(n, np.int64), np.empty(n, np.int64), np.empty((n, DISCOUNTED), np.int64), np.empty(n)
+            pair = np.empty(n, np.int64)
             answers = {x["part"]: x for x in row["of_pairs"]}
             for p, s in _split(b.part):
-                own, x = b.order[s], answers[p]
-                pair[own] = unpack(bytes(x["a"]), np.int64)
-                facts = unpack(bytes(x["b"]), np.int64).reshape(DISCOUNTED + 1, -1)
-                h = b.history[own]
-                head = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))
-                total[own], low[own], unseen[own] = facts[0][head], facts[1:].T[head], unpack(bytes(x["c"]), np.float64)[head]
+                pair[b.order[s]] = unpack(bytes(answers[p]["a"]), np.int64)
+            told = sorted(row["of_histories"], key=lambda x: x["part"])
+            facts, unseen = np.empty((len(b.word_order), DISCOUNTED + 1), np.int64), np.empty(len(b.word_order))
+            facts[b.word_order] = np.concatenate([unpack(bytes(x["b"]), np.int64).reshape(DISCOUNTED + 1, -1).T for x in told])
+            unseen[b.word_order] = _joined(told, "c", np.float64)
+            total, low, unseen = facts[b.history_place, 0], facts[b.history_place, 1:], unseen[b.history_place]
             logs = np.log10(histories.probability(pair, b.word_count, total, low, unseen))
             starts = np.cumsum(b.sizes) - b.sizes
             of_docs = [np.add.reduceat(v, starts) for v in (logs[b.pair], words.base(b.token_count), (b.token_count > 0).astype(np.int64))]
@@ -304,11 +343,11 @@ def _evaluate(batches, parts: int, words: Words, histories: Histories) -> Iterat
 
 
 def _sums(answers: DataFrame, size: int) -> list[int]:
-    row = answers.where("block is null").agg(*(F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(size))).first()
+    row = answers.where("block is null and stats is not null").agg(*(F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(size))).first()
     return [int(x or 0) for x in row]
 
 
-def score(df: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(df: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "text", split_uses: int = SPLIT_USES) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each input row.
 
     Rows where `held_out` is true are scored but not learned from (null: learned from). `score` is the
@@ -317,11 +356,13 @@ def score(df: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "
     word is unknown, with probability one.
     """
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"katz_blocks_{uuid.uuid4().hex[:12]}"
     packed = df.select(F.col(key).cast("long").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).cast("string").alias("body")).mapInArrow(_blocks, _BLOCK_DDL)
-    packed.write.bucketBy(parts, "block").format("parquet").saveAsTable(name)
+    packed.write.bucketBy(buckets, "block").format("parquet").saveAsTable(name)
     blocks = spark.table(name)
+    tokens = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    parts = max(buckets, -(-tokens // PART_TOKENS))
 
     def partitions(asked: DataFrame, answer, purpose: str) -> DataFrame:
         return stored(asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(answer, _ANSWER_DDL), purpose)
@@ -329,14 +370,17 @@ def score(df: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "
     def answered(answers: DataFrame, column: str) -> DataFrame:
         return answers.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("part", "a", "b", "c")).alias(column))
 
-    of_words = partitions(blocks.select("block", "words", "counts").mapInArrow(lambda x: _ask_words(x, parts), _ASKED_DDL), lambda x: _answer_words(x, parts), "katz-words")
+    of_words = partitions(blocks.select("block", "words", "counts", "uses").mapInArrow(lambda x: _ask_words(x, parts), _ASKED_DDL), lambda x: _answer_words(x, parts, split_uses), "katz-words")
     sums = _sums(of_words, DISCOUNTED + 3)
     words = Words(sums[0], sums[1], sums[2:])
     known = blocks.select("block", "ids", "held", "sizes", "sequence", "words").join(answered(of_words, "of_words"), "block")
-    of_pairs = partitions(known.mapInArrow(lambda x: _ask_pairs(x, parts), _ASKED_DDL), lambda x: _answer_pairs(x, words), "katz-pairs")
+    of_pairs = partitions(known.mapInArrow(lambda x: _ask_pairs(x, parts), _ASKED_DDL), lambda x: _answer_pairs(x, words, parts), "katz-pairs")
+    told = of_pairs.where("block is null and stats is null").select("part", "block", "a", "b", "c")
+    asked = of_words.where("block is not null").select("part", "block", "a", F.lit(None).cast("binary").alias("b"), F.lit(None).cast("binary").alias("c"))
+    of_histories = partitions(told.union(asked), _answer_histories, "katz-histories")
     histories = Histories(words, _sums(of_pairs, DISCOUNTED + 1))
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scores = known.join(answered(of_pairs, "of_pairs"), "block").mapInArrow(lambda x: _evaluate(x, parts, words, histories), schema)
+    scores = known.join(answered(of_pairs, "of_pairs"), "block").join(answered(of_histories, "of_histories"), "block").mapInArrow(lambda x: _evaluate(x, parts, words, histories), schema)
     out = stored(scores.withColumnRenamed("id", key), "katz-scores")
     spark.sql(f"DROP TABLE {name}")
     return out

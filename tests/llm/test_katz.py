@@ -89,3 +89,14 @@ def test_packing_and_discounts():
     d, common = katz.discounts(n), 6 * 60 / 1000
     assert d[1:].tolist() == pytest.approx([((c + 1) * n[c] / (c * n[c - 1]) - common) / (1 - common) for c in range(1, 6)])
     assert (katz.discounts([0, 0, 0, 0, 0, 0]) == 1).all() and (katz.discounts([1, 0, 0, 0, 0, 9]) == 1).all()
+
+
+def test_pairs_of_a_frequent_history_are_dealt_over_partitions(spark):
+    prepare(spark)
+    rows = [(i, i % 7 == 2, " ".join(f"the w{(i * 31 + k) % 400}" for k in range(60))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, held boolean, text string").repartition(4)
+    same(katz.score(df, F.col("held"), split_uses=50).collect(), Brute(rows))
+    words = np.arange(1, 100_001, dtype=np.uint64)
+    history, bits = np.full(len(words), 7, np.uint64), np.full(len(words), 6, np.uint8)
+    assert np.bincount(katz.pair_parts(history, words, bits, 64)).max() < 3_000
+    assert len(np.unique(katz.pair_parts(history, words, 0 * bits, 64))) == 1
