@@ -14,9 +14,6 @@ from logpulse.llm import bpe, decontaminate, language, secrets, simhash
 from logpulse.llm.common import fold, prepare, stored, table
 from logpulse.llm.queries import tokenizer_text
 
-#: Pooled probability below which no language is recognised: chance among the four of the corpus.
-LEAST_SCORE = 0.25
-
 
 def _with_row(docs: DataFrame) -> DataFrame:
     """The whole row in one column besides the text, so that no name can clash."""
@@ -24,11 +21,14 @@ def _with_row(docs: DataFrame) -> DataFrame:
 
 
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; null texts and those without a letter are rejected."""
+    """Documents that are given a language: all but null texts and those without a letter, which are `und`.
+
+    However many languages were learned and however close they are, the likeliest counts as recognised.
+    """
     prepare(spark)
     network = language.train(docs.where(fold("doc_id", 3) != 1))
     found = language.identify(_with_row(docs), network, keep=["row"])
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return found.where(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,9 @@ def test_registered_and_stages_carry_extra_columns(spark):
     assert last.columns == [*df.columns, "n_tokens", "token_ids", "decoded"] and last.count() == 2
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, df.limit(0), SF).count() == 0
+
+
+def test_unsure_languages_are_recognised_all_the_same(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline.language, "train", lambda docs: corpus_pipeline.language.Network(list("abcdefghijkl")))
+    df = spark.createDataFrame([(1, "some words"), (2, "12 34"), (3, None), (4, "ein Satz")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.recognised(spark, df, SF).collect()) == [1, 4]
