@@ -96,6 +96,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column name as it is written where dots and other signs would be read otherwise."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of the decimal text of an id, modulo `parts`; null ids count as the text `null`."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null"))) % parts
@@ -126,13 +131,13 @@ def add_columns(df: DataFrame, make: Callable[[], Callable[[list[str]], list]],
     kept = [f for f in df.schema if f.name.lower() not in taken and (keep is None or f.name in keep)]
     schema = T.StructType([*kept, *added])
     arrow = to_arrow_schema(schema)
-    names = [f.name for f in kept]
+    inputs = [f"_{i}" for i in range(len(kept))]
 
     def run(batches):
         work = make()
-        for batch, texts in slices(batches, "__text"):
-            own = [batch.column(n) for n in names]
+        for batch, texts in slices(batches, "text"):
+            own = [batch.column(n) for n in inputs]
             new = [x if isinstance(x, pa.Array) else pa.array(x, type=arrow.field(len(own) + i).type) for i, x in enumerate(work(texts))]
             yield pa.RecordBatch.from_arrays([*(c if c.type == arrow.field(i).type else c.cast(arrow.field(i).type) for i, c in enumerate(own)), *new], schema=arrow)
 
-    return df.select(*names, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    return df.select(*(F.col(quoted(f.name)).alias(n) for f, n in zip(kept, inputs)), F.col(quoted(text)).cast("string").alias("text")).mapInArrow(run, schema)

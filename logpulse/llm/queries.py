@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logpulse.llm import bpe, decontaminate, html_extract, katz, language, parsing, secrets, simhash, token_counts, toxicity
+from logpulse.llm import align, bpe, decontaminate, html_extract, katz, language, lexical, packing, parsing, secrets, simhash, token_counts, toxicity
 from logpulse.llm.common import fold, prepare, table
 
 
@@ -91,6 +91,22 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return align.align(table(spark, sf_dir, "documents"), tokenizer_text("byte_bpe_50k.json"), model, keep=["doc_id"])
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_text("byte_bpe_50k.json"), limit=1024, end=2, keep=["doc_id"])
+
+
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_language_id": op2_language_id,
@@ -102,5 +118,38 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_html_extraction": op10_html_extraction,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_ranked_lexical_search": op13_ranked_lexical_search,
+}
+
+#: What of the queries SQL can say.
+ORACLE: dict[str, str] = {
+    "op13_ranked_lexical_search": r"""
+WITH terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths
+), uses AS (
+    SELECT doc_id, term, count(*) AS tf FROM terms SEMI JOIN wanted USING (term) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM uses, corpus GROUP BY term
+), parts AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS part
+    FROM uses JOIN lengths USING (doc_id) JOIN weights USING (term), corpus
+), scores AS (
+    SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM parts JOIN wanted USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+""",
 }
-ORACLE: dict[str, str] = {}

@@ -1,5 +1,4 @@
 import hashlib
-import random
 
 import public_tokenizers
 import pytest
@@ -10,20 +9,11 @@ from logpulse.llm.common import prepare
 from logpulse.llm.queries import op1_bpe_codec, op9_token_counts, tokenizer_text
 from logpulse.llm.token_counts import Counter, count_tokens
 from logpulse.llm.vocabulary import Vocabulary
+from tests_llm_texts import hard_texts
 
 SF = "/root/testdata/sf0.001"
 
 
-def hard_texts() -> list[str]:
-    rng = random.Random(7)
-    letters = "abcdefgh  ABC'sll\n\tàéßΣςσİﬁ中文字あ🙂👍🏽  ​́\x1c\x85123٣½_=-/<|>"
-    random_texts = ["".join(rng.choices(letters, k=rng.randint(1, 80))) for _ in range(400)]
-    return [
-        "", " ", "a", "\n\n  x", "=" * 3000, "ab" * 2000, "a" * 2001, "I'll we've THEY'RE 'S",
-        "x<|endoftext|>y", "<|startoftext|><|endoftext|>", "<|endoftext|", "ΑΣ ΟΔΟΣ", "é É", *random_texts,
-    ]
-
-
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_same_ids_and_text_as_the_library(name):
     codec, library = Codec(Vocabulary.read(public_tokenizers.path(name))), Tokenizer.from_file(public_tokenizers.path(name))
