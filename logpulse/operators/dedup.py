@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# What makes an event, which of its versions is newest, and what decides between equal ones.
+EVENT_KEYS = ("service", "event_id")
+VERSION = "spark_processed_at"
+TIES = ("kafka_offset", "topic", "kafka_partition")
+
 DELIVERY_ORDER = ("kafka_received_at", "topic", "kafka_partition", "kafka_offset")
 
 
@@ -60,9 +65,9 @@ def _first(df: DataFrame, by: Sequence[Column], order: Sequence[Column]) -> Data
 def keep_latest(
     df: DataFrame,
     *,
-    keys: Sequence[str] = ("service", "event_id"),
-    version: str = "spark_processed_at",
-    ties: Sequence[str] = ("kafka_offset", "topic", "kafka_partition"),
+    keys: Sequence[str] = EVENT_KEYS,
+    version: str = VERSION,
+    ties: Sequence[str] = TIES,
     scope: str = "table",
     day_of: str = "kafka_received_at",
 ) -> DataFrame:

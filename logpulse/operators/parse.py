@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logpulse.schema import EVENT_PAYLOAD, only
+from logpulse.schema import EVENT_FIELDS, EVENT_PAYLOAD, only
 
 # How a row that is not an event is labelled.
 BAD_ROW_TYPE = "json_parse_failed"
@@ -39,58 +39,82 @@ def json_column(text: str, ddl: str) -> Column:
     return F.explode(F.array(F.from_json(text, ddl)))
 
 
-def is_event(mode: str) -> str:
-    """SQL predicate over ``json`` and ``raw_json``: is the row an event?
+#: A row is an event if it has this; both modes leave the payload of other rows NULL.
+IS_EVENT = "json IS NOT NULL"
 
-    ``permissive`` only rejects rows without text. ``strict`` rejects everything that is not
-    one well-formed JSON object with distinct names. The verdict is a function of the text
-    alone: which fields a query parses must not decide whether a row counts. The parser of
-    fields is lenient (it stops early, and takes single quotes), so it is not asked.
-    """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    return "json IS NOT NULL" if mode == "permissive" else is_json_object("raw_json")
 
+def strict_json(df: DataFrame, text: str, ddl: str) -> DataFrame:
+    """Adds ``json``, the payload of a text that is one well-formed JSON object, else NULL.
 
-def is_json_object(text: str) -> str:
-    """One object and nothing after it: as the content of an array it has to be the only item."""
-    return (
-        f"coalesce(startswith(schema_of_variant(try_parse_json({text})), 'OBJECT') "
-        f"AND json_array_length(concat('[', {text}, ']')) = 1, false)"
-    )
+    The text is parsed once, into a variant: verdict and fields both come from that value, so the
+    fields a query asks for cannot decide whether a row counts. Names within an object must be
+    distinct and nothing may follow the object: as the content of an array it has to be the only
+    element. What a variant cannot hold is no event either: nesting beyond 1,000 levels, and
+    texts larger than a variant may be.
+
+    A whole number is read only where the text has one: neither ``"12"`` nor ``1.5`` is 12. Text
+    fields take any scalar in its canonical spelling, and objects as compact JSON.
+
+    Every step is generator output, as in ``json_column``: computed once per row, and not copied
+    into filters pushed below it.
+    """
+    kinds = dict(part.split() for part in ddl.split(","))
+    loose = ", ".join(f"{n}: {k if k == 'STRING' else 'VARIANT'}" for n, k in kinds.items())
+    fields = ", ".join(f"'{n}', {_field(n, k)}" for n, k in kinds.items())
+    steps = {
+        "_doc": f"try_parse_json(concat('[', {text}, ']'))",
+        "_read": f"""if(try_variant_get(_doc, '$[1]', 'variant') IS NULL,
+            try_variant_get(_doc, '$[0]', 'struct<{loose}>'), NULL)""",
+        "json": f"if(_read IS NULL, NULL, named_struct({fields}))",
+    }
+    for name, rule in steps.items():
+        df = df.select("*", F.expr(f"explode(array({rule}))").alias(name))
+    return df.drop("_doc", "_read")
+
+
+def _field(name: str, kind: str) -> str:
+    value = f"_read.{name}"
+    if kind == "STRING":
+        return value
+    whole = f"schema_of_variant({value}) = 'BIGINT'"
+    return f"if({whole}, try_variant_get({value}, '$', '{kind}'), NULL)"
 
 
 def parse_events(
     raw: DataFrame,
     *,
+    mode: str = "strict",
     received_at: Column | None = None,
     fields: Sequence[str] | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Broker rows with a ``json`` struct and the time Spark received them.
+    """Broker rows with a ``json`` struct, NULL where the row is no event, and the receive time.
 
-    ``fields`` restricts parsing to the payload fields a query needs; ``keep`` carries extra
-    input columns through.
+    ``permissive`` only rejects rows without text: its parser stops early and takes single
+    quotes. ``strict`` (``strict_json``) rejects everything that is not one well-formed object.
+    ``fields`` restricts parsing to the payload fields a query needs, and may be empty where
+    only the verdict is; ``keep`` carries extra input columns through.
     """
-    ddl = EVENT_PAYLOAD if fields is None else only(EVENT_PAYLOAD, fields)
-    return (
-        decode(raw, keep)
-        .select("*", json_column("raw_json", ddl).alias("json"))
-        .withColumn(
-            "spark_received_at", F.current_timestamp() if received_at is None else received_at
-        )
-    )
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    wanted = EVENT_FIELDS if fields is None else [*fields] or EVENT_FIELDS[:1]
+    ddl, rows = only(EVENT_PAYLOAD, wanted), decode(raw, keep)
+    if mode == "strict":
+        parsed = strict_json(rows, "raw_json", ddl)
+    else:
+        parsed = rows.select("*", json_column("raw_json", ddl).alias("json"))
+    now = F.current_timestamp() if received_at is None else received_at
+    return parsed.withColumn("spark_received_at", now)
 
 
-def good_events(parsed: DataFrame, mode: str = "strict") -> DataFrame:
+def good_events(parsed: DataFrame) -> DataFrame:
     """Only the events; no frame of bad rows is built."""
-    return parsed.where(is_event(mode))
+    return parsed.where(IS_EVENT)
 
 
-def split_events(parsed: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
+def split_events(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: every row is in exactly one; bad rows say why."""
-    test = is_event(mode)
-    bad = parsed.where(f"NOT {test}").withColumns(
+    bad = parsed.where(f"NOT ({IS_EVENT})").withColumns(
         {"error_type": F.lit(BAD_ROW_TYPE), "error_message": F.lit(BAD_ROW_MESSAGE)}
     )
-    return parsed.where(test), bad
+    return good_events(parsed), bad

@@ -235,6 +235,9 @@ FROM log QUALIFY row_number() OVER (PARTITION BY {keys}
 _add("a15_latest_per_event", _LATEST.format(keys="service, event_id"))
 _add("a15_latest_per_event_and_day",
      _LATEST.format(keys="service, event_id, broker_ms // 86400000"))
+_add("a15_latest_by_position", _LATEST.format(keys="service, event_id"))
+_add("a15_latest_by_position_and_day",
+     _LATEST.format(keys="service, event_id, broker_ms // 86400000"))
 _add("u2_distinct_keys", "SELECT DISTINCT service, event_id FROM log")
 
 # An older-layout event has no id of its own, so its copy on the error topic is a new event.

@@ -21,7 +21,7 @@ from logpulse.functions.latency import STAGES, complete_timeline, stage_ms
 from logpulse.functions.quantiles import SKETCH_RANK_ERROR, within_rank_error
 from logpulse.functions.timebuckets import bucket_of
 from logpulse.operators import dedup, observe, quarantine, routing
-from logpulse.operators.parse import MODES, good_events, is_event, split_events
+from logpulse.operators.parse import IS_EVENT, MODES, good_events, split_events
 from logpulse.plans import catalog, retention, serve, thresholds
 from logpulse.plans.rollups import union_states
 from logpulse.schema import EVENT_LOG_COLUMNS
@@ -36,6 +36,7 @@ from logpulse.streaming.guard import FileCommitLog, not_committed
 from logpulse.streaming.ingest import DeadLetterTopic, backfill
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
+from logpulse.streaming.superseded import Superseded
 from logpulse.streaming.targets import FileTopic, ParquetTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,7 +98,7 @@ def _(spark, d):
 
 @register("p1_f1_bad_rows")
 def _(spark, d):
-    _, bad = split_events(tb.replay_parse(raw_rows(spark, d)))
+    _, bad = split_events(tb.replay_parse(raw_rows(spark, d), ()))
     return bad.select(
         "error_type", "error_message", "kafka_key", "topic", "partition", "offset",
         "kafka_received_at", "raw_json",
@@ -106,9 +107,14 @@ def _(spark, d):
 
 @register("f1_split_counts_by_mode")
 def _(spark, d):
-    return tb.replay_parse(raw_rows(spark, d)).groupBy("topic").agg(
-        *[F.count_if(F.expr(is_event(mode))).alias(f"good_{mode}") for mode in MODES],
-        *[F.count_if(F.expr(f"NOT {is_event(mode)}")).alias(f"bad_{mode}") for mode in MODES],
+    raw = raw_rows(spark, d)
+    judged = [
+        tb.replay_parse(raw, (), mode).select("topic", F.lit(mode).alias("mode"), F.expr(IS_EVENT).alias("good"))
+        for mode in MODES
+    ]
+    counts = {f"{kind}_{mode}": f"mode = '{mode}' AND {test}" for kind, test in (("good", "good"), ("bad", "NOT good")) for mode in MODES}
+    return judged[0].union(judged[1]).groupBy("topic").agg(
+        *[F.count_if(F.expr(test)).alias(name) for name, test in counts.items()]
     )
 
 
@@ -146,13 +152,13 @@ def _(spark, d):
 
 @register("p17_bad_row_envelopes")
 def _(spark, d):
-    _, bad = split_events(tb.replay_parse(raw_rows(spark, d)))
+    _, bad = split_events(tb.replay_parse(raw_rows(spark, d), ()))
     return quarantine.envelope_bad_rows(bad)
 
 
 @register("p20_dead_letter_messages")
 def _(spark, d):
-    _, bad = split_events(tb.replay_parse(raw_rows(spark, d)))
+    _, bad = split_events(tb.replay_parse(raw_rows(spark, d), ()))
     return quarantine.to_messages(quarantine.envelope_bad_rows(bad))
 
 
@@ -269,6 +275,32 @@ def _(spark, d):
     return dedup.keep_latest(log(spark, d, _A15), scope="partition")
 
 
+def _settled(spark, d, scope):
+    """The table in three batches, settled after the second, so that lists and new rows differ."""
+    path = scratch_dir(spark, "settled")
+    rows = log(spark, d, _A15)
+    table, lists = ParquetTable(path, "kafka_received_at"), Superseded(path, scope)
+    for n in range(3):
+        table.write(rows.where(F.col("kafka_partition") == n), Batch("s", "event_log", n, "q"))
+        if n == 1:
+            lists.settle(spark)
+    return lists
+
+
+@register("a15_latest_by_position")
+def _(spark, d):
+    """Latest versions out of stored batches: only keys and positions are shuffled."""
+    lists = _settled(spark, d, "table")
+    lists.settle(spark)
+    return lists.read(spark).drop("ingest_date", "batch_key")
+
+
+@register("a15_latest_by_position_and_day")
+def _(spark, d):
+    lists = _settled(spark, d, "partition")
+    return lists.read(spark, fresh=True).drop("ingest_date", "batch_key")
+
+
 @register("u2_distinct_keys")
 def _(spark, d):
     keys = ["service", "event_id"]
@@ -920,7 +952,7 @@ def _(spark, d):
 def _(spark, d):
     """The batch of bad rows is sent again after the consumer has read it."""
     root = scratch_dir(spark, "replayed")
-    _, bad = split_events(tb.replay_parse(raw_rows(spark, d)))
+    _, bad = split_events(tb.replay_parse(raw_rows(spark, d), ()))
     to_topic = DeadLetterTopic(FileTopic(root, "logs.dlq"))
     to_table = MicroBatch(
         Delivery(ParquetTable(f"{root}/table", "kafka_received_at")),

@@ -146,10 +146,9 @@ REPLAYED = {
 }
 
 
-def replay_parse(raw: DataFrame, fields=None) -> DataFrame:
-    return parse_events(
-        raw, received_at=F.expr("timestamp_millis(recv_ms)"), fields=fields, keep=STAMPS
-    )
+def replay_parse(raw: DataFrame, fields=None, mode: str = "strict") -> DataFrame:
+    received_at = F.expr("timestamp_millis(recv_ms)")
+    return parse_events(raw, mode=mode, received_at=received_at, fields=fields, keep=STAMPS)
 
 
 def event_log(
@@ -164,7 +163,7 @@ def event_log(
     ``columns`` names the columns wanted; only the payload fields behind them are parsed.
     """
     columns = EVENT_LOG_COLUMNS if columns is None else columns
-    good = good_events(replay_parse(raw, payload_fields(columns)), mode)
+    good = good_events(replay_parse(raw, payload_fields(columns), mode))
     log = normalize_events(
         good, columns=columns, overrides=REPLAYED, store_raw_json=store_raw_json
     )
@@ -173,7 +172,7 @@ def event_log(
 
 def dead_letters(raw: DataFrame, *, mode: str = "strict") -> DataFrame:
     """The dead-letter table: bad rows through the envelope, the topic and back."""
-    _, bad = split_events(replay_parse(raw), mode)
+    _, bad = split_events(replay_parse(raw, (), mode))
     topic = to_messages(envelope_bad_rows(bad), keep=["created_ms"])
     # The topic adds its own coordinates; the receive time is the one the bad row had.
     delivered = topic.selectExpr(

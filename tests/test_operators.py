@@ -36,7 +36,7 @@ def raw(spark, *values, topic="logs.auth", partition=1, offset=5, at=T0):
 
 
 def normalized(spark, value, mode="strict", **broker):
-    good = good_events(parse_events(raw(spark, value, **broker)), mode)
+    good = good_events(parse_events(raw(spark, value, **broker), mode=mode))
     return normalize_events(good).collect()
 
 
@@ -51,7 +51,7 @@ OBJECTS = ["{}", '{"other":1}', '{"event_id":"x"}', '{"amount":12.0}', '{"ts_ms"
 )
 def test_split(spark, mode, bad):
     values = MALFORMED + EMPTY + OBJECTS
-    good_rows, bad_rows = split_events(parse_events(raw(spark, *values)), mode)
+    good_rows, bad_rows = split_events(parse_events(raw(spark, *values), mode=mode))
     wrong = [r.raw_json for r in bad_rows.collect()]
     right = [r.raw_json for r in good_rows.collect()]
     if mode == "permissive":
@@ -67,7 +67,7 @@ def test_split(spark, mode, bad):
 
 def test_unknown_mode(spark):
     with pytest.raises(ValueError, match="mode"):
-        good_events(parse_events(raw(spark, "{}")), "lenient")
+        parse_events(raw(spark, "{}"), mode="lenient")
 
 
 def test_mistyped_field_is_null_and_others_stay(spark):
@@ -171,6 +171,26 @@ def test_verdict_does_not_depend_on_the_fields_parsed(spark, texts):
     assert kept[0] == kept[1] == kept[2]
 
 
+@pytest.mark.parametrize("fields", [None, ["service"], ()], ids=["all", "one", "none"])
+def test_a_computed_text_is_built_and_parsed_once(spark, fields):
+    made = "CAST(to_json(named_struct('service', concat('s', id))) AS BINARY)"
+    rows = spark.range(9).selectExpr("CAST(CAST(id AS STRING) AS BINARY) AS key", f"{made} AS value", "'t' AS topic", "0 AS partition", "id AS offset", "current_timestamp() AS timestamp")
+    good, bad = split_events(parse_events(rows, fields=fields))
+    columns = ["service"] if fields else None if fields is None else ["topic"]
+    for frame in (normalize_events(good, columns=columns or EVENT_LOG_COLUMNS), bad.select("raw_json", "error_type")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert (plan.count("parseJson("), plan.count("concat(s, "), plan.count("from_json")) == (1, 1, 0), plan
+    assert (good.count(), bad.count()) == (9, 0)
+
+
+def test_whole_numbers_and_text_are_read_as_they_are_written(spark):
+    texts = ['{"status_code":"200"}', '{"status_code":200.5}', '{"status_code":true}', '{"status_code":2e2}', '{"status_code":3000000000}', '{"user_id":3000000000}', '{"user_id":99999999999999999999}']
+    rows = normalize_events(good_events(parse_events(raw(spark, *texts)))).select("status_code", "user_id").collect()
+    assert [(r.status_code, r.user_id) for r in rows] == [(0, None)] * 5 + [(0, 3_000_000_000), (0, None)]
+    (row,) = normalized(spark, '{"order_id":12,"reason_code":true,"payment_id":{"a":[1,null]},"path":null}')
+    assert (row.order_id, row.reason_code, row.payment_id, row.path) == ("12", "true", '{"a":[1,null]}', "")
+
+
 # --- dead letters -----------------------------------------------------------------------------
 def test_envelope_ids(spark):
     def ids(**broker):
