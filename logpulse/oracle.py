@@ -484,6 +484,14 @@ SELECT key, at_ms, lag_ms, ['low', 'mid', 'high'][level + 1] AS level,
 _add("k1_k10_stored_days", """
 SELECT strftime(make_timestamp(broker_ms * 1000), '%Y-%m-%d') AS ingest_date, service, count(*) AS n,
   count(DISTINCT event_id) AS events FROM log GROUP BY ALL""")
+_add("k11_tiers", """
+, spread AS (
+  SELECT broker_ms + (off % 5) * 86400000 AS ms, event_id, status_code FROM log)
+SELECT 'traffic_1m' AS name, ms // 60000 * 60000 AS bucket_ms, count(event_id) AS total,
+  count(*) FILTER (WHERE status_code >= 500) AS errors FROM spread GROUP BY ALL
+UNION ALL
+SELECT 'traffic_10s', ms // 10000 * 10000, count(event_id), count(*) FILTER (WHERE status_code >= 500)
+FROM spread WHERE ms // 86400000 = (SELECT max(ms // 86400000) FROM spread) GROUP BY ALL""")
 _add("st12_backfilled_traffic_1m", _A1)
 _add("k1_k4_backfilled_dead_letters", _A6)
 _add("st8_k6_guarded_replay", "SELECT service, count(*) AS n FROM log GROUP BY service")

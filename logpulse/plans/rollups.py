@@ -162,6 +162,13 @@ class SharedStates:
     def keys(self) -> list[str]:
         return [*map(self.bucket, self.times), *self.dims]
 
+    def coarser(self, alive: Iterable[Rollup]) -> dict[str, int]:
+        """Time columns whose buckets may become wider when only ``alive`` rollups are read."""
+        needed: dict[str, int] = {}
+        for r in alive:
+            needed[r.at] = gcd(needed.get(r.at, 0), r.seconds)
+        return {t: needed[t] for t, s in self.times.items() if needed.get(t, s) > s}
+
     @property
     def ddl(self) -> str:
         """Declared schema of stored states."""
@@ -182,9 +189,14 @@ class SharedStates:
         held = [m.state(where).alias(name) for name, m, where in self._measures.values()]
         return df.groupBy(*keys).agg(*present, *held)
 
-    def merge(self, states: DataFrame) -> DataFrame:
-        """Merge shared states of several batches (compaction)."""
-        return states.groupBy(*self.keys).agg(
+    def merge(self, states: DataFrame, seconds: dict[str, int] | None = None) -> DataFrame:
+        """Merge shared states of several batches (compaction), at coarser buckets if told so.
+
+        ``seconds`` are the buckets of each time column, multiples of those the states have.
+        """
+        widths = {self.bucket(t): s for t, s in (seconds or {}).items()}
+        keys = [bucket_of(k, widths[k]).alias(k) if k in widths else F.col(k) for k in self.keys]
+        return states.groupBy(*keys).agg(
             *[F.sum(name).alias(name) for name in self._presence.values()],
             *[m.merged(name).alias(name) for name, m, _ in self._measures.values()],
         )

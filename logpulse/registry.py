@@ -34,6 +34,7 @@ from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery
 from logpulse.streaming.guard import FileCommitLog, not_committed
 from logpulse.streaming.ingest import DeadLetterTopic, backfill
+from logpulse.streaming.maintenance import downsample
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.superseded import Superseded
@@ -777,6 +778,37 @@ def _(spark, d):
     )
 
 
+_ROLLED_UP = ["event_timestamp", "kafka_received_at", "spark_received_at", "event_id", "service", "status_code"]
+
+
+def _five_days(spark, d):
+    """The event table over five ingest days."""
+    later = F.expr("kafka_received_at + make_dt_interval(kafka_offset % 5)")
+    rows = log(spark, d, [*_ROLLED_UP, "kafka_offset", "kafka_partition"])
+    return rows.withColumn("kafka_received_at", later)
+
+
+@register("k11_tiers")
+def _(spark, d):
+    """Totals by minute of all days, and by ten seconds of the day whose fine states still live.
+
+    Days are down-sampled twice: a batch that is late for days already kept by the minute is
+    merged into them.
+    """
+    store, rows = RollupStore(scratch_dir(spark, "tiers"), catalog.EVENT_ROLLUPS), _five_days(spark, d)
+    as_of = rows.select(F.max(F.to_date("kafka_received_at"))).first()[0]
+    for n in range(3):
+        store(rows.where(F.col("kafka_partition") == n), Batch("s", "event_log", n, "q"))
+        if n:
+            downsample(spark, store, as_of)
+
+    def totals(name):
+        merged = store.rollup(spark, name).groupBy("bucket")
+        return merged.agg(F.lit(name).alias("name"), F.sum("total").alias("total"), F.sum("errors").alias("errors"))
+
+    return union_states([totals("traffic_1m"), totals("traffic_10s")])
+
+
 @register("st12_backfilled_traffic_1m")
 def _(spark, d):
     root = scratch_dir(spark, "backfill")

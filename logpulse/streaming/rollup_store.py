@@ -7,12 +7,16 @@ complete and ignore the open folders of the batches it lists; older versions and
 folders are deleted afterwards. A job that dies in between leaves a version that nobody reads
 or folders that nobody counts, so no batch counts twice or not at all. One compaction of a day
 may run at a time.
+
+Days of an age at which the finest rollups have expired are kept in wider buckets: the version's
+name says how wide (``…-w60``), and rollups with narrower buckets no longer have that day.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Container, Iterable
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +29,7 @@ from logpulse.sources.tables import day_folders
 from logpulse.streaming.batch import Batch
 
 DAY, BATCH = "bucket_date", "batch_key"
+WIDTH = re.compile(r"-w(\d+)$")
 
 
 def _utc_day(at: datetime) -> date:
@@ -75,9 +80,11 @@ class RollupStore:
         part: str,
         since: date | None = None,
         until: date | None = None,
+        without: Container[str] = (),
     ) -> DataFrame | None:
         """States of the wanted days: only their folders are listed, no schema is inferred."""
         folders = day_folders(spark, f"{self.path}/{part}", DAY, since, until)
+        folders = [f for f in folders if f.rpartition("/")[2] not in without]
         if part == "closed":
             folders = [v[-1] for day in folders if (v := self._versions(spark, day))]
         if not folders:
@@ -91,12 +98,33 @@ class RollupStore:
         found = [f"{day}/{name}" for name in storage.subfolders(spark, day)]
         return [v for v in found if storage.exists(spark, f"{v}/_SUCCESS")]
 
+    def width(self, spark: SparkSession, day: str) -> int:
+        """Seconds of the filing time's buckets that a day (``bucket_date=…``) is kept in."""
+        versions = self._versions(spark, f"{self.path}/closed/{day}")
+        found = WIDTH.search(versions[-1]) if versions else None
+        return int(found[1]) if found else self._whole.times[self._filed_by]
+
+    @property
+    def _filed_by(self) -> str:
+        return next(t for t in self._whole.times if self._whole.bucket(t) == self._day_of)
+
+    def _too_wide(self, spark: SparkSession, seconds: int) -> set[str]:
+        """Days kept in buckets wider than that."""
+        days = storage.subfolders(spark, f"{self.path}/closed")
+        return {day for day in days if self.width(spark, day) > seconds}
+
     def states(
-        self, spark: SparkSession, *, since: date | None = None, until: date | None = None
+        self,
+        spark: SparkSession,
+        *,
+        since: date | None = None,
+        until: date | None = None,
+        seconds: int | None = None,
     ) -> DataFrame:
-        """Unmerged states of a range of days."""
-        fresh = self._part(spark, "open", since, until)
-        closed = self._part(spark, "closed", since, until)
+        """Unmerged states of a range of days, without days kept in buckets wider than ``seconds``."""
+        without = self._too_wide(spark, seconds) if seconds else set()
+        fresh = self._part(spark, "open", since, until, without)
+        closed = self._part(spark, "closed", since, until, without)
         found = []
         if closed is not None:
             found.append(closed.where(F.col(BATCH).isNull()))
@@ -105,7 +133,7 @@ class RollupStore:
                 fresh = fresh.join(listed, [DAY, BATCH], "left_anti")
         if fresh is not None:
             found.append(fresh)
-        if not found and since is None and until is None:
+        if not found and since is None and until is None and not without:
             raise FileNotFoundError(f"no rollup states under {self.path}")
         if not found:
             return spark.createDataFrame([], f"{self._whole.ddl}, {DAY} DATE, {BATCH} STRING")
@@ -131,6 +159,7 @@ class RollupStore:
             spark,
             since=_utc_day(since) if filed and since else None,
             until=_utc_day(until) if filed and until else None,
+            seconds=r.seconds if filed else None,
         )
         for column, sign in ((self._day_of, filed), ("bucket", True)):
             if column == "bucket":
@@ -141,12 +170,21 @@ class RollupStore:
                 states = states.where(F.col(column) < F.lit(until))
         return states
 
-    def compact(self, spark: SparkSession, day: date) -> None:
-        """Merge a day's states into one per key. Safe to repeat; late batches stay readable."""
+    def compact(self, spark: SparkSession, day: date, alive: Iterable[Rollup] | None = None) -> None:
+        """Merge a day's states into one per key. Safe to repeat; late batches stay readable.
+
+        ``alive`` are the rollups still kept of a day of its age: buckets become as wide as they
+        allow, and never narrower again.
+        """
         folder = f"{self.path}/closed/{DAY}={day.isoformat()}"
         before = self._versions(spark, folder)
+        filed_by, width = self._filed_by, self.width(spark, folder.rpartition("/")[2])
+        wider = self._whole.coarser(alive) if alive is not None else {}
+        width = max(width, wider.get(filed_by, 0))
+        if width > self._whole.times[filed_by]:
+            wider[filed_by] = width
         states = self.states(spark, since=day, until=day)
-        merged = self._whole.merge(states).withColumns(
+        merged = self._whole.merge(states, wider).withColumns(
             {BATCH: F.lit(None).cast("string")}
         )
         listed = states.where(F.col(BATCH).isNotNull()).select(BATCH)
@@ -155,6 +193,8 @@ class RollupStore:
             listed = listed.unionByName(closed.where(F.col(BATCH).isNotNull()).select(BATCH))
         whole = merged.unionByName(listed.distinct(), allowMissingColumns=True)
         version = f"version={datetime.now(UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        if wider:
+            version += f"-w{width}"
         whole.hint("rebalance").write.parquet(f"{folder}/{version}")
         for old in before:
             storage.delete(spark, old)

@@ -14,7 +14,7 @@ from logpulse.config import DlqSettings, FactSettings, SinkSettings, StreamSetti
 from logpulse.operators.normalize import normalize_events
 from logpulse.operators.parse import good_events, parse_events
 from logpulse.operators.dedup import keep_latest
-from logpulse.plans.catalog import EVENT_ROLLUPS, TRAFFIC_1M, TRAFFIC_10S
+from logpulse.plans.catalog import EVENT_ROLLUPS, EVENT_STATES, TRAFFIC_1M, TRAFFIC_10S
 from logpulse.schema import BROKER_ROW, EVENT_LOG_COLUMNS, names
 from logpulse.sources import storage, telemetry
 from logpulse.sources.tables import read_table
@@ -24,7 +24,7 @@ from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome, partitioned
 from logpulse.streaming.guard import FileCommitLog, not_committed
 from logpulse.streaming.ingest import Ingest, backfill
-from logpulse.streaming.maintenance import close_rollup_day, expire, expire_guard, settle_day
+from logpulse.streaming.maintenance import close_rollup_day, downsample, expire, expire_guard, settle_day
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.targets import FileTopic, ParquetTable
@@ -565,6 +565,43 @@ def test_closing_a_rollup_day_and_expiry(spark, folder):
     assert storage.subfolders(spark, f"{folder}/event_log") == []
 
 
+def test_days_are_kept_in_wider_buckets_once_fine_rollups_expired(spark, folder):
+    log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
+    store, day = RollupStore(f"{folder}/rollups/event_log", EVENT_ROLLUPS), date(2024, 1, 1)
+    store(log.where("kafka_partition < 2"), Batch("s", "t", 0, "q"))
+    fine, closed = store.rollup(spark, "traffic_10s").count(), f"{store.path}/closed/bucket_date=2024-01-01"
+    close_rollup_day(spark, store, day)
+    narrow = spark.read.parquet(closed).count()
+    assert fine > 0 and downsample(spark, store, day) == []  # still that day
+    expire(spark, folder, date(2024, 1, 2))
+    assert store.rollup(spark, "traffic_10s").count() == 0
+    assert spark.read.parquet(closed).count() < narrow
+    assert downsample(spark, store, date(2024, 1, 3)) == []  # nothing new
+    # A late batch is counted, first as it came and then merged; ten seconds stay gone.
+    store(log.where("kafka_partition = 2"), Batch("s", "t", 1, "q"))
+    expected = bag(EVENT_STATES.rollup(EVENT_STATES.states(log), "lag_1m"), ["bucket", "cnt", "sum_lag"])
+    assert bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"]) == expected
+    assert downsample(spark, store, date(2024, 1, 3)) == [day]
+    assert bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"]) == expected
+    assert store.rollup(spark, "latency_stage_10s").count() == 0
+    store.compact(spark, day)  # a plain compaction keeps the width
+    assert store.width(spark, "bucket_date=2024-01-01") == 60
+    assert bag(store.rollup(spark, "lag_1m"), ["bucket", "cnt", "sum_lag"]) == expected
+    gone = expire(spark, folder, date(2024, 1, 8))
+    assert any("closed" in name for name in gone)
+
+
+def test_expiry_includes_the_guard(spark, folder):
+    log = FileCommitLog(f"{folder}/stream_batch_guard")
+    log.create(spark)
+    log.mark(spark, Batch("s", "t", 1, "q"))
+    tomorrow = date.today()
+    expire(spark, folder, tomorrow)
+    assert log.seen(spark, Batch("s", "t", 1, "q"))
+    expire(spark, folder, date(tomorrow.year + 1, 12, 31))
+    assert not log.seen(spark, Batch("s", "t", 1, "q"))
+
+
 def test_compaction_that_dies_half_way_is_harmless(spark, folder, monkeypatch):
     log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
     store, day = RollupStore(f"{folder}/rollups", EVENT_ROLLUPS), date(2024, 1, 1)
