@@ -308,6 +308,7 @@ _Q10 = f"SELECT minute_ms AS bucket_ms, {_p95()} FROM timed WHERE {_recent(10)}
 _add("q5_latest_traffic", _Q5)
 _add("q6_latest_stage_p95", _Q6)
 _add("q7_a16_freshness", _Q7)
+_add("q7_a16_freshness_from_states", _Q7)
 _add("q8_a18_j2_dlq_rate", _Q8)
 _add("q9_j1_health", f"""
 SELECT q5.bucket_ms AS eps_bucket_ms, eps, error_rate_pct, q6.bucket_ms AS latency_bucket_ms,
@@ -484,6 +485,17 @@ SELECT key, at_ms, lag_ms, ['low', 'mid', 'high'][level + 1] AS level,
 _add("k1_k10_stored_days", """
 SELECT strftime(make_timestamp(broker_ms * 1000), '%Y-%m-%d') AS ingest_date, service, count(*) AS n,
   count(DISTINCT event_id) AS events FROM log GROUP BY ALL""")
+_add("s6_view_range", """
+, spread AS (
+  SELECT broker_ms + (off % 5) * 86400000 AS ms, event_ms, service, event_id, status_code FROM log),
+ranged AS (
+  SELECT * FROM spread WHERE ms >= epoch_ms(TIMESTAMP '2024-01-02 00:05:00') AND ms < epoch_ms(TIMESTAMP '2024-01-03 00:20:00'))
+SELECT 'traffic_1m' AS name, service, ms // 60000 * 60000 AS bucket_ms, count(event_id) AS n FROM ranged GROUP BY ALL
+UNION ALL
+SELECT 'traffic_10s', NULL, ms // 10000 * 10000 AS bucket_ms, count(*) FILTER (WHERE status_code >= 500) FROM ranged GROUP BY ALL
+UNION ALL
+SELECT 'created_stored_1m', NULL, event_ms // 60000 * 60000 AS bucket_ms, count(*) FROM spread
+WHERE event_ms >= epoch_ms(TIMESTAMP '2024-01-01 00:10:00') AND event_ms < epoch_ms(TIMESTAMP '2024-01-01 00:30:00') GROUP BY ALL""")
 _add("k11_tiers", """
 , spread AS (
   SELECT broker_ms + (off % 5) * 86400000 AS ms, event_id, status_code FROM log)
@@ -537,7 +549,7 @@ newest AS (SELECT max(day) AS as_of FROM dated),
 keep(table_name, days, whole) AS (VALUES ('event_log', 3, true), ('event_log_dlq', 7, false),
   ('stream_batch_guard', 30, false), ('traffic_1m', 7, true), ('created_stored_1m', 7, true),
   ('lag_1m', 7, true), ('latency_service_1m', 7, true), ('traffic_10s', 1, true),
-  ('latency_stage_10s', 1, true), ('dlq_1m', 8, true))
+  ('latency_stage_10s', 1, true), ('arrival_1m', 7, true), ('dlq_1m', 8, true))
 SELECT DISTINCT table_name, CAST(day AS VARCHAR) AS day FROM dated, newest, keep
 WHERE CASE WHEN whole THEN as_of < day + CAST(days AS INTEGER)
   ELSE CAST(as_of AS TIMESTAMP) < CAST(ts AS TIMESTAMP) + to_days(CAST(days AS INTEGER)) END""")

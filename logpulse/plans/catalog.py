@@ -63,12 +63,16 @@ DLQ_1M = Rollup(
     ),
     keep_days=8,
 )
+#: When the newest event of a minute arrived: freshness without a scan of the event table.
+ARRIVAL_1M = Rollup("arrival_1m", INGEST, 60, (Measure("newest", "max", INGEST),))
 TRAFFIC_10S = Rollup("traffic_10s", INGEST, 10, (_total, _errors), keep_days=1)
 LATENCY_10S = Rollup(
     "latency_stage_10s", INGEST, 10, _stages, where=complete_timeline(), keep_days=1
 )
 
-EVENT_ROLLUPS = (TRAFFIC_1M, CREATED_STORED_1M, LAG_1M, LATENCY_1M, TRAFFIC_10S, LATENCY_10S)
+EVENT_ROLLUPS = (
+    TRAFFIC_1M, CREATED_STORED_1M, LAG_1M, LATENCY_1M, ARRIVAL_1M, TRAFFIC_10S, LATENCY_10S,
+)
 DLQ_ROLLUPS = (DLQ_1M,)
 ROLLUPS = {r.name: r for r in (*EVENT_ROLLUPS, *DLQ_ROLLUPS)}
 

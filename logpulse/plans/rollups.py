@@ -201,11 +201,15 @@ class SharedStates:
             *[m.merged(name).alias(name) for name, m, _ in self._measures.values()],
         )
 
-    def rollup(self, states: DataFrame, name: str) -> DataFrame:
-        """One rollup's merged states out of the shared ones."""
+    def rollup(self, states: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+        """One rollup's merged states out of the shared ones.
+
+        ``by`` are further columns to group by, such as the day that states are filed under.
+        """
         r = self[name]
         present = states.where(F.col(self._presence[r.where]) > 0)
         keys = [
+            *by,
             bucket_of(self.bucket(r.at), r.seconds).alias("bucket"),
             *[F.col(dim) for dim, _ in r.dims],
         ]

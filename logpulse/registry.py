@@ -29,6 +29,7 @@ from logpulse.session import scratch_dir, tune
 from logpulse.sources import telemetry
 from logpulse.sources.broker import topic_stream, topic_table
 from logpulse.sources.tables import read_table
+from logpulse.sources.views import register_views
 from logpulse.streaming import alerts
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery
@@ -45,6 +46,7 @@ QUERIES: dict[str, Query] = {}
 
 # Columns the rollups need.
 TRAFFIC = ("kafka_received_at", "event_id", "service", "status_code")
+_ROLLED_UP = ["event_timestamp", "kafka_received_at", "spark_received_at", "event_id", "service", "status_code"]
 TIMELINE = ("event_timestamp", "kafka_received_at", "spark_received_at", "service")
 
 
@@ -516,15 +518,26 @@ def _(spark, d):
     return serve.dlq_rate(_recent_dlq(spark, d, 5, now), traffic)
 
 
-@register("q9_j1_health")
+@register("q7_a16_freshness_from_states")
 def _(spark, d):
     now = clock(spark, d)
-    traffic = catalog.TRAFFIC_1M.states(_recent(spark, d, TRAFFIC, 5, now))
-    arrived = log(spark, d, ["kafka_received_at"])
+    arrivals = catalog.ARRIVAL_1M.states(log(spark, d, ["kafka_received_at"]))
+    return serve.freshness(serve.last_minutes(arrivals, now, 10, at="newest"), now, at="newest")
+
+
+@register("q9_j1_health")
+def _(spark, d):
+    """The text is read once: all parts come from a stored event table and dead-letter table."""
+    now, root = clock(spark, d), scratch_dir(spark, "health")
+    log(spark, d, [*_ROLLED_UP, "topic"]).write.parquet(f"{root}/events")
+    events = spark.read.parquet(f"{root}/events")
+    recent = events.where(bucket_of("kafka_received_at", 60) >= now - F.make_dt_interval(mins=F.lit(5)))
+    traffic = catalog.TRAFFIC_1M.states(recent)
+    arrivals = serve.last_minutes(catalog.ARRIVAL_1M.states(events), now, 10, at="newest")
     return serve.health(
         serve.latest_traffic(traffic),
-        serve.latest_bucket(serve.exact_stage_p95(_recent(spark, d, TIMELINE, 5, now))),
-        serve.freshness(serve.last_minutes(arrived, now, 10, at="kafka_received_at"), now),
+        serve.latest_bucket(serve.exact_stage_p95(recent)),
+        serve.freshness(arrivals, now, at="newest"),
         serve.dlq_rate(_recent_dlq(spark, d, 5, now), traffic),
     )
 
@@ -778,9 +791,6 @@ def _(spark, d):
     )
 
 
-_ROLLED_UP = ["event_timestamp", "kafka_received_at", "spark_received_at", "event_id", "service", "status_code"]
-
-
 def _five_days(spark, d):
     """The event table over five ingest days."""
     later = F.expr("kafka_received_at + make_dt_interval(kafka_offset % 5)")
@@ -809,6 +819,22 @@ def _(spark, d):
     return union_states([totals("traffic_1m"), totals("traffic_10s")])
 
 
+@register("s6_view_range")
+def _(spark, d):
+    """Rollups in SQL over a range of time, out of states of five days of which it reads two."""
+    root = scratch_dir(spark, "views")
+    store = RollupStore(f"{root}/rollups/event_log", catalog.EVENT_ROLLUPS)
+    store(_five_days(spark, d), Batch("s", "event_log", 0, "q"))
+    register_views(spark, root, prefix="s6_")
+    ends = "TIMESTAMP '2024-01-02 00:05:00', TIMESTAMP '2024-01-03 00:20:00'"
+    return spark.sql(
+        f"""SELECT 'traffic_1m' AS name, service, bucket, total AS n FROM s6_traffic_1m_between({ends})
+        UNION ALL SELECT 'traffic_10s', NULL, bucket, errors FROM s6_traffic_10s_between({ends})
+        UNION ALL SELECT 'created_stored_1m', NULL, bucket, created
+        FROM s6_created_stored_1m_between(TIMESTAMP '2024-01-01 00:10:00', TIMESTAMP '2024-01-01 00:30:00')"""
+    )
+
+
 @register("st12_backfilled_traffic_1m")
 def _(spark, d):
     root = scratch_dir(spark, "backfill")

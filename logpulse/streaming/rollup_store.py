@@ -139,6 +139,10 @@ class RollupStore:
             return spark.createDataFrame([], f"{self._whole.ddl}, {DAY} DATE, {BATCH} STRING")
         return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
+    def filed(self, name: str) -> bool:
+        """Is a rollup bucketed by the time its states are filed under?"""
+        return self.shared.bucket(self.shared[name].at) == self._day_of
+
     def rollup(
         self,
         spark: SparkSession,
@@ -146,15 +150,17 @@ class RollupStore:
         *,
         since: datetime | None = None,
         until: datetime | None = None,
+        with_day: bool = False,
     ) -> DataFrame:
         """Merged states of one rollup, buckets from ``since`` on and before ``until``.
 
-        Where the rollup is bucketed by the time the states are filed under, only the day
+        ``with_day`` adds the day of the bucket, ``bucket_date``, where states are filed under it:
+        a filter on it reaches the scan as a partition filter. Where the rollup is bucketed by the time the states are filed under, only the day
         folders of that range are listed and, within files, row groups are cut by the stored
         bucket. Times without a zone are UTC.
         """
         r = self.shared[name]
-        filed = self.shared.bucket(r.at) == self._day_of
+        filed = self.filed(name)
         states = self.states(
             spark,
             since=_utc_day(since) if filed and since else None,
@@ -163,7 +169,7 @@ class RollupStore:
         )
         for column, sign in ((self._day_of, filed), ("bucket", True)):
             if column == "bucket":
-                states = self.shared.rollup(states, name)
+                states = self.shared.rollup(states, name, [DAY] if with_day and filed else [])
             if sign and since is not None:
                 states = states.where(F.col(column) >= F.lit(since))
             if sign and until is not None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,10 @@ from logpulse.sources.tables import BATCH, DAY, read_table
 from logpulse.streaming.batch import Batch
 
 
+#: Batch keys that are folder names as they are.
+PLAIN = re.compile(r"[\w.-]+", re.ASCII)
+
+
 @dataclass(frozen=True)
 class ParquetTable:
     """Day-partitioned Parquet, clustered within files.
@@ -45,8 +50,15 @@ class ParquetTable:
         )
 
     def stored(self, spark: SparkSession, batch: Batch) -> DataFrame:
-        """The rows of a batch as they were written."""
-        return read_table(spark, self.path).where(F.col(BATCH) == batch.key).drop(DAY, BATCH)
+        """The rows of a batch as they were written; only its own folders are listed."""
+        name = f"{BATCH}={batch.key}"
+        days = storage.subfolders(spark, self.path) if PLAIN.fullmatch(batch.key) else []
+        own = [f for day in days if storage.exists(spark, f := f"{self.path}/{day}/{name}")]
+        if own:
+            rows = spark.read.option("basePath", self.path).parquet(*own)
+        else:  # nothing written, or a name that folders do not show as it is
+            rows = read_table(spark, self.path).where(F.col(BATCH) == batch.key)
+        return rows.drop(DAY, BATCH)
 
 
 @dataclass(frozen=True)

@@ -565,6 +565,45 @@ def test_closing_a_rollup_day_and_expiry(spark, folder):
     assert storage.subfolders(spark, f"{folder}/event_log") == []
 
 
+def test_a_time_range_in_sql_reads_the_days_of_the_range(spark, folder):
+    later = F.expr("kafka_received_at + make_dt_interval(kafka_offset % 5)")
+    log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).withColumn("kafka_received_at", later)
+    store = RollupStore(f"{folder}/rollups/event_log", EVENT_ROLLUPS)
+    store(log.where("kafka_partition = 0"), Batch("s", "t", 0, "q"))
+    close_rollup_day(spark, store, date(2024, 1, 2))
+    store(log.where("kafka_partition > 0"), Batch("s", "t", 1, "q"))
+    register_views(spark, folder, prefix="ranged_")
+    since, until = datetime(2024, 1, 2, 0, 10), datetime(2024, 1, 3, 0, 20)
+    for r in EVENT_ROLLUPS:
+        columns = [c for c in r.columns if not c.endswith("_ms")]
+        ranged = spark.sql(f"SELECT * FROM ranged_{r.name}_between(TIMESTAMP '{since}', TIMESTAMP '{until}')")
+        assert ranged.columns == r.columns
+        assert bag(ranged, columns) == bag(store.rollup(spark, r.name, since=since, until=until), columns)
+    sql = "SELECT sum(total) AS n FROM ranged_traffic_1m"
+    for ask, wanted in (
+        (f"{sql}_between(TIMESTAMP '{since}', TIMESTAMP '{until}')", "2024-01-03"),
+        (f"{sql}_between(now() - INTERVAL 5 MINUTES, now())", f"{date.today():%Y}"),
+        (f"{sql} WHERE bucket_date = DATE '2024-01-04' AND bucket > TIMESTAMP '{since}'", "2024-01-04"),
+    ):
+        frame = spark.sql(ask)
+        frame.collect()
+        lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+        filters = [x.partition("PartitionFilters: [")[2].partition("]")[0] for x in lines if "PartitionFilters" in x]
+        assert filters and all("bucket_date" in f and wanted in f for f in filters), filters
+
+
+def test_a_stored_batch_is_read_from_its_own_folders(spark, folder):
+    rows = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR)), ["kafka_received_at", "kafka_offset", "kafka_partition"])
+    table = ParquetTable(folder, "kafka_received_at")
+    for n, query in enumerate(["q", "a b:c"]):
+        table.write(rows.where(F.col("kafka_partition") == n), Batch("s", "t", n, query))
+        own = table.stored(spark, Batch("s", "t", n, query))
+        assert own.count() == rows.where(F.col("kafka_partition") == n).count()
+    files = table.stored(spark, Batch("s", "t", 0, "q")).inputFiles()
+    assert files and all("batch_key=q-0" in f for f in files)
+    assert table.stored(spark, Batch("s", "t", 7, "q")).count() == 0
+
+
 def test_days_are_kept_in_wider_buckets_once_fine_rollups_expired(spark, folder):
     log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
     store, day = RollupStore(f"{folder}/rollups/event_log", EVENT_ROLLUPS), date(2024, 1, 1)
