@@ -165,6 +165,8 @@ class SinkSettings(Settings):
     bypass_to_dlq: bool = option("SPARK_SINK_DLQ_ON_FINAL_FAILURE", "flag", True)
     guard: bool = option("SPARK_SINK_BATCH_GUARD_ENABLED", "flag", False)
     guard_table: str | None = option("SPARK_SINK_BATCH_GUARD_TABLE")
+    # Database batches go through a staging table and one transaction.
+    staged: bool = option("SPARK_SINK_JDBC_STAGED", "flag", False)
 
     def jdbc_options(self, table: str | None = None) -> dict[str, str]:
         """Connection options; with ``table`` also the options of a write to it."""
@@ -187,6 +189,8 @@ class SinkSettings(Settings):
 class TelemetrySettings(Settings):
     progress_log: str | None = option("SPARK_PROGRESS_LOG_PATH")
     timing_log: str | None = option("SPARK_BATCH_TIMING_LOG_PATH")
+    # Table of batch vital signs, on shared storage.
+    vitals_table: str | None = option("SPARK_BATCH_VITALS_PATH")
 
 
 @dataclass(frozen=True)

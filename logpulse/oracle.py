@@ -515,6 +515,12 @@ SELECT event_ms AS event_timestamp_ms, broker_ms AS kafka_received_at_ms, reques
   service, api_group, event_name, result, method, route_template, path, status_code, duration_ms,
   level, user_id, order_id, payment_id, reason_code, product_id, amount, topic,
   part AS kafka_partition, off AS kafka_offset, '' AS raw_json FROM log""")
+_add("k7_k8_batch_vitals", """
+SELECT 'event_log' AS stream, 'event_log' AS table_name, 'written' AS outcome, count(*)::BIGINT AS n,
+  (count(*) FILTER (WHERE broker_ms - event_ms > 500))::BIGINT AS late, min(broker_ms) AS oldest_ms,
+  max(broker_ms) AS newest_ms FROM log""")
+_add("k2_s5_staged_database_append", """
+SELECT service, count(*) AS n, min(status_code) AS least FROM log GROUP BY service""")
 _add("st12_streamed_traffic_1m", _A1)
 _add("st12_streamed_created_stored_1m", _A2)
 _add("st12_native_traffic_10s", _A7)

@@ -7,6 +7,7 @@ engines can be compared: timestamps become ``<name>_ms`` (epoch milliseconds).
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
 from functools import wraps
 
@@ -26,7 +27,7 @@ from logpulse.plans import catalog, retention, serve, thresholds
 from logpulse.plans.rollups import union_states
 from logpulse.schema import EVENT_LOG_COLUMNS
 from logpulse.session import scratch_dir, tune
-from logpulse.sources import telemetry
+from logpulse.sources import database, telemetry
 from logpulse.sources.broker import topic_stream, topic_table
 from logpulse.sources.tables import read_table
 from logpulse.sources.views import register_views
@@ -39,7 +40,8 @@ from logpulse.streaming.maintenance import downsample
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
 from logpulse.streaming.superseded import Superseded
-from logpulse.streaming.targets import FileTopic, ParquetTable
+from logpulse.streaming.targets import FileTopic, ParquetTable, StagedJdbcTable
+from logpulse.streaming.vitals import BatchVitals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -903,6 +905,49 @@ def _stream_events(spark, d, then=()):
     return root
 
 
+@register("k7_k8_batch_vitals")
+def _(spark, d):
+    """A run's own metrics, read back: rows, late rows and receive times of what it wrote."""
+    root = scratch_dir(spark, "vitals")
+    each = MicroBatch(
+        Delivery(ParquetTable(f"{root}/event_log", "kafka_received_at"), SinkSettings(fail_on_error=True)),
+        stream="event_log", table="event_log", stamps=False,
+        vitals=BatchVitals(f"{root}/vitals", late_after=0.5),
+    )
+    _run(tb.event_log(_streamed(spark, d)), each, root)
+    return telemetry.batch_vitals(spark, f"{root}/vitals").groupBy("stream", "table_name", "outcome").agg(
+        F.sum("rows").alias("n"), F.sum("late_rows").alias("late"),
+        F.min("oldest").alias("oldest"), F.max("newest").alias("newest"),
+    )
+
+
+@register("k2_s5_staged_database_append")
+def _(spark, d):
+    """Batches of which one dies half-way and all are delivered twice, counted by the database."""
+    root = scratch_dir(spark, "derby")
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
+    sink = SinkSettings(
+        url=f"jdbc:derby:memory:{root.rpartition('-')[2]};create=true",
+        driver="org.apache.derby.iapi.jdbc.AutoloadedDriver", batchsize=500, fail_on_error=True,
+    )
+    events = log(spark, d, ["event_id", "service", "status_code", "kafka_partition", "kafka_offset"])
+    events = events.select("event_id", F.col("service").cast("varchar(32)"), "status_code", "kafka_partition", "kafka_offset")
+    table = StagedJdbcTable(sink, "event_log")
+    dying = events.withColumn("status_code", F.expr("if(kafka_offset = 1000, CAST(raise_error('lost') AS INT), status_code)"))
+    for n in range(3):
+        own = F.col("kafka_partition") == n
+        batch = Batch("s", "event_log", n, "q")
+        with suppress(Exception):
+            table.write(dying.where(own).repartition(4), batch)
+        for _ in range(2):
+            table.write(events.where(own).repartition(4), batch)
+    q = {c: f'"{c}"' for c in ("service", "status_code")}
+    return database.scan(
+        spark, sink, f"SELECT service AS service, count(*) AS n, min({q['status_code']}) AS least FROM "
+        f"(SELECT CAST({q['service']} AS VARCHAR(32)) AS service, {q['status_code']} FROM event_log) AS t GROUP BY service",
+    ).toDF("service", "n", "least").select("service", F.col("n").cast("bigint").alias("n"), "least")
+
+
 @register("st1_streamed_events")
 def _(spark, d):
     root = _stream_events(spark, d)

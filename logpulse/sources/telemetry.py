@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logpulse.sources.tables import BATCH, DAY, read_table
+
+BATCH_VITALS = (
+    "stream STRING, table_name STRING, query_id STRING, batch_id BIGINT, outcome STRING, "
+    "rows BIGINT, late_rows BIGINT, oldest TIMESTAMP, newest TIMESTAMP, "
+    "transform_seconds DOUBLE, write_seconds DOUBLE, logged_at TIMESTAMP"
+)
+
+
+def batch_vitals(
+    spark: SparkSession, path: str, *, since: date | None = None, until: date | None = None
+) -> DataFrame:
+    """What ``streaming.vitals`` kept of each batch, by days of logging."""
+    return read_table(spark, path, BATCH_VITALS, since=since, until=until).drop(DAY, BATCH)
+
+
 PROGRESS = (
     "ts STRING, event STRING, queryName STRING, name STRING, id STRING, runId STRING, "
     "exception STRING, progress STRUCT<batchId: BIGINT, numInputRows: BIGINT, "

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from logpulse.config import SinkSettings
 from logpulse.schema import BATCH_GUARD, only
 from logpulse.sources import storage
-from logpulse.sources.database import identifier
+from logpulse.sources.database import absent, identifier
 from logpulse.streaming.batch import Batch
 
 _ROW = only(BATCH_GUARD, ["stream_name", "target_table", "query_id", "batch_id"])
@@ -80,9 +80,7 @@ class JdbcCommitLog:
                 & (F.col("query_id") == batch.query_id)
             ).isEmpty()
         except Exception as exc:
-            text = str(exc).lower()
-            absent = ("unknown table", "doesn't exist", "does not exist", "not found")
-            if self.table.lower() in text and any(words in text for words in absent):
+            if absent(exc, self.table):
                 raise GuardMissing(self.table) from exc
             raise
 

@@ -16,6 +16,7 @@ from logpulse.schema import STORED_AT
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome, partitioned
 from logpulse.streaming.timing import TimingLog
+from logpulse.streaming.vitals import BatchVitals
 
 AfterWrite = Callable[[DataFrame, Batch], None]
 
@@ -41,6 +42,7 @@ class MicroBatch:
         then: Sequence[AfterWrite] = (),
         hold: bool | None = None,
         timings: TimingLog | None = None,
+        vitals: BatchVitals | None = None,
     ):
         self.delivery = delivery
         self.stream, self.table, self.query = stream, table, query
@@ -52,6 +54,7 @@ class MicroBatch:
         # the caller already does.
         self.hold = (skip_empty or bool(then)) if hold is None else hold
         self.timings = timings or TimingLog()
+        self.vitals = vitals
         self.outcome: Outcome | None = None  # of the latest batch
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
@@ -70,6 +73,8 @@ class MicroBatch:
             out = drop_repeats(rows, self.dedup_keys)
             if self.stamps and "spark_processed_at" in out.columns:
                 out = _stamp(out, "spark_processed_at")
+            # Derived tables are computed from the frame without the observation.
+            watched, seen = self.vitals.watch(out) if self.vitals else (out, None)
             wrote = time.perf_counter()
             self.timings.record(batch, wrote - began, stage="transform")
             # One literal per batch, so that the table and what is derived from it agree.
@@ -78,7 +83,7 @@ class MicroBatch:
             def stamp(frame: DataFrame) -> DataFrame:
                 return _stamp(frame, STORED_AT, stored) if self.stamps else frame
 
-            self.outcome = self.delivery(out, batch, stamp=stamp)
+            self.outcome = self.delivery(watched, batch, stamp=stamp)
             if self.outcome not in (Outcome.BYPASSED, Outcome.LOST):
                 kept = stamp(out)
                 if self.outcome is Outcome.SKIPPED and hasattr(self.delivery.target, "stored"):
@@ -86,7 +91,17 @@ class MicroBatch:
                     kept = self.delivery.target.stored(df.sparkSession, batch)
                 for follow in self.then:
                     follow(kept, batch)
-            self.timings.record(batch, time.perf_counter() - wrote, stage="write")
+            written = time.perf_counter() - wrote
+            self.timings.record(batch, written, stage="write")
+            if seen is not None and self.outcome in (Outcome.WRITTEN, Outcome.UNMARKED):
+                self.vitals.record(
+                    df.sparkSession,
+                    batch,
+                    seen,
+                    outcome=self.outcome.name.lower(),
+                    transform_seconds=wrote - began,
+                    write_seconds=written,
+                )
         finally:
             if self.hold:
                 rows.unpersist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from logpulse.config import SinkSettings
 from logpulse.schema import BROKER_ROW, names
 from logpulse.sources import storage
+from logpulse.sources.database import absent, execute, identifier, literal, quoted
 from logpulse.sources.tables import BATCH, DAY, read_table
 from logpulse.streaming.batch import Batch
 
@@ -72,6 +74,91 @@ class JdbcTable:
         ).save()
 
 
+@dataclass(frozen=True)
+class StagedJdbcTable:
+    """A table in a database that receives each batch once and whole.
+
+    Tasks append to a staging table, under the name of this attempt. Only when all of them are
+    done, one transaction of the database moves the attempt's rows over, notes the batch as moved,
+    and clears what it and earlier attempts staged. A write that dies half-way leaves staged rows
+    that nobody reads; a task that is run twice violates the staging table's key, and the attempt
+    fails; a batch that was moved before is left alone.
+    """
+
+    settings: SinkSettings
+    table: str
+
+    @property
+    def staging(self) -> str:
+        return f"{identifier(self.table)}_staging"
+
+    @property
+    def moved(self) -> str:
+        return f"{identifier(self.table)}_moved"
+
+    def write(self, df: DataFrame, batch: Batch) -> None:
+        spark = df.sparkSession
+        self._prepare(df)
+        if self.is_moved(spark, batch):
+            return
+        attempt = uuid.uuid4().hex
+        staged = df.withColumns(
+            {
+                "staged_batch": F.lit(f"{batch.stream}/{batch.key}"),
+                "staged_attempt": F.lit(attempt),
+                "staged_row": F.monotonically_increasing_id(),
+            }
+        )
+        self._append(staged, self.staging)
+        name = {c: quoted(spark, self.settings, c) for c in staged.columns}
+        columns = ", ".join(name[c] for c in df.columns)
+        key = literal(f"{batch.stream}/{batch.key}")
+        execute(
+            spark,
+            self.settings,
+            f"INSERT INTO {self.moved} ({name['staged_batch']}) VALUES ({key})",
+            f"INSERT INTO {self.table} ({columns}) SELECT {columns} FROM {self.staging} "
+            f"WHERE {name['staged_attempt']} = {literal(attempt)}",
+            f"DELETE FROM {self.staging} WHERE {name['staged_batch']} = {key}",
+        )
+
+    def is_moved(self, spark: SparkSession, batch: Batch) -> bool:
+        moved = spark.read.format("jdbc").options(**self.settings.jdbc_options()).option("dbtable", self.moved)
+        return not moved.load().where(F.col("staged_batch") == f"{batch.stream}/{batch.key}").isEmpty()
+
+    def _append(self, df: DataFrame, table: str) -> None:
+        keys = "staged_batch VARCHAR(255), staged_attempt VARCHAR(64)"
+        names = [k for k in keys.split(", ") if k.split()[0] in df.columns]
+        writer = df.write.format("jdbc").options(**self.settings.jdbc_options(table))
+        if names:
+            writer = writer.option("createTableColumnTypes", ", ".join(names))
+        writer.mode("append").save()
+
+    def _prepare(self, df: DataFrame) -> None:
+        """The three tables, as far as they do not exist; keys come with the tables."""
+        spark = df.sparkSession
+        if self._exists(spark, self.moved):
+            return
+        none = df.limit(0)
+        extra = {"staged_batch": F.lit(""), "staged_attempt": F.lit(""), "staged_row": F.lit(0).cast("bigint")}
+        self._append(none, self.table)
+        self._append(none.withColumns(extra), self.staging)
+        self._append(none.select(F.lit("").alias("staged_batch")), self.moved)
+        key = {c: quoted(spark, self.settings, c) for c in extra}
+        for table, columns in ((self.staging, ["staged_attempt", "staged_row"]), (self.moved, ["staged_batch"])):
+            columns = ", ".join(key[c] for c in columns)
+            execute(spark, self.settings, f"CREATE UNIQUE INDEX {table.replace('.', '_')}_key ON {table} ({columns})")
+
+    def _exists(self, spark: SparkSession, table: str) -> bool:
+        try:
+            spark.read.format("jdbc").options(**self.settings.jdbc_options()).option("dbtable", table).load()
+        except Exception as exc:
+            if absent(exc, table):
+                return False
+            raise
+        return True
+
+
 @dataclass(frozen=True)
 class KafkaTopic:
     """Messages are rows with ``key`` and ``value``."""

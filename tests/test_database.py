@@ -12,7 +12,8 @@ from logpulse.sources.database import identifier, scan
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery, Outcome
 from logpulse.streaming.guard import GuardMissing, JdbcCommitLog
-from logpulse.streaming.targets import JdbcTable
+from logpulse.streaming import targets
+from logpulse.streaming.targets import JdbcTable, StagedJdbcTable
 
 
 @pytest.fixture
@@ -85,3 +86,50 @@ def test_names_and_literals():
     for bad in ("t; drop table x", "", "1t", "a b"):
         with pytest.raises(ValueError):
             identifier(bad)
+
+
+def dies_at(rows, n):
+    return rows.selectExpr(f"if(id = {n}, CAST(raise_error('executor lost') AS BIGINT), id) AS id", "name")
+
+
+def test_staged_batches_are_whole_and_counted_once(spark, sink):
+    table = StagedJdbcTable(sink, "events")
+    rows = spark.range(0, 1000, 1, 8).selectExpr("id", "concat('n', id) AS name")
+    batch = Batch("s", "events", 0, "it's")
+    with pytest.raises(Exception, match="executor lost"):
+        table.write(dies_at(rows, 999), batch)
+    assert count(spark, sink, "events") == 0 and not table.is_moved(spark, batch)
+    for _ in range(2):  # the second delivery is recognised
+        table.write(rows, batch)
+        assert count(spark, sink, "events") == 1000
+        assert count(spark, sink, "events_staging") == 0
+    table.write(rows, Batch("s", "events", 1, "it's"))
+    table.write(rows.limit(0), Batch("s", "events", 2, "it's"))
+    assert count(spark, sink, "events") == 2000
+    assert sorted(r[0] for r in scan(spark, sink, 'SELECT DISTINCT "id" FROM events').collect()) == list(range(1000))
+
+
+def test_a_move_that_fails_leaves_all_as_it_was(spark, sink, monkeypatch):
+    table, rows = StagedJdbcTable(sink, "events"), spark.range(10).selectExpr("id", "'x' AS name")
+    table.write(rows, Batch("s", "events", 0))
+    whole = targets.execute
+
+    def broken(spark, settings, *statements):
+        whole(spark, settings, *statements[:2], "DELETE FROM no_such_table")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(targets, "execute", broken)
+        with pytest.raises(Exception):
+            table.write(rows, Batch("s", "events", 1))
+    assert count(spark, sink, "events") == 10 and count(spark, sink, "events_staging") == 10
+    assert Delivery(table, sink)(rows, Batch("s", "events", 1)) is Outcome.WRITTEN
+    assert count(spark, sink, "events") == 20 and count(spark, sink, "events_staging") == 0
+
+
+def test_a_task_that_ran_twice_fails_the_attempt(spark, sink):
+    table, rows = StagedJdbcTable(sink, "events"), spark.range(0, 10, 1, 1).selectExpr("id", "'x' AS name")
+    table.write(rows, Batch("s", "events", 0))
+    same = rows.selectExpr("*", "'b' AS staged_batch", "'a' AS staged_attempt", "id AS staged_row")
+    table._append(same, table.staging)
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        table._append(same, table.staging)

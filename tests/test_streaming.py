@@ -92,7 +92,9 @@ def test_stream_stores_what_batch_computes(spark, topics, folder, combined):
         combined=combined,
         files_per_trigger=2,
         telemetry=TelemetrySettings(
-            timing_log=f"{folder}/timing.log", progress_log=f"{folder}/progress.log"
+            timing_log=f"{folder}/timing.log",
+            progress_log=f"{folder}/progress.log",
+            vitals_table=f"{folder}/vitals",
         ),
     )
     app.run()
@@ -128,6 +130,12 @@ def test_stream_stores_what_batch_computes(spark, topics, folder, combined):
     ).first()
     assert answer.p95 > 0 and answer.n == answer.stored == expected.count()
     assert answer.dead == dead.count()
+    # The run's own metrics are a table, gathered on the way to the sinks.
+    vitals = telemetry.batch_vitals(spark, f"{folder}/vitals").groupBy("stream").agg(F.sum("rows"), F.max("newest"), F.sum("late_rows"))
+    told = {r[0]: tuple(r)[1:] for r in vitals.collect()}
+    newest = expected.agg(F.max("kafka_received_at")).first()[0]
+    assert told["event_log"] == (expected.count(), newest, 0)
+    assert told["dlq_kafka"][0] == told["dlq_table"][0] == dead.count()
     # The timing lines parse.
     lines = telemetry.timings(spark, f"{folder}/timing.log")
     stages = {r.stage for r in lines.where("table = 'event_log'").select("stage").collect()}
