@@ -145,6 +145,8 @@ class DlqSettings(Settings):
     table_trigger: str | None = option("SPARK_DLQ_TRIGGER_INTERVAL")
     topic_trigger: str | None = option("SPARK_DLQ_KAFKA_TRIGGER_INTERVAL")
     log_empty: bool = option("SPARK_DLQ_KAFKA_LOG_EMPTY", "flag", False)
+    # Messages about the same failed row within this time are stored once.
+    once_within: str | None = option("SPARK_DLQ_DEDUP_WATERMARK")
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logpulse.functions.ids import record_id
+from logpulse.operators.dedup import drop_repeats
 from logpulse.operators.normalize import timestamp_of_ms
 from logpulse.operators.parse import decode, json_column
 from logpulse.schema import DLQ_ENVELOPE, DLQ_ENVELOPE_COLUMNS, EVENT_LOG_DLQ_COLUMNS
@@ -140,9 +141,24 @@ def dead_letter_rows(bad: DataFrame) -> DataFrame:
     return rows.select(*EVENT_LOG_DLQ_COLUMNS)
 
 
-def parse_dlq(raw: DataFrame, *, processed_at: Column | None = None):
+#: What a dead letter is about: the row it came from and what went wrong with it. A message
+#: that does not say where its row came from is only ever itself.
+MESSAGE_ID = """if(json.source_topic IS NULL OR json.source_partition IS NULL OR json.source_offset IS NULL,
+    concat_ws('/', 'message', topic, partition, offset),
+    concat_ws('/', 'source', json.source_topic, json.source_partition, json.source_offset, json.error_type))"""
+
+
+def parse_dlq(
+    raw: DataFrame, *, processed_at: Column | None = None, once_within: str | None = None
+) -> DataFrame:
     """Dead-letter topic rows to the dead-letter table.
 
+    ``once_within`` keeps one message per failed row: a producer that is replayed sends its
+    messages again, under offsets of their own. In a stream, repeats that far apart in broker
+    time are recognised (state in the state store), and messages older than that behind the newest
+    are dropped, so it must exceed how far partitions of the topic may be read apart; in a batch
+    all are recognised.
+
     Whatever the envelope leaves out comes from the message that carried it. A message that
     is no envelope is stored as well, with its text and an unknown error type: there is no
     later place to catch it. Only messages without any text are left out.
@@ -170,4 +186,11 @@ def parse_dlq(raw: DataFrame, *, processed_at: Column | None = None):
         "error_message": "coalesce(json.error_message, '')",
         "raw_json": "coalesce(json.raw_json, raw_json)",
     }
+    if once_within:
+        # Of repeats within a frame the first by broker coordinates is kept, under their names.
+        names = {"partition": "kafka_partition", "offset": "kafka_offset"}
+        named = parsed.withColumn("message_id", F.expr(MESSAGE_ID)).withColumnsRenamed(names)
+        parsed = drop_repeats(named, ["message_id"], watermark=once_within).withColumnsRenamed(
+            {new: old for old, new in names.items()}
+        )
     return parsed.selectExpr(*[f"{rules[c]} AS {c}" for c in EVENT_LOG_DLQ_COLUMNS])

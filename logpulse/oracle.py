@@ -519,6 +519,10 @@ _add("k7_k8_batch_vitals", """
 SELECT 'event_log' AS stream, 'event_log' AS table_name, 'written' AS outcome, count(*)::BIGINT AS n,
   (count(*) FILTER (WHERE broker_ms - event_ms > 500))::BIGINT AS late, min(broker_ms) AS oldest_ms,
   max(broker_ms) AS newest_ms FROM log""")
+_add("k3_k4_doubled_messages", """
+, once AS (SELECT DISTINCT topic, part, off FROM bad)
+SELECT topic AS source_topic, 'json_parse_failed' AS error_type, count(*) AS n,
+  (SELECT count(*) FROM once)::BIGINT AS rolled_up FROM once GROUP BY topic""")
 _add("k2_s5_staged_database_append", """
 SELECT service, count(*) AS n, min(status_code) AS least FROM log GROUP BY service""")
 _add("st12_streamed_traffic_1m", _A1)

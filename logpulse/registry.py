@@ -1071,6 +1071,27 @@ def _(spark, d):
     )
 
 
+@register("k3_k4_doubled_messages")
+def _(spark, d):
+    """A producer that sends every message twice, in batches of their own: rows are stored once."""
+    tune(spark, streaming=True)
+    root = scratch_dir(spark, "doubled")
+    _, bad = split_events(tb.replay_parse(raw_rows(spark, d), ()))
+    topic, table = DeadLetterTopic(FileTopic(root, "logs.dlq")), ParquetTable(f"{root}/table", "kafka_received_at")
+    store = RollupStore(f"{root}/rollups", catalog.DLQ_ROLLUPS)
+    to_table = MicroBatch(
+        Delivery(table), stream="dlq_table", table="event_log_dlq", skip_empty=True, then=[store],
+    )
+    for n in range(2):
+        topic.write(bad, Batch("dlq", "logs.dlq", n, "doubled"))
+        topic.write(bad.where("partition = 0"), Batch("dlq", "logs.dlq", 10 + n, "doubled"))
+        rows = topic_stream(spark, StreamSettings(files_root=root), "logs.dlq")
+        _run(quarantine.parse_dlq(rows, once_within="1 hour"), to_table, f"{root}/consumer")
+    stored = read_table(spark, table.path).groupBy("source_topic", "error_type").agg(F.count("*").alias("n"))
+    total = store.rollup(spark, "dlq_1m").agg(F.sum("total")).scalar()
+    return stored.withColumn("rolled_up", total)
+
+
 @register("k11_expired_folders")
 def _(spark, d):
     """Day folders that expiry keeps, for every table."""

@@ -660,3 +660,14 @@ def test_expired_day_folders(spark, folder):
     assert len(listed) == 3 and spark.read.parquet(folder).count() == 5
     retention.drop_expired(spark, folder, retention.Keep("t", 3), as_of)
     assert spark.read.parquet(folder).count() == 2
+
+
+def test_messages_about_the_same_row_are_settled_by_where_it_came_from(spark):
+    told = '{"error_type":"%s","source_topic":"t","source_partition":0,"source_offset":%d,"raw_json":"x"}'
+    values = [told % ("a", 1), told % ("a", 1), told % ("b", 1), told % ("a", 2), "no envelope", "no envelope", '{"error_type":"a"}', '{"error_type":"a"}', None]
+    messages = raw(spark, *values, topic="logs.dlq").withColumn("offset", F.monotonically_increasing_id())
+    once = quarantine.parse_dlq(messages, once_within="1 hour")
+    assert once.columns == quarantine.parse_dlq(messages).columns
+    assert quarantine.parse_dlq(messages).count() == 8
+    found = sorted((r.error_type, r.source_offset if r.source_topic == "t" else None) for r in once.collect())
+    assert sorted(found, key=str) == sorted([("a", 1), ("b", 1), ("a", 2), ("unknown", None), ("unknown", None), ("a", None), ("a", None)], key=str)
