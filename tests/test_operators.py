@@ -669,5 +669,5 @@ def test_messages_about_the_same_row_are_settled_by_where_it_came_from(spark):
     once = quarantine.parse_dlq(messages, once_within="1 hour")
     assert once.columns == quarantine.parse_dlq(messages).columns
     assert quarantine.parse_dlq(messages).count() == 8
-    found = sorted((r.error_type, r.source_offset if r.source_topic == "t" else None) for r in once.collect())
+    found = [(r.error_type, r.source_offset if r.source_topic == "t" else None) for r in once.collect()]
     assert sorted(found, key=str) == sorted([("a", 1), ("b", 1), ("a", 2), ("unknown", None), ("unknown", None), ("a", None), ("a", None)], key=str)
