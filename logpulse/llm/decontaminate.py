@@ -25,10 +25,14 @@ from logpulse.llm.common import add_columns
 SHINGLE = 5
 SIMILARITY = 0.8
 
-#: Windows of similarity 0.8 or more share eight ninths of their shingles: about 10 of 64 bits differ,
-#: with a standard deviation of 3. Within RADIUS bits, one of RADIUS + 1 blocks is equal.
-RADIUS = 22
-BLOCKS = RADIUS + 1
+#: Fingerprints have BITS bits. Of windows of similarity 0.8, which share eight ninths of their shingles,
+#: 39 bits differ on average, with a standard deviation of 6; of unlike ones about half.
+BITS = 256
+RADIUS = 63
+
+#: Within RADIUS bits one of the 16-bit blocks differs in at most RADIUS // (BITS // 16) bits, which are
+#: dealt to both sides: values near an item's block are stored, values near a window's are looked up.
+STORED_NEAR = 1
 
 #: Text of benchmark items that one pass over the documents looks for; more items take more passes.
 PASS_BYTES = 16 << 20
@@ -66,11 +70,70 @@ def _needed(shingles: int, others: int, similarity: float) -> int:
 
 
 def _fingerprints(names: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of `size` shingles from each start, from running sums of their bits."""
-    bits = ((names[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int32)
-    sums = np.vstack([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
-    ones = sums[starts + size] - sums[starts]
-    return ((2 * ones > size).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    """SimHash of `size` shingles from each start, in words of 64 bits, from running sums of their bits."""
+    out = np.empty((len(starts), BITS // 64), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(BITS // 64):
+            names = (names ^ (names >> np.uint64(31))) * _MIX  # the next 64 bits of every name
+            bits = np.unpackbits(names.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int32)
+            sums = np.vstack([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
+            ones = sums[starts + size] - sums[starts]
+            out[:, k] = np.packbits(2 * ones > size, axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return out
+
+
+def _near(bits: int) -> np.ndarray:
+    """The 16-bit masks with at most so many bits."""
+    masks = np.arange(1 << 16, dtype=np.uint16)
+    return masks[np.bitwise_count(masks) <= bits]
+
+
+class BlockIndex:
+    """Multi-index of fingerprints: all within the radius of a given one share a block nearly with it.
+
+    Each block has a sorted table of the values within STORED_NEAR bits of an item's; a window looks up
+    the values within the remaining bits of its own. Distances are computed for pairs that meet there.
+    """
+
+    def __init__(self, prints: np.ndarray, radius: int):
+        self.prints, self.radius = prints, radius
+        self.blocks = prints.shape[1] * 4
+        near = radius // self.blocks
+        self.stored, self.sought = _near(min(STORED_NEAR, near)), _near(max(0, near - STORED_NEAR))
+        halves = prints.view(np.uint16)
+        self.tables = []
+        for b in range(self.blocks):
+            keys = (halves[:, b, None] ^ self.stored).ravel()
+            order = np.argsort(keys, kind="stable")
+            self.tables.append((keys[order], (order // len(self.stored)).astype(np.int32)))
+        self.distances = 0  # how many were computed
+
+    def met(self, prints: np.ndarray) -> np.ndarray:
+        """Pairs (window, item) that share a block nearly, as window * items + item."""
+        halves, found = prints.view(np.uint16), []
+        for b, (keys, items) in enumerate(self.tables):
+            wanted = (halves[:, b, None] ^ self.sought).ravel()
+            low, high = np.searchsorted(keys, wanted), np.searchsorted(keys, wanted, side="right")
+            each = high - low
+            at = np.flatnonzero(each)
+            each = each[at]
+            place = np.repeat(low[at], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            window = np.repeat(at // len(self.sought), each)
+            found.append(np.unique(window * len(self.prints) + items[place]))
+        return np.unique(np.concatenate(found))
+
+    def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) positions whose fingerprints are within the radius."""
+        out = [], []
+        step = max(1, (1 << 21) // (len(self.prints) + len(self.sought)))
+        for at in range(0, len(prints), step):
+            window, item = np.divmod(self.met(prints[at : at + step]), len(self.prints))
+            self.distances += len(window)
+            apart = np.bitwise_count(prints[at + window] ^ self.prints[item]).sum(axis=1, dtype=np.int64)
+            near = apart <= self.radius
+            out[0].append(at + window[near])
+            out[1].append(item[near])
+        return tuple(np.concatenate(x) for x in out)
 
 
 class Benchmark:
@@ -78,8 +141,6 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, radius: int = RADIUS):
         self.similarity, self.radius = similarity, radius
-        edges = np.linspace(0, 64, radius + 2).round().astype(int)
-        self.blocks = [(np.uint64(a), np.uint64((1 << int(b - a)) - 1)) for a, b in zip(edges, edges[1:])]
         self.hash: dict[str, int] = {}
         self.classes: dict[tuple[int, int], list] = {}
         for item, text in items:
@@ -94,11 +155,8 @@ class Benchmark:
         self.owners: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}  # shingles and the members that have them
         for (n, size), members in self.classes.items():
             count = n - size + 1
-            prints = np.array([_fingerprints(r, np.array([0]), count)[0] for _, r in members], np.uint64)
-            table = [np.zeros((int(mask) + 1, len(members)), bool) for _, mask in self.blocks]
-            for t, (at, mask) in zip(table, self.blocks):
-                t[((prints >> at) & mask).astype(int), np.arange(len(members))] = True
-            self.index[n, size] = (count, np.unique(np.concatenate([r for _, r in members])), prints, table, [(i, Counter(r.tolist())) for i, r in members])
+            prints = np.concatenate([_fingerprints(r, np.array([0]), count) for _, r in members])
+            self.index[n, size] = (count, np.unique(np.concatenate([r for _, r in members])), BlockIndex(prints, radius), [(i, Counter(r.tolist())) for i, r in members])
             names, owners = np.concatenate([r for _, r in members]), np.repeat(np.arange(len(members), dtype=np.int32), count)
             order = np.lexsort((owners, names))
             names, owners = names[order], owners[order]
@@ -126,17 +184,9 @@ class Benchmark:
             out[k] = self.search(texts[k])
         return out
 
-    def candidates(self, prints: np.ndarray, n: int, size: int):
-        """(window, item) positions whose fingerprints share a block and are within the radius."""
-        _, _, own, table, _ = self.index[n, size]
-        met = np.zeros((len(prints), len(own)), bool)
-        for t, (at, mask) in zip(table, self.blocks):
-            met |= t[((prints >> at) & mask).astype(int)]
-        return np.nonzero(met & (np.bitwise_count(prints[:, None] ^ own[None, :]) <= self.radius))
-
     def whole(self, names: np.ndarray, n: int, size: int) -> list[tuple[int, float]]:
         """(item, similarity) of items of n words that a text of fewer words, with these shingles, resembles."""
-        count, _, _, _, members = self.index[n, size]
+        count, _, _, members = self.index[n, size]
         least, (known, owners) = _needed(count, len(names), self.similarity), self.owners[n, size]
         start, stop = np.searchsorted(known, names), np.searchsorted(known, names, side="right")
         most = np.zeros(len(members), np.int64)  # shared shingles are at most the text's that the item has
@@ -167,7 +217,7 @@ class Benchmark:
             hits = whole[np.isin(names[whole], self.known[size])]
             if not len(hits):
                 continue
-            for (n, z), (count, own, _, _, members) in self.index.items():
+            for (n, z), (count, own, near, members) in self.index.items():
                 least = _needed(count, min(count, len(names)), self.similarity)
                 if z != size or len(hits) < least:
                     continue
@@ -192,7 +242,7 @@ class Benchmark:
                     part = here[block : block + 4096]
                     low = part[0] - here[0]
                     local = spread[low : part[-1] - here[0] + count]
-                    w, m = self.candidates(_fingerprints(local, part - part[0], count), n, size)
+                    w, m = near.within(_fingerprints(local, part - part[0], count))
                     for i, j in zip(w.tolist(), m.tolist()):
                         item, weights = members[j]
                         at = int(part[i])

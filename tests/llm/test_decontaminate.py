@@ -1,9 +1,12 @@
+import math
 import random
 
+import numpy as np
+
 from tests_llm_brute import brute_leaks as brute
 
 from logpulse.llm.common import prepare
-from logpulse.llm.decontaminate import Benchmark, with_leaks
+from logpulse.llm.decontaminate import RADIUS, Benchmark, BlockIndex, _fingerprints, with_leaks
 from logpulse.llm.queries import op8_benchmark_decontamination
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +81,37 @@ def test_texts_shorter_than_an_item_are_compared_whole():
     assert found_any > 100
     (i, like, a, b), = Benchmark([items[6]]).search(" ".join(items[6][1].split()[:-3]))
     assert (i, a) == (6, 0) and like == 52 / 55
+
+
+def test_the_block_index_finds_all_within_the_radius_and_measures_few():
+    rng = np.random.default_rng(4)
+    names = lambda *shape: rng.integers(0, 1 << 62, shape).astype(np.uint64)
+    missed = pairs = 0
+    for count in (9, 18, 36, 55, 90):
+        items = names(400, count)
+        windows = items.copy()
+        edits = count - math.ceil(0.8 * 2 * count / 1.8 - 1e-9)  # as many as similarity 0.8 allows
+        windows[:, :edits] = names(400, edits)
+        prints, sought = (np.concatenate([_fingerprints(x, np.array([0]), count) for x in side]) for side in (items, windows))
+        index = BlockIndex(prints, RADIUS)
+        window, item = index.within(sought)
+        apart = np.bitwise_count(sought[:, None] ^ prints[None, :]).sum(axis=2)
+        assert set(zip(window.tolist(), item.tolist())) == set(map(tuple, np.argwhere(apart <= RADIUS).tolist()))
+        assert index.distances < 0.3 * 400 * 400
+        missed += int((np.diag(apart) > RADIUS).sum())
+        pairs += 400
+    assert missed <= 0.01 * pairs
+    near = BlockIndex(prints, 5)
+    assert set(zip(*map(np.ndarray.tolist, near.within(prints[:7])))) == {(i, i) for i in range(7)}
+    assert near.distances < 0.01 * 7 * 400
+
+
+def test_only_windows_and_items_that_meet_are_measured():
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(400)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=30))) for k in range(300)]
+    bench = Benchmark(items)
+    found = bench.search(" ".join(f"{own} {rng.choice(vocabulary)}" for _, own in items[:40]))
+    assert {i for i, *_ in found} == set(range(40))
+    (_, _, near, members), = bench.index.values()
+    assert 40 <= near.distances < 0.3 * 40 * 5 * len(members)  # some five windows each share enough shingles
