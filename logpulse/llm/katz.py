@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logpulse.llm.common import stored
+from logpulse.llm.common import shared_folder, stored
 
 #: Characters of text that a block holds (one longer text is a block of its own).
 BLOCK_CHARS = 4 << 20
@@ -359,8 +359,14 @@ def score(df: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"katz_blocks_{uuid.uuid4().hex[:12]}"
     packed = df.select(F.col(key).cast("long").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).cast("string").alias("body")).mapInArrow(_blocks, _BLOCK_DDL)
-    packed.write.bucketBy(buckets, "block").format("parquet").saveAsTable(name)
-    blocks = spark.table(name)
+    try:
+        packed.write.bucketBy(buckets, "block").format("parquet").option("path", shared_folder(spark, "katz-blocks")).saveAsTable(name)
+        return _scored(spark.table(name), buckets, key, split_uses)
+    finally:  # the result is stored by then; the blocks stay in the shared folder
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _scored(blocks: DataFrame, buckets: int, key: str, split_uses: int) -> DataFrame:
     tokens = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     parts = max(buckets, -(-tokens // PART_TOKENS))
 
@@ -381,6 +387,4 @@ def score(df: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "
     histories = Histories(words, _sums(of_pairs, DISCOUNTED + 1))
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scores = known.join(answered(of_pairs, "of_pairs"), "block").join(answered(of_histories, "of_histories"), "block").mapInArrow(lambda x: _evaluate(x, parts, words, histories), schema)
-    out = stored(scores.withColumnRenamed("id", key), "katz-scores")
-    spark.sql(f"DROP TABLE {name}")
-    return out
+    return stored(scores.withColumnRenamed("id", key), "katz-scores")
