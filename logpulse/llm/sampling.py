@@ -21,7 +21,8 @@ def labelled_sample(df: DataFrame, label: str, text: str, per_label: int, *, sal
 
     Rows are chosen by a hash of key and text, so the choice does not depend on partitions. Of a text
     longer than `chars` a piece of that length from a place chosen by the hash is taken. Null texts
-    are left out. Two scans, no shuffle of texts; the driver receives labels x per_label x 2 pieces at most.
+    are left out. Rows with equal key and text count as one in the sample, however many there are. Two
+    scans; only chosen pieces are shuffled; the driver receives labels x per_label x 2 pieces at most.
     """
     place = F.xxhash64(key, text, F.lit(salt))
     rows = df.select(F.col(label).alias("label"), F.col(text).alias("piece"), place.alias("place")).where("label is not null and piece is not null")
@@ -33,6 +34,7 @@ def labelled_sample(df: DataFrame, label: str, text: str, per_label: int, *, sal
     limit = F.coalesce(*(F.when(F.col("label") == F.lit(x), F.lit(min(scale, -(-scale * per_label // n)))) for x, n in sorted(counts.items(), key=lambda x: str(x[0]))))
     at = 1 + F.pmod(F.shiftright("place", 20), F.greatest(F.length("piece") - chars, F.lit(1)))
     chosen = rows.where(F.pmod("place", F.lit(scale)) < limit).select("label", "place", F.when(F.length("piece") <= chars, F.col("piece")).otherwise(F.substring("piece", at, F.lit(chars))).alias("piece"))
+    chosen = chosen.groupBy("label", "place").agg(F.first("piece").alias("piece"))  # copies of a row are one
     for r in sorted(chosen.limit(2 * per_label * len(counts)).collect(), key=lambda r: (str(r["label"]), r["place"], r["piece"])):
         out.texts.setdefault(r["label"], []).append(r["piece"])
     return out

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logpulse.llm.common import Memo, add_columns, stored
+from logpulse.llm.common import Memo, add_columns, quoted, stored
 from logpulse.llm.sampling import labelled_sample
 
 # The patterns of the base kinds and the least lengths, in the order of the kinds.
@@ -360,6 +360,9 @@ def mask_secrets(df: DataFrame, field: Field | None, *, text: str = "text") -> D
 
         return work
 
-    columns = df.columns
-    out = add_columns(df.withColumn("__null", F.col(text).isNull()), make, f"{text} string", text=text)
-    return out.withColumn(text, F.when(~F.col("__null"), F.col(text))).select(*columns)
+    others = [c for c in df.columns if c.lower() != text.lower()]
+    row = F.struct(*map(F.col, map(quoted, others))) if others else F.lit(None).cast("string")
+    given = df.select(row.alias("row"), F.col(quoted(text)).isNull().alias("absent"), F.col(quoted(text)).alias("text"))
+    out = add_columns(given, make, "text string", keep=["row", "absent"])
+    whole = F.when(~F.col("absent"), F.col("text")).alias(text)
+    return out.select(*(F.col(f"row.{quoted(c)}") if c in others else whole for c in df.columns))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logpulse.llm.common import add_columns, stored
+from logpulse.llm.common import add_columns, quoted, stored
 from logpulse.llm.components import components, forest
 
 SHINGLE = 4
@@ -207,12 +207,14 @@ def one_of_each(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> Da
     Groups are told apart by their fingerprints, so those without a key, or with a key in common, keep
     a row each. A null key comes last; of rows with equal keys that of the smallest text hash stays.
     """
-    digest = F.coalesce(F.md5(F.col(text).cast("string")), F.lit(""))
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), digest.alias("digest"))
+    digest = F.coalesce(F.md5(F.col(quoted(text)).cast("string")), F.lit(""))
+    rows = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"), digest.alias("digest"))
     docs = stored(with_fingerprints(rows, keep=["key", "digest"]), "simhash-docs")
     prints = stored(docs.groupBy("simhash").agg(F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "digest")).alias("least")), "simhash-prints")
     best = _rooted(prints).groupBy("root").agg(F.min("least").alias("least"))
-    chosen = stored(best.select(F.col("root").alias("__root"), F.col("least.key").alias("__key"), F.col("least.digest").alias("__digest")), "simhash-chosen")
-    kept = df.join(chosen, F.col(key).eqNullSafe(F.col("__key")) & (digest == F.col("__digest")))
-    order = Window.partitionBy("__root").orderBy(text)  # rows repeated with key and text
-    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*df.columns)
+    chosen = stored(best.select("root", F.col("least.key").alias("chosen_key"), F.col("least.digest").alias("chosen_digest")), "simhash-chosen")
+    whole = df.select(F.struct(*map(F.col, map(quoted, df.columns))).alias("row"), F.col(quoted(key)).alias("key"), digest.alias("digest"))
+    kept = whole.join(chosen, F.col("key").eqNullSafe(F.col("chosen_key")) & (F.col("digest") == F.col("chosen_digest")))
+    order = Window.partitionBy("root").orderBy("digest")  # rows repeated with key and text
+    first = kept.withColumn("n", F.row_number().over(order)).where("n = 1")
+    return first.select(*(F.col(f"row.{quoted(c)}") for c in df.columns))

@@ -30,7 +30,7 @@ def test_pipeline_matches_brute_force(spark):
 
 def test_registered_and_stages_carry_extra_columns(spark):
     names = __spark_entry__.queries()
-    assert "pipeline" in names and sum(bool(re.match(r"op\d+_", n)) for n in names) == 10
+    assert "pipeline" in names and sum(bool(re.match(r"op\d+_", n)) for n in names) == 13
     rows = [(1, "the cat sat " * 9, "en", "s", 1, "k"), (2, None, "en", "s", 1, "k"), (3, "", "de", None, None, "k"), (None, "token = abcdefghijkl12345 und der hund", "de", "s", 1, "k"), (4, "the cat sat " * 9, "en", "s", 1, "k")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
     kept = df
