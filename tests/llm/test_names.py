@@ -1,8 +1,8 @@
-"""Extra columns whatever their names, and copies of a row in training samples."""
+"""Extra columns whatever their names."""
 
 from pyspark.sql import functions as F
 
-from logpulse.llm import sampling, secrets, simhash
+from logpulse.llm import secrets, simhash
 from logpulse.llm.common import prepare
 
 
@@ -29,12 +29,3 @@ def test_masking_carries_columns_of_any_name(spark):
     assert rows[3][1] is None and rows[1][1] == "the cat sat on the mat"
     assert "abcdefgh" not in rows[4][1] and all(set(r[2:]) == {k} for k, r in rows.items())
     assert secrets.mask_secrets(df.select("text"), None).columns == ["text"]
-
-
-def test_copies_of_a_row_do_not_crowd_out_other_labels(spark):
-    one = spark.range(50_000).select(F.lit(7).alias("doc_id"), F.lit("copied text").alias("text"), F.lit("x").alias("lang"))
-    other = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("y").alias("lang"))
-    for salt in range(4):
-        got = sampling.labelled_sample(one.union(other), "lang", "text", 100, salt=salt, chars=100)
-        assert len(got.texts["y"]) > 60 and len(got.texts.get("x", [])) <= 1
-        assert got.rows == {"x": 50_000, "y": 300}
