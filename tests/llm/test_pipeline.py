@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline
 from logpulse.llm.secrets import MASK, base_spans
-from tests_llm_brute import brute_leaks, near_groups
+from tests_llm_brute import brute_leaks, wide_groups
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,7 +15,7 @@ def test_pipeline_matches_brute_force(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     texts = {i: r.text for i, r in docs.items() if r.text and re.search(r"[^\W\d_]", r.text)}
-    first = {i for i, root in near_groups(texts).items() if i == root}
+    first = {i for i, root in wide_groups(texts).items() if i == root}
     want = {i for i in first if not brute_leaks(texts[i], items)}
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
     assert set(got) == want and len(want) < len(docs)

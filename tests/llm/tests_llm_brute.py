@@ -15,7 +15,7 @@ def brute_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(prints):
+def brute_components(prints, linked=lambda a, b: (a ^ b).bit_count() <= 4):
     ids = sorted(prints)
     root = {i: i for i in ids}
 
@@ -26,14 +26,41 @@ def brute_components(prints):
 
     for n, i in enumerate(ids):
         for j in ids[n + 1 :]:
-            if (prints[i] ^ prints[j]).bit_count() <= 4:
+            if linked(prints[i], prints[j]):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return {i: find(i) for i in ids}
 
 
-def near_groups(texts):
-    return brute_components({i: brute_print(t) for i, t in texts.items()})
+def five_words(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text or ""))
+    return {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_groups(texts, similarity=0.8):
+    """The least id reachable over texts whose sets of five-word shingles are this similar."""
+    sets = {i: five_words(t) or {""} for i, t in texts.items()}
+    return brute_components(sets, lambda a, b: len(a & b) >= similarity * len(a | b))
+
+
+def brute_wide(text):
+    """512 bits: the majority of eight SplitMix64 streams over the hashes of distinct five-word shingles."""
+    full, out = 2**64 - 1, 0
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in five_words(text)]
+    for stream in range(8):
+        ones = [0] * 64
+        for x in hashes:
+            x = (x + (stream + 1) * 0x9E3779B97F4A7C15) & full
+            x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & full
+            x = ((x ^ x >> 27) * 0x94D049BB133111EB) & full
+            for bit, one in enumerate(f"{x ^ x >> 31:064b}"):
+                ones[63 - bit] += one == "1"
+        out |= sum(1 << (stream * 64 + b) for b in range(64) if 2 * ones[b] > len(hashes))
+    return out
+
+
+def wide_groups(texts, radius=90):
+    return brute_components({i: brute_wide(t) for i, t in texts.items()}, lambda a, b: (a ^ b).bit_count() <= radius)
 
 
 WORDS = re.compile(r"\w+")
