@@ -32,7 +32,7 @@ def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id."""
+    """One document of each group that is similar at 0.8 or more in words taken by five, that of the smallest doc_id."""
     prepare(spark)
     return simhash.one_of_each(docs)
 
