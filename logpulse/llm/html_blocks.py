@@ -10,7 +10,8 @@ from dataclasses import dataclass
 # Fixed values of the HTML standard.
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object audio video canvas".split())
+RAW = frozenset("script style template textarea iframe".split())
+FOREIGN = ("svg", "math")
 #: A start tag closes an open element of the same group, if it is the innermost of its container.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _INLINE_OPEN = 16
@@ -72,7 +73,7 @@ def leaves(page: str) -> list[Leaf]:
             pieces.append(" ")
         if ends:
             close({name}, len(stack) if name in BLOCK else _INLINE_OPEN)
-        elif name not in VOID:
+        elif name not in VOID and not (m[3].endswith("/") and (name in FOREIGN or any(opened[f] for f in FOREIGN))):
             if name in CLOSES:
                 container = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK), -1)
                 if container >= 0 and stack[container][0] in CLOSES[name]:

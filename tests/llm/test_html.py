@@ -38,6 +38,11 @@ def test_leaves_of_awkward_markup():
     assert texts("<ul><li>a<li>b<ul><li>c</ul></ul><table><tr><td>x<td>y<tr><td>z</table>") == ["a", "b", "c", "x", "y", "z"]
     assert texts("<script>var t='</p>';</script>x<style>p{}</style>y<!-- <p>no</p> -->z<script>open") == ["x yz"]
     assert texts('<p title="a > b">q</p> 1 < 2 <3 <a href=x>link') == ["q", "1 < 2 <3 link"]
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then<noscript> still <b>here</b></noscript> on</p>") == ["if x=2 then still here on"]
+    assert texts("<p>a <object data=x>b</object> <canvas>c</canvas> <video src=y>d</video> <audio>e</audio> f</p><p>g</p>") == ["a b c d e f", "g"]
+    drawn = leaves("<p>a <svg><path d=1/>" + "<path/>" * 30 + "<text>b</text></svg> c</p><p>d <math/> e</p>")
+    assert [(x.text, x.path) for x in drawn] == [("a b c", (("p",),)), ("d e", (("p",),))]
+    assert texts("<p>a <noscript>b<p>c") == ["a b", "c"]
     assert texts("") == texts("<div></div>") == texts("<!-- open") == [] and texts("<") == ["<"]
     assert [x.linked for x in leaves("<p><a href=x>ab</a>cd</p><p>ef</p>")] == [2, 0]
     begin = time.time()
