@@ -447,6 +447,32 @@ SELECT key, at_ms, breached, ready, fired FROM walk"""
 ORACLE["st13_st14_alerts"] = _ALERTS
 ORACLE["st13_st14_streamed_alerts"] = _ALERTS
 
+# Readings are changes, so a breach lasts until the next one. Fired once: at the end of its grace period
+# or of the cooldown after the alert before, if that comes before the next reading.
+_SILENT = FIXTURE.replace("WITH base", "WITH RECURSIVE base", 1) + _READINGS + """
+, changes AS (
+  SELECT key, at_ms, breached, lead(at_ms) OVER (PARTITION BY key ORDER BY at_ms) AS next_ms
+  FROM (SELECT *, lag(breached) OVER (PARTITION BY key ORDER BY at_ms) AS before FROM readings)
+  WHERE breached IS DISTINCT FROM before
+), breaches AS (
+  SELECT key, at_ms, coalesce(next_ms - 1, (SELECT max(at_ms) FROM changes)) AS last_ms,
+    row_number() OVER (PARTITION BY key ORDER BY at_ms) AS breach
+  FROM changes WHERE breached
+), walk AS (
+  SELECT key, breach, CASE WHEN at_ms + 20000 <= last_ms THEN at_ms + 20000 END AS due_ms,
+    CASE WHEN at_ms + 20000 <= last_ms THEN at_ms + 20000 END AS fired_ms
+  FROM breaches WHERE breach = 1
+  UNION ALL
+  SELECT key, breach, CASE WHEN next_due <= last_ms THEN next_due END,
+    CASE WHEN next_due <= last_ms THEN next_due ELSE fired_ms END
+  FROM (SELECT b.*, w.fired_ms, greatest(b.at_ms + 20000, coalesce(w.fired_ms + 60000, 0)) AS next_due
+    FROM walk w JOIN breaches b ON b.key = w.key AND b.breach = w.breach + 1))
+SELECT key, at_ms, breached, false AS ready, false AS fired, false AS silent FROM changes
+UNION ALL
+SELECT key, due_ms, true, true, true, true FROM walk WHERE due_ms IS NOT NULL"""
+ORACLE["st13_st14_silent_alerts"] = _SILENT
+ORACLE["st13_st14_streamed_silent_alerts"] = _SILENT
+
 # Levels 0 low, 1 mid, 2 high. ``asked`` is the direction the reading asks for.
 ORACLE["st15_capacity_levels"] = FIXTURE.replace("WITH base", "WITH RECURSIVE base", 1) + """
 , readings AS (

@@ -39,6 +39,7 @@ from logpulse.streaming.ingest import DeadLetterTopic, backfill
 from logpulse.streaming.maintenance import downsample
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
+from logpulse.streaming.silence import Watch, watched, watched_stream
 from logpulse.streaming.superseded import Superseded
 from logpulse.streaming.targets import FileTopic, ParquetTable, StagedJdbcTable
 from logpulse.streaming.vitals import BatchVitals
@@ -763,6 +764,20 @@ def _(spark, d):
     return alerts.in_order(_readings(spark, d), ALERTS)
 
 
+def _changes(spark, d):
+    """Readings of collectors that report changes alone: most breaches end their grace period in silence."""
+    before = F.lag("breached").over(Window.partitionBy("key").orderBy("at"))
+    rows = _readings(spark, d).withColumn("before", before)
+    return rows.where(~F.col("breached").eqNullSafe(F.col("before"))).drop("before")
+
+
+@register("st13_st14_silent_alerts")
+def _(spark, d):
+    changes = _changes(spark, d)
+    until = changes.agg(F.max("at")).first()[0]
+    return watched(changes, Watch(ALERTS), until)
+
+
 @register("st15_capacity_levels")
 def _(spark, d):
     r = replace(catalog.LAG_1M, dims=(("service", "service"),))
@@ -1145,3 +1160,19 @@ def _(spark, d):
     # All files in one batch: readings of a key must not overtake each other.
     _run(alerts.in_stream(stream, ALERTS), keep, root)
     return spark.read.parquet(f"{root}/alerts").drop("batch_id")
+
+
+@register("st13_st14_streamed_silent_alerts")
+def _(spark, d):
+    """Alerts that fall due without a reading, from timers; the newest reading sets the watermark."""
+    tune(spark, streaming=True)
+    root = scratch_dir(spark, "silent")
+    changes = _changes(spark, d)
+    changes.write.parquet(f"{root}/readings")
+    stream = spark.readStream.schema(changes.schema).parquet(f"{root}/readings")
+
+    def keep(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{root}/alerts/batch_id={batch_id}")
+
+    _run(watched_stream(stream, Watch(ALERTS), "0 seconds"), keep, root)
+    return spark.read.parquet(f"{root}/alerts").drop("batch_id")

@@ -27,6 +27,7 @@ from logpulse.streaming.ingest import Ingest, backfill
 from logpulse.streaming.maintenance import close_rollup_day, downsample, expire, expire_guard, settle_day
 from logpulse.streaming.microbatch import MicroBatch, start
 from logpulse.streaming.rollup_store import RollupStore
+from logpulse.streaming.silence import Watch, watched, watched_stream
 from logpulse.streaming.targets import FileTopic, ParquetTable
 
 from conftest import SF_DIR
@@ -536,6 +537,68 @@ def test_rules_keep_their_state_across_batches(spark, folder, rule):
     assert got.select(*rule.columns).distinct().count() > 2
 
 
+def silent_expected(readings, rule, idle, until):
+    """Second by second: readings first, then whatever is due at that second."""
+    out = []
+    for key in {r[0] for r in readings}:
+        own = sorted(r for r in readings if r[0] == key)
+        since = fired = last = None
+        for now in range(own[0][1], until + 1):
+            for _, _, breached in [r for r in own if r[1] == now]:
+                ready = breached and since is not None and now - since >= rule.grace_seconds
+                fires = ready and (fired is None or now - fired >= rule.cooldown_seconds)
+                since = None if not breached else now if since is None else since
+                fired, last = now if fires else fired, now
+                out.append((key, now, breached, ready, fires, False))
+            waited = since is not None and now - since >= rule.grace_seconds and (fired is None or fired < since)
+            if waited and (fired is None or now - fired >= rule.cooldown_seconds):
+                fired = now
+                out.append((key, now, True, True, True, True))
+            if last is not None and idle is not None and now - last >= idle:
+                since = fired = last = None
+    return sorted(out)
+
+
+@pytest.mark.parametrize("idle", [None, 45, 90])
+def test_alerts_fall_due_without_a_reading_and_state_ends(spark, folder, idle):
+    rule = AlertRule(grace_seconds=20, cooldown_seconds=60)
+    rows = [("a", 0, True), ("b", 5, True), ("b", 25, False), ("c", 3, True), ("c", 9, False), ("c", 10, True),
+            ("b", 31, True), ("b", 58, True), ("c", 70, False), ("c", 71, True), ("d", 80, False), ("b", 140, True),
+            ("c", 149, True), ("d", 400, False), ("e", 900, False)]
+    # Seconds of a later hour: the watermark of a new stream is the epoch.
+    frame = spark.createDataFrame(rows, "key STRING, s INT, breached BOOLEAN").selectExpr(
+        "key", "timestamp_seconds(3600 + s) AS at", "breached"
+    )
+    expected = silent_expected(rows, rule, idle, 900)
+    assert any(r[5] for r in expected)
+
+    def found(df):
+        return sorted(map(tuple, df.selectExpr(
+            "key", "CAST(unix_seconds(at) AS INT) - 3600", "breached", "ready", "fired", "silent").collect()))
+
+    watch = Watch(rule, idle)
+    until = frame.agg(F.max("at")).first()[0]
+    assert found(watched(frame, watch, until)) == expected
+    for first, last in ((0, 25), (31, 80), (140, 900)):  # batches in the order of the readings' times
+        frame.where(f"unix_seconds(at) - 3600 BETWEEN {first} AND {last}").coalesce(1).write.parquet(f"{folder}/in/{last}")
+        time.sleep(0.05)
+    stream = (
+        spark.readStream.schema(frame.schema)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", "1")
+        .parquet(f"{folder}/in")
+    )
+
+    def keep(df, batch_id):
+        df.write.mode("append").parquet(f"{folder}/out")
+
+    query = start(watched_stream(stream, watch, "0 seconds"), keep, f"{folder}/checkpoint", once=True)
+    query.awaitTermination()
+    assert found(spark.read.parquet(f"{folder}/out")) == expected
+    left = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert (left == 0) == (idle is not None)  # without an idle time the open breaches of a, b and c stay
+
+
 # --- maintenance ------------------------------------------------------------------------------
 def test_settling_a_day_keeps_the_latest_and_merges_files(spark, folder):
     log = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR))).cache()
