@@ -372,6 +372,9 @@ _LAG = """
 _add("j4_o4_offset_lag", _LAG.format(committed="committed") + "SELECT * FROM lag")
 _add("j4_offset_lag_from_zero",
      _LAG.format(committed="coalesce(committed, 0)") + "SELECT * FROM lag")
+_add("s1_j4_offset_gap", _LAG.format(committed="coalesce(committed, 0)") + """
+SELECT r.topic, r.part AS partition, r.off AS "offset", r.broker_ms AS timestamp_ms
+FROM raw r JOIN lag ON lag.topic = r.topic AND lag.partition = r.part WHERE r.off >= lag.committed""")
 _add("a19_offset_lag_totals", _LAG.format(committed="committed") + """
 SELECT topic, CAST(coalesce(sum(lag), 0) AS BIGINT) AS lag_sum, coalesce(max(lag), 0) AS lag_max,
   count(*) FILTER (WHERE lag IS NULL) AS missing_partitions FROM lag GROUP BY ROLLUP (topic)""")

@@ -32,6 +32,7 @@ from logpulse.sources.broker import topic_stream, topic_table
 from logpulse.sources.tables import read_table
 from logpulse.sources.views import register_views
 from logpulse.streaming import alerts
+from logpulse.streaming.archive import TopicArchive, newest
 from logpulse.streaming.batch import Batch
 from logpulse.streaming.delivery import Delivery
 from logpulse.streaming.guard import FileCommitLog, not_committed
@@ -668,6 +669,18 @@ def _(spark, d):
     return _offset_lag(spark, d, "zero")
 
 
+@register("s1_j4_offset_gap")
+def _(spark, d):
+    """The rows behind the lag: what the topics hold past the committed offsets, read from an archive."""
+    archive = TopicArchive(scratch_dir(spark, "archive"), span=5000)
+    rows = raw_rows(spark, d)
+    for n in range(3):
+        archive.write(rows.where(f"offset div 700 % 3 = {n}"), Batch("archive", "topics", n))
+    read = rows.where(F.col("timestamp") <= clock(spark, d) - F.make_dt_interval(mins=F.lit(10)))
+    read = read.where("NOT (topic = 'logs.payment' AND partition = 2)")
+    return archive.between(spark, newest(read), newest(rows)).select("topic", "partition", "offset", "timestamp")
+
+
 @register("a19_offset_lag_totals")
 def _(spark, d):
     return observe.lag_totals(_offset_lag(spark, d, "report"))

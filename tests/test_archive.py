@@ -1,0 +1,78 @@
+"""Topics by offset: what a gap lists and reads."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from logpulse import testbed as tb
+from logpulse.schema import BROKER_ROW, names
+from logpulse.streaming.archive import TopicArchive, gap, newest, parse_offsets
+from logpulse.streaming.batch import Batch
+
+from conftest import SF_DIR
+
+
+def bag(df):
+    rows = df.select("topic", "partition", "offset", F.md5("value"), F.unix_micros("timestamp"))
+    return Counter(map(tuple, rows.collect()))
+
+
+@pytest.fixture
+def archived(spark, folder):
+    rows = tb.broker_rows(tb.events(spark, SF_DIR)).select(*names(BROKER_ROW)).cache()
+    archive = TopicArchive(folder, span=50)
+    for n in range(2):
+        archive.write(rows.where(f"offset % 2 = {n}"), Batch("archive", "topics", n))
+    yield archive, rows
+    rows.unpersist()
+
+
+def test_offset_maps():
+    end = parse_offsets('{"a":{"0":5,"1":7},"b":{"0":3}}')
+    assert gap({"a": {0: 5, 1: 2}}, end) == {("a", 1): (2, 7), ("b", 0): (0, 3)}
+    assert gap({"a": {0: 9}}, {"a": {0: 5}}) == {}
+
+
+def test_a_gap_lists_and_reads_its_own_ranges_alone(spark, archived):
+    archive, rows = archived
+    start, end = {"logs.auth": {0: 120, 1: 149, 2: 400}}, {"logs.auth": {0: 131, 1: 151, 2: 400}, "logs.order": {1: 1}}
+    inside = "(topic = 'logs.auth' AND (partition = 0 AND offset >= 120 AND offset < 131 OR partition = 1 AND offset IN (149, 150))) OR (topic = 'logs.order' AND partition = 1 AND offset < 1)"
+    found = archive.between(spark, start, end)
+    assert bag(found) == bag(rows.where(inside)) and found.count() > 0
+    ranges = {f.split("of_topic=")[1].rsplit("/batch_key", 1)[0] for f in found.inputFiles()}
+    allowed = {"logs.auth/of_partition=0/of_range=2", "logs.auth/of_partition=1/of_range=2",
+               "logs.auth/of_partition=1/of_range=3", "logs.order/of_partition=1/of_range=0"}
+    assert ranges and ranges <= allowed
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = archive.between(spark, start, end)._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters: ")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(offset,120)" in pushed and "LessThan(offset,131)" in pushed
+
+
+def test_everything_and_nothing(spark, archived):
+    archive, rows = archived
+    assert bag(archive.between(spark, {}, newest(rows))) == bag(rows)
+    assert archive.between(spark, newest(rows), newest(rows)).isEmpty()
+    assert archive.between(spark, {}, {"unknown": {0: 10}}).isEmpty()
+    assert newest(rows.limit(0)) == {}
+
+
+def test_replays_change_nothing_and_second_copies_are_settled_when_asked(spark, archived):
+    archive, rows = archived
+    archive.write(rows.where("offset % 2 = 0"), Batch("archive", "topics", 0))
+    assert bag(archive.between(spark, {}, newest(rows))) == bag(rows)
+    archive.write(rows.where("topic = 'logs.auth'"), Batch("archive", "topics", 7))
+    once = archive.between(spark, {}, newest(rows), once=True)
+    assert once.count() == rows.select("topic", "partition", "offset").distinct().count()
+
+
+@pytest.mark.parametrize("change", ["CAST(NULL AS BIGINT) AS offset", "-1L AS offset"])
+def test_rows_that_no_offset_names_fail_the_batch(spark, folder, change):
+    rows = tb.broker_rows(tb.events(spark, SF_DIR)).select(*names(BROKER_ROW)).limit(3)
+    broken = rows.selectExpr("key", "value", "topic", "partition", change, "timestamp")
+    with pytest.raises(Exception, match="to find it by"):
+        TopicArchive(folder).write(broken, Batch("archive", "topics", 0))
