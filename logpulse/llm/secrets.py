@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field that adds to them.
 
-The field tags tokens as begin, inside or outside of a secret, from the token's shape, the tokens
-around it and features of the whole text, decoded by Viterbi. It is trained in numpy on a bounded
+The field tags tokens as begin, inside or outside of a secret, from the token's shape, the shapes of
+the tokens around it and the words among them (hashed), and features of the whole text, decoded by Viterbi. It is trained in numpy on a bounded
 sample whose tags come from the fixed patterns; in part of the training windows the neighbours are
 hidden, so that it also learns what a secret looks like by itself.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -47,27 +48,27 @@ def base_spans(text: str) -> list[tuple[str, int, int, int]]:
 
 
 # Groups of tokens; a token's class is its group with buckets of length and entropy.
-NONE, KEYWORD, EQUALS, COLON, QUOTE, PUNCTUATION, LOWER, TITLE, NUMBER, MIXED, LONG, HEXADECIMAL, CAPITALS, SYMBOLS = range(14)
+NONE, EQUALS, COLON, QUOTE, PUNCTUATION, LOWER, TITLE, NUMBER, MIXED, LONG, HEXADECIMAL, CAPITALS, SYMBOLS, FIGURES = range(14)
 GROUPS, BUCKETS = 14, 48
-_KEYWORD = re.compile(r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|bearer|auth)s?", re.I)
+CLASSES = GROUPS * BUCKETS
+#: Buckets of words; bucket 0 is no word.
+WORDS = 4096
 _PUNCTUATION = {"=": EQUALS, ":": COLON, '"': QUOTE, "'": QUOTE}
 
 
 def token_group(token: str) -> int:
-    if token.isalpha() and len(token) < 12:
-        return KEYWORD if _KEYWORD.fullmatch(token) else LOWER if token.islower() else TITLE
-    if not (token[0].isalnum() or token[0] == "_"):
-        return _PUNCTUATION.get(token, PUNCTUATION)
-    if _KEYWORD.fullmatch(token):
-        return KEYWORD
     if token.isalpha():
         return LOWER if token.islower() else TITLE
+    if not (token[0].isalnum() or token[0] == "_"):
+        return _PUNCTUATION.get(token, PUNCTUATION)
     if token.isdigit():
         return NUMBER if len(token) < LEAST["hex"] else HEXADECIMAL
     n = len(token)
     if n >= LEAST["hex"] and re.fullmatch(r"[0-9a-f]+", token):
         return HEXADECIMAL
     digits = sum(c.isdigit() for c in token)
+    if digits and not any(c.isalpha() for c in token):
+        return FIGURES
     if n >= 16 and digits and token.isalnum() and token.isupper():
         return CAPITALS
     if n >= 12 and digits:
@@ -85,31 +86,39 @@ def token_class(token: str) -> int:
     return group * BUCKETS + min(7, n.bit_length()) * 6 + min(5, int(entropy))
 
 
-# Offsets of the feature families in one index: class; groups of four tokens before and one after;
-# group pair; group with a keyword close before; group with features of the text.
-_FAMILIES = np.cumsum([0, GROUPS * BUCKETS, GROUPS, GROUPS, GROUPS, GROUPS, GROUPS, GROUPS * GROUPS, 2 * GROUPS, 16 * GROUPS])
-FEATURES = int(_FAMILIES[-1])
-AROUND = (1, 2, 3, 4, -1)
+def token_code(token: str) -> int:
+    """The token's class, and its bucket as a word if it has two letters and no digit: word * CLASSES + class."""
+    word = 0
+    if 1 < len(token) <= 32 and not any(c.isdigit() for c in token) and (token[0].isalpha() or token[0] == "_"):
+        word = 1 + zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) % (WORDS - 1)
+    return word * CLASSES + token_class(token)
+
 
-#: Classes that can be part of a secret: tokens with a digit, or of 12 characters and more.
-ABLE = np.array([g >= NUMBER or (g in (LOWER, TITLE) and k // 6 >= 4) for g in range(GROUPS) for k in range(BUCKETS)])
+# Families of features: the token's class; groups of the four tokens before and of the one after; pair of
+# groups; group with features of the text; words among the four tokens before; the word after.
+_SIZES = (CLASSES, GROUPS, GROUPS, GROUPS, GROUPS, GROUPS, GROUPS * GROUPS, 16 * GROUPS, WORDS, WORDS)
+_STARTS = np.cumsum([0, *_SIZES])
+FEATURES = int(_STARTS[-1])
+AROUND = (1, 2, 3, 4, -1)
+#: The family of each column of feature ids: the words before share one.
+_COLUMNS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 8, 8, 8, 9)
 
 
 def text_bucket(groups: np.ndarray) -> int:
     """Shares of tokens with digits and of assignment signs in a text, in four steps each."""
-    n = max(1, len(groups))
-    digits, signs = np.isin(groups, (NUMBER, MIXED, LONG, HEXADECIMAL, CAPITALS, SYMBOLS)).sum() / n, np.isin(groups, (EQUALS, COLON, QUOTE)).sum() / n
+    n, counts = max(1, len(groups)), np.bincount(groups, minlength=GROUPS)
+    digits, signs = counts[[NUMBER, MIXED, LONG, HEXADECIMAL, CAPITALS, SYMBOLS, FIGURES]].sum() / n, counts[[EQUALS, COLON, QUOTE]].sum() / n
     return int(np.searchsorted([0.0, 0.02, 0.1], digits)) * 4 + int(np.searchsorted([0.0, 0.02, 0.1], signs))
 
 
-def feature_ids(classes: np.ndarray, at: np.ndarray, bucket: int) -> np.ndarray:
-    """Feature ids (positions, families) of the tokens `at` of a text with these classes."""
-    groups = np.concatenate([np.zeros(4, np.int64), classes // BUCKETS, np.zeros(1, np.int64)])
-    g = groups[at + 4]
-    around = [groups[at + 4 - k] for k in AROUND]
-    keyword = np.any([a == KEYWORD for a in around[:4]], axis=0).astype(np.int64)
-    columns = [classes[at], *around, g * GROUPS + around[0], g * 2 + keyword, g * 16 + bucket]
-    return np.stack([c + o for c, o in zip(columns, _FAMILIES)], axis=1)
+def feature_ids(codes: np.ndarray, at: np.ndarray, bucket: int) -> np.ndarray:
+    """Feature ids (positions, columns) of the tokens `at` of a text with these codes."""
+    padded = np.concatenate([np.zeros(4, np.int64), codes, np.zeros(1, np.int64)])
+    near = {k: padded[at + 4 - k] for k in (0, *AROUND)}
+    groups = {k: x % CLASSES // BUCKETS for k, x in near.items()}
+    words = [near[k] // CLASSES for k in AROUND]
+    columns = [near[0] % CLASSES, *(groups[k] for k in AROUND), groups[0] * GROUPS + groups[1], groups[0] * 16 + bucket, *words]
+    return np.stack([c + _STARTS[f] for c, f in zip(columns, _COLUMNS)], axis=1)
 
 
 @dataclass
@@ -121,35 +130,49 @@ class Field:
 
     def __post_init__(self):
         self.moves[O, I] = -1e4  # a secret starts with its begin tag
-        self.weights[: len(ABLE)][~ABLE, :2] = -1e4
         allowed = self.moves > -1e3
         self.gain = max(0.0, float((self.moves - self.moves[O, O])[allowed].max()))
-        lead = self.weights - self.weights[:, O : O + 1]
-        best = lead[:, :2].max(axis=1)
-        parts = np.split(best, _FAMILIES[1:-1])
-        # The most that all families but the class can add to a tag other than outside.
-        self.class_lead = parts[0] + sum(p.max() for p in parts[1:])
         self.least = -(2 * self.gain + 1)
-        swing = sum(np.abs(p[np.abs(p) < 1e3]).max(initial=0) for p in np.split(self.weights[:, I] - self.weights[:, B], _FAMILIES[1:-1]))
-        self.apart = int(math.ceil((swing + 4 * self.gain + np.abs(self.moves[allowed]).max() * 4) / (self.gain + 1))) + 1
+        # The most that each feature adds to a tag other than outside, by family; a hair more for rounding.
+        lead = (self.weights[:, :2] - self.weights[:, O : O + 1]).max(axis=1)
+        self.leads = [x.astype(np.float32) for x in np.split(lead, _STARTS[1:-1])]
+        self.slack = 1e-5 * float(sum(np.abs(self.leads[f]).max() for f in _COLUMNS)) + 1e-6
+        swing = [np.abs(p).max() for p in np.split(self.weights[:, I] - self.weights[:, B], _STARTS[1:-1])]
+        self.apart = int(math.ceil((sum(swing[f] for f in _COLUMNS) + 4 * self.gain + np.abs(self.moves[allowed]).max() * 4) / (self.gain + 1))) + 1
+
+    def bound(self, codes: np.ndarray, groups: np.ndarray, bucket: int) -> np.ndarray:
+        """The most that each token's features can add to a tag other than outside."""
+        n = len(codes)
+        out = self.leads[0][codes % CLASSES] + self.leads[7][groups * 16 + bucket]
+        before = np.zeros(n, np.int64)
+        before[1:] = groups[:-1]
+        out += self.leads[6][groups * GROUPS + before]
+        words = codes // CLASSES
+        earlier, later = self.leads[8][words], self.leads[9][words]
+        for k in range(1, 5):
+            out[k:] += self.leads[k][groups[:-k]] + earlier[:-k]
+            out[:k] += self.leads[k][NONE] + self.leads[8][0]
+        out[:-1] += self.leads[5][groups[1:]] + later[1:]
+        out[-1:] += self.leads[5][NONE] + self.leads[9][0]
+        return out
 
-    def decode(self, classes: np.ndarray, bucket: int) -> list[tuple[int, int]]:
+    def decode(self, codes: np.ndarray) -> list[tuple[int, int]]:
         """Token runs (first, last) of secrets on the best path.
 
         Only tokens that can carry another tag than outside are looked at. Tokens that lose more than
         two transitions can gain are outside unless bridged, and no path bridges `apart` of them: so
         the groups of the others are decoded one by one, each between outside tokens, exactly.
         """
-        maybe = np.flatnonzero(self.class_lead[classes] >= self.least)
-        if not len(maybe):
+        if not len(codes):
             return []
-        scores = self.weights[feature_ids(classes, maybe, bucket)].sum(axis=1)
-        maybe = maybe[(scores[:, :2].max(axis=1) - scores[:, O]) >= self.least]
+        groups = codes % CLASSES // BUCKETS
+        bucket = text_bucket(groups)
+        maybe = np.flatnonzero(self.bound(codes, groups, bucket) >= self.least - self.slack)
         out = []
         for group in np.split(maybe, np.flatnonzero(np.diff(maybe) > self.apart) + 1):
             if len(group):
                 at = np.arange(group[0], group[-1] + 1)
-                tags = viterbi(self.weights[feature_ids(classes, at, bucket)].sum(axis=1), self.moves)
+                tags = viterbi(self.weights[feature_ids(codes, at, bucket)].sum(axis=1), self.moves)
                 start = None
                 for k, tag in enumerate([*tags, O]):
                     if tag != I and start is not None:
@@ -173,12 +196,11 @@ def viterbi(scores: np.ndarray, moves: np.ndarray) -> list[int]:
     return tags[::-1]
 
 
-def fit(features: np.ndarray, tags: np.ndarray, *, steps: int = 90, rate: float = 0.2, penalty: float = 2e-4) -> Field:
+def fit(features: np.ndarray, tags: np.ndarray, *, steps: int = 60, rate: float = 0.2, penalty: float = 2e-4) -> Field:
     """Maximum likelihood over windows (N, T, families), tags (N, T), by Adam on exact gradients."""
     n, length, families = features.shape
     w, m = np.zeros((FEATURES, 3)), np.zeros((3, 3))
     m[O, I] = -1e4
-    w[: len(ABLE)][~ABLE, :2] = -1e4
     flat = features.reshape(-1, families)
     gold = np.eye(3)[tags]
     moments = [[np.zeros_like(w), np.zeros_like(w)], [np.zeros_like(m), np.zeros_like(m)]]
@@ -201,7 +223,6 @@ def fit(features: np.ndarray, tags: np.ndarray, *, steps: int = 90, rate: float
         gw = np.stack([sum(np.bincount(flat[:, f], d[:, y], FEATURES) for f in range(families)) for y in range(3)], axis=1) + penalty * w
         gm = (moved - gold_moves) / n + penalty * m
         gm[O, I] = 0
-        gw[: len(ABLE)][~ABLE, :2] = 0
         for p, g, (first, second) in ((w, gw, moments[0]), (m, gm, moments[1])):
             first += 0.1 * (g - first)
             second += 0.01 * (g * g - second)
@@ -210,61 +231,84 @@ def fit(features: np.ndarray, tags: np.ndarray, *, steps: int = 90, rate: float
 
 
 WINDOW = 24
+#: Windows of each text around tokens that look like a secret and are none.
+ALIKE = 1
+#: Times that a text with base spans is varied, and the windows that the field is fitted on at most.
+VARIANTS, WINDOWS = 3, 6_000
 
 
 _ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 
 
+# How an assignment may be written: the names of the fixed pattern, signs, and quotes.
+_NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
+_SIGNS = (" = ", "=", ": ", ":", " is ")
+_QUOTES = ('"', "'", "")
+
+
 def varied(text: str, rng: np.random.Generator, share: float) -> tuple[str, list[tuple[int, int]]]:
-    """The text with a share of its base secrets replaced by random strings of other alphabets; their places."""
+    """The text with a share of its base secrets replaced by random strings of other alphabets; their places.
+
+    Half of the replaced ones are assignments then, with a random name, sign and quote and a secret
+    of 8 to 24 characters, so that the words before a secret count where its shape says little.
+    """
     out, places, at, length = [], [], 0, 0
-    for _, _, stop, start in sorted(base_spans(text), key=lambda s: (s[3], -s[2])):
-        if start < at:
+    for _, first, stop, start in sorted(base_spans(text), key=lambda s: (s[1], -s[2])):
+        if first < at:
             continue
-        secret = text[start:stop]
+        lead, secret = text[first:start], text[start:stop]
         if rng.random() < share:
             letters = _ALPHABETS[rng.integers(len(_ALPHABETS))]
-            secret = "x" + "".join(letters[k] for k in rng.integers(0, len(letters), rng.integers(16, 44))) + "7"
-        out += [text[at:start], secret]
-        length += start - at
+            anew = rng.random() < 0.5
+            secret = "x" + "".join(letters[k] for k in rng.integers(0, len(letters), rng.integers(6, 23) if anew else rng.integers(16, 44))) + "7"
+            if anew:
+                name, sign, quote = (x[rng.integers(len(x))] for x in (_NAMES, _SIGNS, _QUOTES))
+                lead = name + sign + quote
+                if sign != " is " and rng.random() < 0.3:  # letters alone
+                    secret = "".join(_ALPHABETS[1][k] for k in rng.integers(0, 26, len(secret))).lower()
+        out += [text[at:first], lead, secret]
+        length += first - at + len(lead)
         places.append((length, length + len(secret)))
         length += len(secret)
         at = stop
     return "".join([*out, text[at:]]), places
 
 
-def training_windows(texts: list[str], *, hidden: float = 0.3, share: float = 0.4, seed: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of WINDOW tokens around base secrets and at a random place of each text, with their tags."""
+def training_windows(texts: list[str], *, hidden: float = 0.3, share: float = 0.6, seed: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of WINDOW tokens around base secrets, around tokens like them and at a random place of each text, with their tags."""
     rng = np.random.default_rng(seed)
-    features, tags, memo = [], [], Memo(token_class)
-    for original in texts:
+    features, tags, memo = [], [], Memo(token_code)
+    for original in (t for t in texts for _ in range(VARIANTS if base_spans(t) else 1)):
         text, secret_places = varied(original, rng, share)
         found = [m.span() for m in TOKEN.finditer(text)]
         if len(found) < WINDOW:
             continue
         starts, stops = np.array(found).T
-        classes = np.array([memo[text[a:b]] for a, b in found])
+        codes = np.array([memo[text[a:b]] for a, b in found])
         tag = np.full(len(found), O)
         for start, stop in secret_places:
-            own = np.flatnonzero((starts < stop) & (stops > start) & ABLE[classes])
+            own = np.flatnonzero((starts < stop) & (stops > start))
             tag[own[:1]], tag[own[1:]] = B, I
-            if len(own) and (np.diff(own) > 1).any():
-                tag[own[1:]] = O
         places = [int(p) - int(rng.integers(0, WINDOW - 4)) for p in np.flatnonzero(tag == B)[:4]]
         places.append(int(rng.integers(0, len(found) - WINDOW + 1)))
-        bucket = text_bucket(classes // BUCKETS)
+        groups = codes % CLASSES // BUCKETS
+        # Other tokens with digits or signs inside, or of many letters: addresses, versions, names.
+        alike = np.flatnonzero((tag == O) & ((groups > NUMBER) | (codes % BUCKETS // 6 >= 4)))
+        places += [int(p) - int(rng.integers(0, WINDOW - 4)) for p in rng.permutation(alike)[:ALIKE]]
+        bucket = text_bucket(groups)
         for p in places:
             at = np.arange(WINDOW) + min(max(0, p), len(found) - WINDOW)
-            ids = feature_ids(classes, at, bucket)
+            ids = feature_ids(codes, at, bucket)
             if rng.random() < hidden:  # neighbours unknown
-                plain = np.where(np.isin(classes // BUCKETS, (KEYWORD, EQUALS, COLON)), PUNCTUATION * BUCKETS + 6, classes)
+                plain = np.where(np.isin(groups, (EQUALS, COLON)), PUNCTUATION * BUCKETS + 6, codes % CLASSES)
                 ids = feature_ids(plain, at, bucket)
-                ids[:, 0] = classes[at]
+                ids[:, 0] = codes[at] % CLASSES
             features.append(ids)
             tags.append(tag[at])
     if not features:
-        return np.zeros((0, WINDOW, len(_FAMILIES) - 1), np.int64), np.zeros((0, WINDOW), np.int64)
-    return np.stack(features), np.stack(tags)
+        return np.zeros((0, WINDOW, len(_COLUMNS)), np.int64), np.zeros((0, WINDOW), np.int64)
+    chosen = rng.permutation(len(features))[:WINDOWS]
+    return np.stack([features[k] for k in chosen]), np.stack([tags[k] for k in chosen])
 
 
 def has_base(text: Column) -> Column:
@@ -301,22 +345,20 @@ def train(df: DataFrame, *, text: str = "text", key: str = "doc_id", per_label:
 
 
 def find_spans(texts: list[str], field: Field | None, memo: Memo) -> list[list[tuple[str, int, int]]]:
-    """Spans of each text; `memo` remembers classes of tokens."""
+    """Spans of each text; `memo` remembers codes of tokens."""
     out = []
     for text in texts:
         spans = [(k, a, b) for k, a, b, _ in base_spans(text)]
         if field is not None:
             tokens = TOKEN.findall(text)
-            classes = np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
-            if len(classes) and (field.class_lead[classes] >= field.least).any():
-                runs = field.decode(classes, text_bucket(classes // BUCKETS))
-                if runs:
-                    places = [m.span() for m in TOKEN.finditer(text)]
-                    base = list(spans)
-                    for a, b in runs:
-                        start, stop = places[a][0], places[b][1]
-                        if not any(x <= start and stop <= y for _, x, y in base):
-                            spans.append(("model", start, stop))
+            runs = field.decode(np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens)))
+            if runs:
+                places = [m.span() for m in TOKEN.finditer(text)]
+                base = list(spans)
+                for a, b in runs:
+                    start, stop = places[a][0], places[b][1]
+                    if not any(x <= start and stop <= y for _, x, y in base):
+                        spans.append(("model", start, stop))
         out.append(sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))))
     return out
 
@@ -329,7 +371,7 @@ def with_secrets(df: DataFrame, field: Field | None, *, text: str = "text", keep
     """
 
     def make():
-        memo = Memo(token_class)
+        memo = Memo(token_code)
 
         def work(texts: list[str]) -> list:
             return [[[dict(zip(("kind", "start", "stop"), s)) for s in spans] for spans in find_spans(texts, field, memo)]]
@@ -353,7 +395,7 @@ def mask_secrets(df: DataFrame, field: Field | None, *, text: str = "text") -> D
     """The same rows and columns with the secrets in the text masked; null texts stay null."""
 
     def make():
-        memo = Memo(token_class)
+        memo = Memo(token_code)
 
         def work(texts: list[str]) -> list:
             return [[masked(t, [(a, b) for _, a, b in spans]) for t, spans in zip(texts, find_spans(texts, field, memo))]]

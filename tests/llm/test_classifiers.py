@@ -2,6 +2,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from logpulse.llm import language, secrets, toxicity
@@ -15,6 +16,10 @@ def documents(spark):
     return {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
 
 
+def documents_of(folder):
+    return pq.read_table(f"{folder}/documents.parquet").to_pandas().itertuples()
+
+
 def held(i, parts, rest):
     return zlib.crc32(str(i).encode()) % parts == rest
 
@@ -114,12 +119,16 @@ def test_base_spans_match_the_patterns():
 
 def test_field_decodes_exactly_and_learns_the_distribution():
     rng = np.random.default_rng(1)
-    for _ in range(60):
+    for n in (*range(1, 7), *[80] * 60):
         weights = rng.normal(0, 1.2, (secrets.FEATURES, 3))
         weights[:, secrets.O] += rng.normal(0.4, 0.3)
         field = secrets.Field(weights, rng.normal(0, 0.5, (3, 3)))
-        classes = rng.integers(0, len(secrets.ABLE), 80)
-        scores = field.weights[secrets.feature_ids(classes, np.arange(80), 5)].sum(axis=1)
+        codes = rng.integers(0, secrets.WORDS * secrets.CLASSES, n)
+        bucket = secrets.text_bucket(codes % secrets.CLASSES // secrets.BUCKETS)
+        scores = field.weights[secrets.feature_ids(codes, np.arange(n), bucket)].sum(axis=1)
+        # What passes a token over is a bound of its exact score.
+        lead = (scores[:, :2] - scores[:, secrets.O :]).max(axis=1)
+        assert (field.bound(codes, codes % secrets.CLASSES // secrets.BUCKETS, bucket) + field.slack >= lead).all()
         tags = secrets.viterbi(scores, field.moves)
         want, start = [], None
         for k, tag in enumerate([*tags, secrets.O]):
@@ -128,7 +137,35 @@ def test_field_decodes_exactly_and_learns_the_distribution():
                 start = None
             if tag == secrets.B:
                 start = k
-        assert field.decode(classes, 5) == want
+        assert field.decode(codes) == want
+
+
+def test_the_field_finds_secrets_that_the_patterns_miss():
+    """Fitted on every other text; in the rest secrets are written as no base pattern matches them."""
+    texts = [r.text for r in documents_of("/root/testdata/sf0.1") if r.text]
+    having = [t for t in texts if secrets.base_spans(t)]
+    without = [t[: secrets.CHARS] for t in texts if not secrets.base_spans(t)][::10]
+    field, memo = secrets.fit(*secrets.training_windows([t[: secrets.CHARS] for t in having[::2]] + without)), Memo(secrets.token_code)
+    rng, letters = np.random.default_rng(7), "ghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+
+    def word(n):
+        return "".join(letters[k] for k in rng.integers(0, len(letters), n))
+
+    for lead, length, end, least in (('credential = "', 24, '"', 0.9), ("use ghp_", 30, "", 0.9), ('secret = "', 11, '"', 0.5)):
+        planted = found = right = spans = 0
+        for text in having[1::2]:
+            written, marks = [], []
+            for k, piece in enumerate(re.split(r'token = "[0-9a-f]+"', text)):
+                if k:
+                    place, secret = sum(map(len, written)) + len(lead), word(length)
+                    marks.append((place, place + length))
+                    written.append(lead + secret + end)
+                written.append(piece)
+            model = [(a, b) for kind, a, b in secrets.find_spans(["".join(written)], field, memo)[0] if kind == "model"]
+            planted, spans = planted + len(marks), spans + len(model)
+            found += sum(any(a <= y and b >= y for a, b in model) for _, y in marks)
+            right += sum(any(a < y and b > x for x, y in marks) for a, b in model)
+        assert planted > 50 and found >= least * planted and right >= 0.9 * spans, (lead, planted, found, right, spans)
 
 
 def test_secret_scan_of_all_documents(spark):
@@ -150,7 +187,7 @@ def test_masking_and_degenerate_texts(spark):
     assert [r.text for r in out] == [None, "", "my [SECRET] key", "word " * 50_000 + "[SECRET] ", "ok"] and out[0].secrets == "x"
     assert secrets.train(df.limit(0)) is None and secrets.with_secrets(df.limit(0), None).count() == 0
     assert secrets.masked("abcdefgh", [(1, 3), (2, 5), (6, 7)]) == "a[SECRET]f[SECRET]h"
-    assert secrets.find_spans([""], None, Memo(secrets.token_class)) == [[]]
+    assert secrets.find_spans([""], None, Memo(secrets.token_code)) == [[]]
 
 
 def test_training_seeks_base_spans_in_all_rows(spark, monkeypatch):
@@ -175,13 +212,11 @@ def test_training_seeks_base_spans_in_all_rows(spark, monkeypatch):
 
 def test_spans_of_the_model_that_reach_beyond_base_spans_are_added():
     class Told:
-        class_lead, least = np.ones(len(secrets.ABLE)), 0.0
-
-        def decode(self, classes, bucket):
+        def decode(self, codes):
             return runs
 
     def found(text):
-        return secrets.find_spans([text], Told(), Memo(secrets.token_class))[0]
+        return secrets.find_spans([text], Told(), Memo(secrets.token_code))[0]
 
     token, runs = "Zz9Xdeadbeefdeadbeef00QQ77", [(0, 0)]
     assert found(f"{token} end") == [("model", 0, 26), ("hex", 4, 22)]
