@@ -17,9 +17,14 @@ MODES = ("strict", "permissive")
 
 
 def decode(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Binary key and value to text; the broker's timestamp becomes the receive time."""
+    """Binary key and value to text; the broker's timestamp becomes the receive time.
+
+    The text is generator output (see ``json_column``): a filter on it, or on what is made of
+    it, would else be copied down to the source together with all that the value is computed
+    from, and run over rows that were dropped in between.
+    """
     return raw.selectExpr(
-        "CAST(value AS STRING) AS raw_json",
+        "explode(array(CAST(value AS STRING))) AS raw_json",
         "CAST(key AS STRING) AS kafka_key",
         "topic",
         "partition",

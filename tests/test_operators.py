@@ -671,3 +671,10 @@ def test_messages_about_the_same_row_are_settled_by_where_it_came_from(spark):
     assert quarantine.parse_dlq(messages).count() == 8
     found = [(r.error_type, r.source_offset if r.source_topic == "t" else None) for r in once.collect()]
     assert sorted(found, key=str) == sorted([("a", 1), ("b", 1), ("a", 2), ("unknown", None), ("unknown", None), ("a", None), ("a", None)], key=str)
+
+
+def test_a_filter_on_dead_letters_is_not_run_over_all_rows(spark):
+    bad = tb.dead_letters(tb.broker_rows(tb.events(spark, SF_DIR)))
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("StructsToJson" in f or "sha2" in f for f in filters)
