@@ -38,6 +38,16 @@ def events_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return reader.parquet(f"{sf_dir}/events.parquet*")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """``events`` rows over all cores, before texts are made of them.
+
+    A file is read by at most as many tasks as it has row groups, which may be a million rows
+    each; the short rows are cheap to move and their texts are not cheap to write and parse.
+    """
+    tasks = max(24, 3 * rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, "event_id")
+
+
 def log_rows(rows: DataFrame, *, repeats: bool = True) -> DataFrame:
     """``events`` rows with the log-domain columns the payload is made of."""
     ms = (
@@ -114,7 +124,7 @@ def broker_rows(rows: DataFrame, *, repeats: bool = True, error_copies: bool = F
 
     ``error_copies`` delivers failed events a second time on the error topic.
     """
-    base = log_rows(rows, repeats=repeats)
+    base = log_rows(dealt(rows), repeats=repeats)
     fields = ", ".join(f"'{name}', {rule}" for name, rule in _PAYLOAD.items())
     full = base.withColumn("_json", F.expr(f"to_json(named_struct({fields}))"))
     value = (

@@ -678,3 +678,9 @@ def test_a_filter_on_dead_letters_is_not_run_over_all_rows(spark):
     plan = bad._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("StructsToJson" in f or "sha2" in f for f in filters)
+
+
+def test_texts_of_one_row_group_are_made_by_many_tasks(spark):
+    raw = tb.broker_rows(tb.events(spark, SF_DIR))
+    assert raw.select(F.spark_partition_id()).distinct().count() > 4
+    assert raw.groupBy("topic", "partition", "offset").count().count() == 1000
