@@ -58,7 +58,8 @@ def log_rows(rows: DataFrame, *, repeats: bool = True) -> DataFrame:
             "event_id AS id",
             "user_id",
             "event_type",
-            "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+            # Generator output: read once per row, and not copied into filters on broker times.
+            "explode(array(CAST(get_json_object(props, '$.k') AS BIGINT))) AS k",
             f"{ms} AS ms",
         )
         .withColumns(
