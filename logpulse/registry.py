@@ -927,7 +927,7 @@ def _stream_events(spark, d, then=()):
     each = MicroBatch(
         Delivery(ParquetTable(f"{root}/event_log", "kafka_received_at"),
                  SinkSettings(fail_on_error=True)),
-        stream="event_log", table="event_log", stamps=False, then=[t(root) for t in then],
+        stream="event_log", table="event_log", stamps=False, then=[t(root) for t in then], reread=bool(then),
     )
     _run(events, each, root)
     return root

@@ -25,7 +25,8 @@ class MicroBatch:
     """Prepare, stamp, deliver, and pass on to whoever maintains derived tables.
 
     ``then`` functions get the batch as stored (same stamps). They must be idempotent per
-    batch, because a failure after the write replays the batch.
+    batch, because a failure after the write replays the batch. With ``reread`` they read it
+    back from the target (which has ``stored``) and it is not held for them: for large batches.
     """
 
     def __init__(
@@ -41,6 +42,7 @@ class MicroBatch:
         stamps: bool = True,
         then: Sequence[AfterWrite] = (),
         hold: bool | None = None,
+        reread: bool = False,
         timings: TimingLog | None = None,
         vitals: BatchVitals | None = None,
     ):
@@ -50,9 +52,10 @@ class MicroBatch:
         self.dedup_keys = dedup_keys
         self.stamps = stamps
         self.then = tuple(then)
+        self.reread = reread
         # Read more than once (emptiness, derived tables): keep the rows for the batch, unless
         # the caller already does.
-        self.hold = (skip_empty or bool(then)) if hold is None else hold
+        self.hold = (skip_empty or bool(then) and not reread) if hold is None else hold
         self.timings = timings or TimingLog()
         self.vitals = vitals
         self.outcome: Outcome | None = None  # of the latest batch
@@ -89,6 +92,8 @@ class MicroBatch:
                 if self.outcome is Outcome.SKIPPED and hasattr(self.delivery.target, "stored"):
                     # Written before, with stamps of its own: derived tables must agree.
                     kept = self.delivery.target.stored(df.sparkSession, batch)
+                elif self.reread and self.then:
+                    kept = self.delivery.target.stored(df.sparkSession, batch, kept.schema)
                 for follow in self.then:
                     follow(kept, batch)
             written = time.perf_counter() - wrote

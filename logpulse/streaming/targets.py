@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logpulse.config import SinkSettings
 from logpulse.schema import BROKER_ROW, names
@@ -51,13 +52,20 @@ class ParquetTable:
             .parquet(self.path)
         )
 
-    def stored(self, spark: SparkSession, batch: Batch) -> DataFrame:
-        """The rows of a batch as they were written; only its own folders are listed."""
+    def stored(self, spark: SparkSession, batch: Batch, schema: T.StructType | None = None) -> DataFrame:
+        """The rows of a batch as they were written; only its own folders are listed.
+
+        With the ``schema`` that was written none is inferred, and a batch may have had no rows.
+        """
         name = f"{BATCH}={batch.key}"
-        days = storage.subfolders(spark, self.path) if PLAIN.fullmatch(batch.key) else []
+        plain = PLAIN.fullmatch(batch.key)
+        days = storage.subfolders(spark, self.path) if plain else []
         own = [f for day in days if storage.exists(spark, f := f"{self.path}/{day}/{name}")]
         if own:
-            rows = spark.read.option("basePath", self.path).parquet(*own)
+            reader = spark.read if schema is None else spark.read.schema(schema)
+            rows = reader.option("basePath", self.path).parquet(*own)
+        elif plain and schema is not None:
+            return spark.createDataFrame([], schema)
         else:  # nothing written, or a name that folders do not show as it is
             rows = read_table(spark, self.path).where(F.col(BATCH) == batch.key)
         return rows.drop(DAY, BATCH)

@@ -758,3 +758,18 @@ def test_guarded_replay_hands_on_the_stored_stamps(rows, folder, spark):
 def test_rollups_need_a_place(spark, folder):
     with pytest.raises(ValueError, match="SPARK_SINK_ROOT"):
         Ingest(spark, folder, sink=SinkSettings(url="jdbc:derby:memory:x"), dlq=DlqSettings(), stream=StreamSettings(enable_dlq=False))
+
+
+def test_derived_tables_of_a_large_batch_are_read_back(spark, folder):
+    events = tb.event_log(tb.broker_rows(tb.events(spark, SF_DIR)))
+    table, given = ParquetTable(f"{folder}/t", "kafka_received_at"), []
+
+    def follow(df, batch):
+        plan = df._jdf.queryExecution().withCachedData().toString()
+        given.append((df.count(), df.columns, "InMemoryRelation" in plan, len(df.inputFiles())))
+
+    each = MicroBatch(Delivery(table), stream="s", table="t", stamps=False, then=[follow], reread=True)
+    each(events.limit(0), 0)
+    each(events, 1)
+    assert [g[0] for g in given] == [0, events.count()]
+    assert all(g[1] == events.columns and not g[2] for g in given) and given[1][3] > 0
