@@ -1105,6 +1105,7 @@ def _(spark, d):
     tune(spark, streaming=True)
     root = scratch_dir(spark, "doubled")
     _, bad = split_events(tb.replay_parse(raw_rows(spark, d), ()))
+    bad = bad.persist()  # sent four times; the text of all rows is read for the first alone
     topic, table = DeadLetterTopic(FileTopic(root, "logs.dlq")), ParquetTable(f"{root}/table", "kafka_received_at")
     store = RollupStore(f"{root}/rollups", catalog.DLQ_ROLLUPS)
     to_table = MicroBatch(
@@ -1115,6 +1116,7 @@ def _(spark, d):
         topic.write(bad.where("partition = 0"), Batch("dlq", "logs.dlq", 10 + n, "doubled"))
         rows = topic_stream(spark, StreamSettings(files_root=root), "logs.dlq")
         _run(quarantine.parse_dlq(rows, once_within="1 hour"), to_table, f"{root}/consumer")
+    bad.unpersist()
     stored = read_table(spark, table.path).groupBy("source_topic", "error_type").agg(F.count("*").alias("n"))
     total = store.rollup(spark, "dlq_1m").agg(F.sum("total")).scalar()
     return stored.withColumn("rolled_up", total)

@@ -9,7 +9,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from logpulse import testbed as tb
+from logpulse import registry, testbed as tb
 from logpulse.config import DlqSettings, FactSettings, SinkSettings, StreamSettings, TelemetrySettings
 from logpulse.operators.normalize import normalize_events
 from logpulse.operators.parse import good_events, parse_events
@@ -773,3 +773,16 @@ def test_derived_tables_of_a_large_batch_are_read_back(spark, folder):
     each(events, 1)
     assert [g[0] for g in given] == [0, events.count()]
     assert all(g[1] == events.columns and not g[2] for g in given) and given[1][3] > 0
+
+
+def test_messages_sent_again_are_made_of_text_read_once(spark, monkeypatch):
+    held = []
+
+    class Topic(registry.DeadLetterTopic):
+        def write(self, df, batch):
+            held.append("InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString())
+            super().write(df, batch)
+
+    monkeypatch.setattr(registry, "DeadLetterTopic", Topic)
+    registry.QUERIES["k3_k4_doubled_messages"](spark, SF_DIR)
+    assert held == [True] * 4
