@@ -76,3 +76,31 @@ def test_rows_that_no_offset_names_fail_the_batch(spark, folder, change):
     broken = rows.selectExpr("key", "value", "topic", "partition", change, "timestamp")
     with pytest.raises(Exception, match="to find it by"):
         TopicArchive(folder).write(broken, Batch("archive", "topics", 0))
+
+
+def test_a_batch_of_many_ranges_writes_a_bounded_number_of_folders(spark, folder):
+    rows = tb.broker_rows(tb.events(spark, SF_DIR)).select(*names(BROKER_ROW)).cache()
+    archive, batch = TopicArchive(folder, span=2, most=8), Batch("archive", "topics", 0, "a/b")
+    archive.write(rows, batch)
+    everything = archive.between(spark, {}, newest(rows))
+    assert bag(everything) == bag(rows)
+    per = Counter(f.rsplit("/of_range=", 1)[0] for f in {f.rsplit("/", 2)[0] for f in everything.inputFiles()})
+    assert len(per) == 9 and max(per.values()) <= 9
+    # A small gap names the one folder that holds it.
+    start, end = {"logs.order": {1: 100}}, {"logs.order": {1: 112}}
+    inside = "topic = 'logs.order' AND partition = 1 AND offset >= 100 AND offset < 112"
+    gap_rows = archive.between(spark, start, end)
+    assert bag(gap_rows) == bag(rows.where(inside)) and gap_rows.count() > 0
+    assert len(archive.folders(spark, gap(start, end))) == 1
+    # A replay that finds fewer rows overwrites folders of the first width, and adds none beside them.
+    archive.write(rows.where("offset < 20"), batch)
+    assert {r.offset for r in archive.between(spark, {}, {"logs.order": {1: 20}}).collect()} < set(range(20))
+    again = archive.between(spark, {}, newest(rows))
+    assert max(bag(again).values()) == max(bag(rows).values())
+    # A short batch has folders of one range each, and both kinds are found.
+    count = gap_rows.count()
+    archive.write(rows.where(inside), Batch("archive", "topics", 1, "a/b"))
+    assert archive.between(spark, start, end).count() == 2 * count
+    named = [f.rpartition("=")[2] for f in archive.folders(spark, gap(start, end))]
+    assert named.count("32-63") == 1 and set(named) <= {"32-63", *map(str, range(50, 56))} and len(named) > 1
+    rows.unpersist()
