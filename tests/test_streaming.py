@@ -501,6 +501,20 @@ def test_backfill_equals_the_stream(spark, topics, folder):
     assert read_table(spark, f"{folder}/clean/event_log").count() == expected.count()
 
 
+def test_a_backfill_uses_all_cores_and_may_find_no_event(spark, folder):
+    raw = tb.broker_rows(tb.events(spark, SF_DIR)).select(*names(BROKER_ROW))
+    # One small file, which one task reads: its texts are made and parsed by many.
+    tasks = raw.select(F.spark_partition_id()).distinct().count()
+    assert tasks >= spark.sparkContext.defaultParallelism
+    backfill(raw.where(F.length("value") < 20), folder, "bad-rows", dead_letters=False)
+    store = RollupStore(f"{folder}/rollups/event_log", EVENT_ROLLUPS)
+    with pytest.raises(FileNotFoundError):
+        store.rollup(spark, "lag_1m")
+    backfill(raw, folder, "all", dead_letters=False)
+    good = good_events(parse_events(raw)).count()
+    assert store.rollup(spark, "lag_1m").agg(F.sum("cnt")).first()[0] == good
+
+
 # --- stateful alerts --------------------------------------------------------------------------
 @pytest.mark.parametrize(
     "rule",
